@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrace.contracts import METADATA_COLUMNS, Entity
+from terrace.contracts import CORRUPT_COLUMN, METADATA_COLUMNS, Entity
 from terrace.functions.strings import standardise
 
 
@@ -29,7 +29,7 @@ def conform(df: DataFrame, entity: Entity) -> DataFrame:
             case = "upper" if name in entity.upper else "lower" if name in entity.lower else None
             c = standardise(c, case)
         cols.append(c.alias(name))
-    return df.select(*cols, *[F.col(m) for m in METADATA_COLUMNS if m in present])
+    return df.select(*cols, *[F.col(m) for m in (*METADATA_COLUMNS, CORRUPT_COLUMN) if m in present])
 
 
 def contract_cast(df: DataFrame, contract: str | StructType) -> DataFrame:

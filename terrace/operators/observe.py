@@ -21,7 +21,13 @@ from terrace.contracts import FRESHNESS_LIMIT_MINUTES, METRIC_DDL, REJECTION_RAT
 
 log = logging.getLogger(__name__)
 
-QUALITY_METRICS = ("processed", "rejected", "rejection_rate", "duplicates")
+# counter column → metric name (the names the silver job emits)
+QUALITY_METRICS = {
+    "processed": "quality.records_processed",
+    "rejected": "quality.records_rejected",
+    "rejection_rate": "quality.rejection_rate",
+    "duplicates": "quality.duplicates",
+}
 
 
 @dataclass
@@ -64,7 +70,7 @@ class MetricLog:
 
 def quality_points(counts: DataFrame, env: str, pipeline: str, run_ts: str = "_run_ts") -> DataFrame:
     """Long metric rows from per-(entity, run) quality counters (one gauge per counter)."""
-    kv = F.explode(F.array(*[F.struct(F.lit(f"quality.{m}").alias("metric"), F.col(m).cast("double").alias("value")) for m in QUALITY_METRICS]))
+    kv = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(c).cast("double").alias("value")) for c, name in QUALITY_METRICS.items()]))
     return counts.select("source", "entity", run_ts, kv.alias("p")).select(
         F.col("p.metric").alias("metric"),
         F.lit("gauge").alias("kind"),

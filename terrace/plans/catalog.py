@@ -584,11 +584,11 @@ def pseudonymise_q(t: Tables) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- metrics
-_QUALITY_POINTS_SQL = f"""SELECT 'quality.' || m AS metric, 'gauge' AS kind, v AS value, newest_ingest + INTERVAL 20 MINUTE AS ts,
+_QUALITY_POINTS_SQL = f"""SELECT m AS metric, 'gauge' AS kind, v AS value, newest_ingest + INTERVAL 20 MINUTE AS ts,
   'bench' AS env, 'silver' AS pipeline, src AS source, entity, 'silver' AS zone
 FROM (SELECT *, CASE WHEN entity = 'listings' THEN 'listings_api' ELSE 'crm' END AS src FROM ({_DQ_METRICS_SQL}))
-CROSS JOIN LATERAL (VALUES ('processed', CAST(processed AS DOUBLE)), ('rejected', CAST(rejected AS DOUBLE)),
-  ('rejection_rate', rejection_rate), ('duplicates', CAST(duplicates AS DOUBLE))) AS kv(m, v)"""
+CROSS JOIN LATERAL (VALUES ('quality.records_processed', CAST(processed AS DOUBLE)), ('quality.records_rejected', CAST(rejected AS DOUBLE)),
+  ('quality.rejection_rate', rejection_rate), ('quality.duplicates', CAST(duplicates AS DOUBLE))) AS kv(m, v)"""
 _RUN_POINTS_SQL = f"""SELECT metric, kind, value, ts, 'bench' AS env, 'silver' AS pipeline, CAST(NULL AS VARCHAR) AS source,
   CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS zone
 FROM (SELECT ts, (epoch_us(ts) - epoch_us(newest)) / 60000000.0 AS fm FROM (
@@ -666,11 +666,11 @@ def metric_top_q(t: Tables) -> DataFrame:
 @register(
     "metric_series",
     f"""SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS bucket_start, source, sum(value) AS value
-FROM ({_RUN_METRICS_SQL}) WHERE metric = 'quality.processed' GROUP BY 1, 2""",
+FROM ({_RUN_METRICS_SQL}) WHERE metric = 'quality.records_processed' GROUP BY 1, 2""",
 )
 def metric_series_q(t: Tables) -> DataFrame:
     """Records processed per day and source."""
-    return observe.metric_series(_run_metrics(t), "quality.processed")
+    return observe.metric_series(_run_metrics(t), "quality.records_processed")
 
 
 @register(

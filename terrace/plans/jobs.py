@@ -1,16 +1,280 @@
-"""Multi-step jobs over a lake folder: bronze, silver, gold, serving load, full day, backfill."""
+"""Multi-step jobs over a lake folder: bronze, silver, gold, serving load, full day, backfill and
+maintenance (L1–L15).
+
+Each job is a short driver-side loop over the five entities or seven gold tables; all row work is
+Spark (scans, joins, aggregations, writes). Driver-side values are only per-table counters.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime as dt
+import logging
+import re
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.contracts import LOAD_CONFIG
+from terrace.contracts import CORRUPT_COLUMN, ENTITIES, LOAD_CONFIG, METRIC_DDL, RULES, STAGING_CONTRACTS
+from terrace.operators import checks
+from terrace.operators.conform import conform, contract_cast
+from terrace.operators.dedupe import latest_per_key
+from terrace.operators.maintain import clustered_layout, erase_subject
+from terrace.operators.observe import QUALITY_METRICS, MetricLog
+from terrace.operators.quality import flag_rules, quality_counts, split_flagged
+from terrace.operators.star import build_gold
+from terrace.operators.upsert import merge_upsert
+from terrace.sources import tables
+from terrace.sources.landing import landing_path, read_landing
+from terrace.sources.tables import SnapshotTable
+
+log = logging.getLogger(__name__)
+
+ZONES = ("landing", "bronze", "silver", "gold", "quarantine", "serve")
+
+
+@dataclass(frozen=True)
+class Lake:
+    """Zone folders under one root (local path, HDFS or object-store URI)."""
+
+    root: str
+
+    def zone(self, zone: str) -> str:
+        return f"{self.root.rstrip('/')}/{zone}"
+
+    def table(self, zone: str, name: str) -> str:
+        return f"{self.zone(zone)}/{name}"
+
+    def landing(self, source: str, entity: str, run_date: str) -> str:
+        return landing_path(self.zone("landing"), source, entity, run_date)
+
+    def snapshot(self, spark: SparkSession, zone: str, name: str) -> SnapshotTable:
+        return SnapshotTable(spark, self.table(zone, name), name)
+
+    @property
+    def metrics_path(self) -> str:
+        return f"{self.root.rstrip('/')}/_metrics/run_metrics"
+
+    @property
+    def audit_path(self) -> str:
+        return self.table("serve", "_load_audit")
+
+
+def _ts(value: str | None):
+    return F.lit(value).cast("timestamp") if value else F.current_timestamp()
+
+
+def check_run_date(run_date: str) -> str:
+    """Strict ``yyyy-MM-dd`` guard for the run parameter."""
+    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", run_date or ""):
+        raise ValueError(f"run_date must be YYYY-MM-DD, got {run_date!r}")
+    dt.date.fromisoformat(run_date)
+    return run_date
+
+
+# ----------------------------------------------------------------------------------- bronze (L1)
+def bronze_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, ingested_at: str | None = None) -> dict[str, int]:
+    """Land every entity's extract for ``run_date`` into its bronze day partition.
+
+    A missing extract is skipped with a warning (count 0); any other read error fails the job.
+    The day partition is replaced, so reruns are idempotent. Counts come from an ``Observation``
+    on the write (no second read).
+    """
+    check_run_date(run_date)
+    counts = {}
+    for entity in ENTITIES.values():
+        raw = read_landing(spark, lake.landing(entity.source, entity.name, run_date), entity)
+        if raw is None:
+            counts[entity.name] = 0
+        else:
+            df = raw.withColumns({"_ingested_at": _ts(ingested_at), "_run_date": F.lit(run_date).cast("date")})
+            obs = Observation(f"bronze_{entity.name}")
+            tables.write_day(df.observe(obs, F.count(F.lit(1)).alias("n")), lake.table("bronze", entity.name), run_date)
+            counts[entity.name] = int(obs.get["n"])
+        if metrics:
+            metrics.gauge("records_processed", counts[entity.name], source=entity.source, entity=entity.name, zone="bronze")
+    return counts
+
+
+# ----------------------------------------------------------------------------------- silver (L2)
+def silver_entity(spark: SparkSession, lake: Lake, name: str, run_date: str, as_of: str | None = None, processed_at: str | None = None) -> dict[str, float]:
+    entity = ENTITIES[name]
+    bronze = tables.read_days(spark, lake.table("bronze", name), run_date)
+    if bronze is None:
+        log.warning("bronze.%s does not exist yet; skipping", name)
+        return {"processed": 0, "rejected": 0, "duplicates": 0, "rejection_rate": 0.0}
+    flagged = flag_rules(conform(bronze, entity), RULES[name], as_of or run_date).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        c = quality_counts(flagged, entity.key).first()
+        valid, rejected = split_flagged(flagged)
+        # quarantine first: its day is replaced (an empty reject set clears an earlier run's rows)
+        tables.write_day(rejected, lake.table("quarantine", name), run_date)
+        deduped = latest_per_key(valid.drop(CORRUPT_COLUMN), entity.key).withColumn("_silver_updated_at", _ts(processed_at))
+        table = lake.snapshot(spark, "silver", name)
+        current = table.read_or_none()
+        if current is None:
+            table.commit(deduped, "WRITE")
+        else:
+            table.commit(merge_upsert(current, deduped.select(*current.columns), entity.key), "MERGE")
+    finally:
+        flagged.unpersist()
+    return {"processed": int(c["processed"]), "rejected": int(c["rejected"]), "duplicates": int(c["duplicates"]), "rejection_rate": float(c["rejection_rate"])}
 
 
+def silver_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, processed_at: str | None = None) -> dict[str, dict]:
+    check_run_date(run_date)
+    results = {}
+    for name, entity in ENTITIES.items():
+        r = silver_entity(spark, lake, name, run_date, as_of, processed_at)
+        results[name] = r
+        if metrics:
+            for k, metric in QUALITY_METRICS.items():
+                metrics.gauge(metric, r[k], source=entity.source, entity=name)
+    return results
+
+
+# ------------------------------------------------------------------------------------- gold (L4)
+def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Current silver tables; an entity never loaded yields a typed empty frame from its contract."""
+    out = {}
+    for name, entity in ENTITIES.items():
+        df = lake.snapshot(spark, "silver", name).read_or_none()
+        if df is None:
+            ddl = ", ".join(f"`{c}` {t}" for c, t in entity.columns) + ", _ingested_at timestamp, _source_file string, _run_date date"
+            df = spark.createDataFrame([], ddl)
+        out[name] = df
+    return out
+
+
+def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, now: str | None = None) -> dict[str, int]:
+    """Rebuild the seven gold tables as new snapshot versions, export each, emit freshness."""
+    check_run_date(run_date)
+    silver = read_silver(spark, lake)
+    counts = {}
+    for name, df in build_gold(silver, as_of or run_date).items():
+        table = lake.snapshot(spark, "gold", name)
+        table.commit(df, "REBUILD")
+        # export from the committed files: a plain copy instead of recomputing the lineage
+        obs = Observation(f"export_{name}")
+        table.read().observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(tables.export_path(lake.zone("gold"), name, run_date))
+        counts[name] = int(obs.get["n"])
+    fresh = checks.freshness(silver, now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")).where("entity = 'all'").first()
+    if metrics and fresh is not None and fresh["freshness_minutes"] is not None:
+        metrics.gauge("freshness.minutes", fresh["freshness_minutes"])
+        metrics.count("freshness.check")
+        if fresh["satisfied"]:
+            metrics.count("freshness.satisfied")
+    return counts
+
+
+# ---------------------------------------------------------------------------- serving load
 def load_order(spark: SparkSession, config=LOAD_CONFIG) -> DataFrame:
     """Enabled serving tables numbered by load order (W2). The control table is tiny and fixed,
     so its single ordered window partition is bounded."""
     cfg = spark.createDataFrame(list(config), "table_name string, distribution string, load_order int, enabled boolean")
     w = Window.orderBy("load_order")
     return cfg.where("enabled").select(F.row_number().over(w).alias("seq"), "table_name", "distribution", "load_order")
+
+
+def serve_job(spark: SparkSession, lake: Lake, run_date: str, fact_files: int = 8) -> dict[str, int]:
+    """Staging reload → typed build → publish → audit, per enabled table in load order.
+
+    Facts are laid out hash-partitioned on ``property_id`` (co-located for property joins); the
+    small dimensions are left to be broadcast at query time. Publishing commits a new serving
+    version, so readers see either the previous or the new table, never a partial load.
+    """
+    check_run_date(run_date)
+    loaded = {}
+    for row in load_order(spark).collect():  # the 7-row control table
+        name, dist = row["table_name"], row["distribution"]
+        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        staged = spark.read.parquet(tables.export_path(lake.zone("gold"), name, run_date))
+        staged = contract_cast(staged, STAGING_CONTRACTS[name])
+        staging = lake.table("serve", f"_staging/{name}")
+        staged.write.mode("overwrite").parquet(staging)  # truncate-and-reload
+        built = spark.read.parquet(staging)
+        if dist.startswith("HASH("):
+            built = built.repartition(fact_files, dist[5:-1])
+        table = lake.snapshot(spark, "serve", name)
+        obs = Observation(f"serve_{name}")
+        table.commit(built.observe(obs, F.count(F.lit(1)).alias("n")), f"LOAD {run_date}")
+        loaded[name] = table.history().first()["rows"]
+        tables.append_audit(spark, lake.audit_path, [(dt.date.fromisoformat(run_date), name, loaded[name], started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
+    return loaded
+
+
+# ------------------------------------------------------------------------------ full day
+def write_metrics(spark: SparkSession, lake: Lake, metrics: MetricLog) -> None:
+    if metrics.points:
+        spark.createDataFrame(metrics.points, METRIC_DDL).coalesce(1).write.mode("append").parquet(lake.metrics_path)
+        metrics.points.clear()
+
+
+def run_day(spark: SparkSession, lake: Lake, run_date: str, env: str = "local", with_load: bool = False, ingested_at: str | None = None, now: str | None = None) -> dict[str, object]:
+    """bronze → silver → gold (→ serving load), each step wrapped in execution/success metrics."""
+    results: dict[str, object] = {}
+    steps = [("bronze", lambda m: bronze_job(spark, lake, run_date, m, ingested_at)),
+             ("silver", lambda m: silver_job(spark, lake, run_date, m)),
+             ("gold", lambda m: gold_job(spark, lake, run_date, m, now=now))]
+    if with_load:
+        steps.append(("serve", lambda m: serve_job(spark, lake, run_date)))
+    for step, fn in steps:
+        metrics = MetricLog(env, step)
+        try:
+            with metrics.step():
+                results[step] = fn(metrics)
+        finally:
+            write_metrics(spark, lake, metrics)
+    return results
+
+
+def backfill(spark: SparkSession, lake: Lake, dates: list[str], **kw) -> dict[str, dict]:
+    """Run whole days oldest first, so later versions win in silver."""
+    return {d: run_day(spark, lake, d, **kw) for d in sorted(dates)}
+
+
+# ---------------------------------------------------------------------------- maintenance
+def compact(spark: SparkSession, lake: Lake, zone: str, name: str, column: str, files: int) -> int:
+    """Rewrite a snapshot table into ``files`` range-clustered files (new version)."""
+    table = lake.snapshot(spark, zone, name)
+    return table.commit(clustered_layout(table.read(), column, files), f"OPTIMIZE {column}")
+
+
+def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str) -> dict[str, int]:
+    """Remove a subject from every silver/gold snapshot table that carries ``key`` (new versions),
+    and from the quarantine days. Returns the new version per table."""
+    done = {}
+    for zone in ("silver", "gold"):
+        for name in tables.list_children(spark, lake.zone(zone)):
+            if name.startswith("_"):
+                continue
+            table = lake.snapshot(spark, zone, name)
+            if not table.exists():
+                continue
+            df = table.read()
+            if key in df.columns:
+                done[f"{zone}.{name}"] = table.commit(erase_subject(df, subjects, key), f"DELETE {key}")
+    for name in tables.list_children(spark, lake.zone("quarantine")):
+        path = lake.table("quarantine", name)
+        q = tables.read_days(spark, path)
+        if q is None or key not in q.columns:
+            continue
+        staging = f"{lake.root.rstrip('/')}/_rewrite/quarantine/{name}"
+        tables.write_days(erase_subject(q, subjects, key), staging)
+        tables.remove_path(spark, path)
+        fs, src = tables._fs(spark, staging)
+        fs.rename(src, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+    return done
+
+
+def drop_expired_days(spark: SparkSession, path: str, keep_days: int, today: str, day_col: str = "_run_date") -> list[str]:
+    """Retention for day tables: delete day folders older than ``keep_days`` before ``today``."""
+    cutoff = dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)
+    removed = []
+    for child in tables.list_children(spark, path):
+        if child.startswith(f"{day_col}="):
+            day = dt.date.fromisoformat(child.split("=", 1)[1])
+            if day < cutoff and tables.remove_path(spark, f"{path}/{child}"):
+                removed.append(child.split("=", 1)[1])
+    return sorted(removed)
