@@ -257,14 +257,20 @@ def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str) -> dic
                 done[f"{zone}.{name}"] = table.commit(erase_subject(df, subjects, key), f"DELETE {key}")
     for name in tables.list_children(spark, lake.zone("quarantine")):
         path = lake.table("quarantine", name)
-        q = tables.read_days(spark, path)
-        if q is None or key not in q.columns:
-            continue
-        staging = f"{lake.root.rstrip('/')}/_rewrite/quarantine/{name}"
-        tables.write_days(erase_subject(q, subjects, key), staging)
-        tables.remove_path(spark, path)
-        fs, src = tables._fs(spark, staging)
-        fs.rename(src, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+        for child in tables.list_children(spark, path):
+            if not child.startswith("_run_date="):
+                continue
+            day = child.split("=", 1)[1]
+            part = tables.read_days(spark, path, day)
+            if part is None or key not in part.columns:
+                continue
+            # stage the kept rows, then replace the day from the staged copy (never read and
+            # overwrite the same folder in one job)
+            staging = f"{lake.root.rstrip('/')}/_rewrite/quarantine/{name}/{child}"
+            kept = erase_subject(part, subjects, key).drop("_run_date")
+            kept.write.mode("overwrite").parquet(staging)
+            tables.write_day(spark.read.schema(kept.schema).parquet(staging), path, day)
+            done[f"quarantine.{name}.{day}"] = 0
     return done
 
 
