@@ -20,13 +20,16 @@ def pseudonymise(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
     return df.select(*[pseudonym(F.col(c), salt).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def clustered_layout(df: DataFrame, column: str, files: int) -> DataFrame:
+def clustered_layout(df: DataFrame, column: str, files: int, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Compaction layout: ``files`` range partitions on ``column``, sorted inside each.
 
-    Range partitioning samples the column to pick boundaries, so files get similar sizes and
-    each file covers a narrow key range (good min/max statistics for pruning on ``column``).
+    Range partitioning samples the keys to pick boundaries, so files get similar sizes and each
+    file covers a narrow range of ``column`` (tight min/max statistics for pruning). The range key
+    is ``(column, *tiebreak)``: a single hot value of ``column`` can then still be split over
+    several files instead of producing one giant file. Defaults to all other columns.
     """
-    return df.repartitionByRange(files, column).sortWithinPartitions(column)
+    extra = [c for c in df.columns if c != column] if tiebreak is None else list(tiebreak)
+    return df.repartitionByRange(files, column, *extra).sortWithinPartitions(column, *extra)
 
 
 def expired(history: DataFrame, now: str, keep_days: int, keep_latest: int = 1) -> DataFrame:

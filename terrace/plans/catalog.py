@@ -284,6 +284,19 @@ def latest_per_key_q(t: Tables) -> DataFrame:
     return pipeline.silver_entity(t, "sales_transactions")
 
 
+PROCESSED_AT = "2024-02-01 02:10:00"
+
+
+@register(
+    "silver_sales",
+    f"SELECT {_cols('sales_transactions')}, _ingested_at, _run_date, TIMESTAMP '{PROCESSED_AT}' AS _silver_updated_at FROM s_sales",
+)
+def silver_sales(t: Tables) -> DataFrame:
+    """L2 (pure part): conform → rules → latest per key → processing stamp, with bookkeeping columns."""
+    silver = pipeline.silver_entity(t, "sales_transactions", payload_only=False).drop("_source_file")
+    return silver.withColumn("_silver_updated_at", F.lit(PROCESSED_AT).cast("timestamp"))
+
+
 # ------------------------------------------------------------------------------ gold (P8, J, A2, G1)
 _DIM_PROPERTY_COLS = "property_id, address_line, city, state, postal_code, property_type, bedrooms, bathrooms, square_feet, year_built, updated_at"
 

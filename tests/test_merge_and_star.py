@@ -160,3 +160,17 @@ def test_measures_exact_median(spark):
     leases = spark.createDataFrame([(Decimal("12.00"),)], "annualized_rent decimal(18,2)")
     got = {r.measure: r.value for r in serve.measures(sales, listings, leases).collect()}
     assert got["median_sale_price"] == Decimal("2.5") and got["active_listings"] == 1 and got["sales_volume"] == 10
+
+
+def test_kth_smallest_exact_with_narrowing(spark):
+    from terrace.operators.quantiles import exact_median, kth_smallest
+
+    rnd = random.Random(7)
+    data = [rnd.randint(0, 5000) for _ in range(3000)] + [42] * 1000  # a hot value
+    df = spark.createDataFrame([(x,) for x in data], "x long")
+    vals = df.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    s = sorted(data)
+    for k in (1, 500, 1500, 2000, 4000):
+        assert kth_smallest(vals, k, buckets=4, final_rows=10) == s[k - 1]
+    med = exact_median(df, "x", buckets=4, final_rows=10)
+    assert med == (s[len(s) // 2 - 1] + s[len(s) // 2]) / 2
