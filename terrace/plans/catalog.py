@@ -30,9 +30,16 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _run(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The model's times are UTC (as the platform's sessions are); pin it so results do not depend
+    # on the caller's session zone.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return fn(Tables(spark, sf_dir.rstrip("/")))
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir.rstrip("/")))
+        QUERIES[name] = lambda spark, sf_dir: _run(fn, spark, sf_dir)
         if sql is not None:
             ORACLE[name] = with_base(sql)
         return fn

@@ -27,23 +27,43 @@ def newer_than(source: DataFrame, column: str, watermark) -> DataFrame:
     return source.where(F.col(column) > F.lit(watermark))
 
 
-def stream_landing(
+def stream_to_bronze(
     spark: SparkSession,
-    path: str,
+    landing_root: str,
+    bronze_path: str,
     schema: str,
-    file_format: str,
-    checkpoint: str,
-    handle_batch: Callable[[DataFrame, int], None],
+    file_format: str = "json",
+    checkpoint: str | None = None,
+    run_date_from: str | None = None,
 ):
-    """Process every landed file exactly once, then stop (``availableNow``).
+    """Ingest every landed file of an entity exactly once into a day-partitioned bronze table.
 
-    ``handle_batch(df, batch_id)`` must be idempotent per batch (the bronze day writer is), so a
-    batch replayed after an executor or driver loss writes the same result again.
+    Structured Streaming's file source remembers processed files in the checkpoint, and the
+    Parquet file sink commits each micro-batch through its own log, so a restarted or replayed
+    batch never duplicates rows. ``availableNow`` processes the backlog and stops, which makes the
+    stream usable from a daily scheduler. The checkpoint defaults to a folder under the cluster's
+    ``spark.checkpoint.dir``. ``run_date_from`` names a timestamp/date column deciding the day;
+    without it the day comes from the landing folder name (``ingest_date=<d>``).
     """
+    from terrace.session import ensure_checkpoint_dir
+
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream_bronze/{bronze_path.strip('/').replace('/', '_')}"
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-    stream = reader.load(path).withColumn("_source_file", F.col("_metadata.file_path"))
-    query = stream.writeStream.foreachBatch(handle_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    stream = reader.option("recursiveFileLookup", "true").load(landing_root).withColumn("_source_file", F.col("_metadata.file_path"))
+    if run_date_from:
+        day = F.to_date(F.col(run_date_from))
+    else:
+        day = F.to_date(F.regexp_extract(F.col("_source_file"), r"ingest_date=(\d{4}-\d{2}-\d{2})", 1))
+    out = stream.withColumns({"_ingested_at": F.current_timestamp(), "_run_date": day})
+    query = (
+        out.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("_run_date")
+        .trigger(availableNow=True)
+        .start(bronze_path)
+    )
     query.awaitTermination()
     return query
