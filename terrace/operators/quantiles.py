@@ -50,9 +50,14 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 256, fi
     lo = hi = None  # candidate range (lo, hi]
     below = 0  # rows with x <= lo
     want = sorted(ranks)
+    fracs = [i / buckets for i in range(1, buckets)]
+    m = None  # distinct candidate values, when known
     while True:
         cand = values.where(_in_range(lo, hi))
-        m = cand.count()
+        cuts = None
+        if m is None:  # one job for the size and the cut points
+            r = cand.agg(F.count(F.lit(1)).alias("m"), F.percentile_approx("x", fracs, accuracy).alias("q")).first()
+            m, cuts = r["m"], r["q"] or []
         if m <= final_rows:
             rows = cand.orderBy("x").collect()  # at most final_rows rows
             out, seen, i = {}, below, 0
@@ -64,19 +69,23 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 256, fi
             if i < len(want):
                 raise ValueError("rank outside the data")
             return [out[r] for r in ranks]
-        fracs = [i / buckets for i in range(1, buckets)]
-        cuts = cand.agg(F.percentile_approx("x", fracs, accuracy).alias("q")).first()["q"]
+        if cuts is None:
+            cuts = cand.agg(F.percentile_approx("x", fracs, accuracy).alias("q")).first()["q"]
         cuts = sorted({c for c in cuts if (lo is None or c > lo) and (hi is None or c < hi)})
         if not cuts:  # cannot split further: read the candidates in order
             final_rows = m
             continue
-        bucket = _bucket_of(F.col("x"), cuts)
-        counts = {r["b"]: r["n"] for r in cand.groupBy(bucket.alias("b")).agg(F.sum("c").alias("n")).collect()}
-        seen, first, last, first_below = below, None, None, below
+        stats = {
+            r["b"]: (r["n"], r["d"])
+            for r in cand.groupBy(_bucket_of(F.col("x"), cuts).alias("b")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        }
+        seen, first, last, first_below, distinct = below, None, None, below, 0
         for b in range(len(cuts) + 1):
-            n = counts.get(b, 0)
+            n, d = stats.get(b, (0, 0))
             if first is None and seen + n >= want[0]:
                 first, first_below = b, seen
+            if first is not None:
+                distinct += d
             if seen + n >= want[-1]:
                 last = b
                 break
@@ -87,7 +96,7 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 256, fi
         new_hi = cuts[last] if last < len(cuts) else hi
         if (new_lo, new_hi) == (lo, hi):
             final_rows = m
-        lo, hi, below = new_lo, new_hi, first_below
+        lo, hi, below, m = new_lo, new_hi, first_below, distinct
 
 
 def kth_smallest(values: DataFrame, k: int, **kw):

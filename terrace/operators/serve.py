@@ -51,34 +51,45 @@ def star_sales(fact_sales: DataFrame, dim_property: DataFrame, dim_agent: DataFr
 
 
 def measures(fact_sales: DataFrame, fact_listings: DataFrame, fact_leases: DataFrame) -> DataFrame:
-    """The BI measures as (measure, value) rows: one pass per fact table, exact median.
+    """The BI measures as (measure, value) rows, exact median included.
 
-    The median is an exact order statistic found by distributed range narrowing
-    (``quantiles.exact_median``), so no task ever holds all sale prices; it is computed eagerly
-    and enters the result as a literal.
+    The three sales columns the measures need are persisted once; the sums/averages and the exact
+    median (distributed range narrowing, ``quantiles.exact_median``: no task ever holds all sale
+    prices) both read that copy. The sales measures are scalars computed eagerly; the listing and
+    lease measures stay lazy aggregations.
     """
+    from pyspark import StorageLevel
+
     from terrace.operators.quantiles import exact_median
 
     v = "decimal(38,6)"
-    median = exact_median(fact_sales, "sale_price")
-    sales = fact_sales.agg(
-        F.sum("sale_price").cast(v).alias("sales_volume"),
-        F.lit(median).cast(v).alias("median_sale_price"),
-        F.avg("price_per_sqft").cast(v).alias("avg_price_per_sqft"),
-        F.avg("days_to_close").cast(v).alias("avg_days_to_close"),
-    )
-    long_sales = sales.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in sales.columns])
-        ).alias("m")
-    ).select("m.*")
+    narrow = fact_sales.select("sale_price", "price_per_sqft", "days_to_close").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        row = narrow.agg(
+            F.sum("sale_price").cast(v).alias("sales_volume"),
+            F.avg("price_per_sqft").cast(v).alias("avg_price_per_sqft"),
+            F.avg("days_to_close").cast(v).alias("avg_days_to_close"),
+        ).first()
+        median = exact_median(narrow, "sale_price")
+    finally:
+        narrow.unpersist()
+    spark = fact_sales.sparkSession
+    sales = spark.createDataFrame(
+        [
+            ("sales_volume", row["sales_volume"]),
+            ("median_sale_price", None),
+            ("avg_price_per_sqft", row["avg_price_per_sqft"]),
+            ("avg_days_to_close", row["avg_days_to_close"]),
+        ],
+        f"measure string, value {v}",
+    ).withColumn("value", F.when(F.col("measure") == "median_sale_price", F.lit(median).cast(v)).otherwise(F.col("value")))
     listings = fact_listings.agg(F.count_if(F.col("status") == "ACTIVE").cast(v).alias("value")).select(
         F.lit("active_listings").alias("measure"), "value"
     )
     leases = fact_leases.agg(F.sum("annualized_rent").cast(v).alias("value")).select(
         F.lit("annualized_rent_roll").alias("measure"), "value"
     )
-    return long_sales.unionByName(listings).unionByName(leases)
+    return sales.unionByName(listings).unionByName(leases)
 
 
 def office_rows(fact: DataFrame, dim_agent: DataFrame, office: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,31 @@ from terrace.contracts import ENTITIES, RULES
 from terrace.operators.conform import conform
 from terrace.operators.dedupe import latest_per_key
 from terrace.operators.quality import flag_rules, split_flagged
-from terrace.operators.star import build_gold
+from terrace.operators import star
 from terrace.plans import analog
 from terrace.plans.analog import RUN_DATE, Tables
 
 
+class _Lazy(Mapping):
+    """Read-only mapping whose values are built on first access (plans are built only when used)."""
+
+    def __init__(self, names, build):
+        self._names, self._build, self._done = tuple(names), build, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._done:
+            self._done[name] = self._build(name)
+        return self._done[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 @dataclass
 class SilverStep:
     flagged: DataFrame
@@ -35,8 +56,8 @@ def conformed(t: Tables, entity_name: str) -> DataFrame:
     return conform(analog.bronze(t, entity_name), ENTITIES[entity_name])
 
 
-def silver_steps(t: Tables, as_of: str = RUN_DATE) -> dict[str, SilverStep]:
-    return {name: silver_step(analog.bronze(t, name), name, as_of) for name in ENTITIES}
+def silver_steps(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, SilverStep]:
+    return _Lazy(ENTITIES, lambda name: silver_step(analog.bronze(t, name), name, as_of))
 
 
 def silver_entity(t: Tables, name: str, as_of: str = RUN_DATE, payload_only: bool = True) -> DataFrame:
@@ -44,9 +65,34 @@ def silver_entity(t: Tables, name: str, as_of: str = RUN_DATE, payload_only: boo
     return df.select(*ENTITIES[name].column_names) if payload_only else df
 
 
-def silver_frames(t: Tables, as_of: str = RUN_DATE) -> dict[str, DataFrame]:
-    return {name: silver_entity(t, name, as_of, payload_only=False) for name in ENTITIES}
-
-
-def gold_frames(t: Tables, as_of: str = RUN_DATE) -> dict[str, DataFrame]:
-    return build_gold(silver_frames(t, as_of), as_of)
+def silver_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
+    return _Lazy(ENTITIES, lambda name: silver_entity(t, name, as_of, payload_only=False))
+
+
+def gold_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
+    """The seven gold tables over the analog silver, each planned only when asked for."""
+    silver = silver_frames(t, as_of)
+    cache: dict[str, DataFrame] = {}
+
+    def enriched() -> DataFrame:
+        if "enriched" not in cache:
+            cache["enriched"] = star.sales_enriched(silver["sales_transactions"], silver["properties"])
+        return cache["enriched"]
+
+    def build(name: str) -> DataFrame:
+        if name == "dim_property":
+            return star.dim_property(silver["properties"])
+        if name == "dim_agent":
+            return star.dim_agent(silver["agents"])
+        if name == "fact_sales":
+            return enriched().select(*star.FACT_SALES_COLUMNS)
+        if name == "fact_leases":
+            return star.fact_leases(silver["leases"])
+        if name == "fact_listings":
+            return star.fact_listings(silver["listings"], as_of)
+        if name == "dim_date":
+            return star.dim_date(gold["fact_sales"], gold["fact_leases"], gold["fact_listings"])
+        return star._market_monthly(enriched().where("_has_property"))
+
+    gold = _Lazy(star.GOLD_TABLES, build)
+    return gold
