@@ -107,10 +107,12 @@ def view_scan(t: Tables) -> DataFrame:
     )
 
 
-@register("source_file_counts")
+@register("source_file_counts", "SELECT 'events.parquet' AS source_file, count(*) AS rows FROM events")
 def source_file_counts(t: Tables) -> DataFrame:
-    """Rows per source file through the ``_metadata.file_path`` pseudo-column (rows-only: paths differ)."""
-    return t.events.select(F.col("_metadata.file_path").alias("source_file")).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per source file through the ``_metadata.file_path`` pseudo-column (file name part,
+    since the folder differs between machines)."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    return t.events.select(name.alias("source_file")).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
 _LOAD_VALUES = ", ".join(f"('{n}', '{d}', {o}, {str(e).upper()})" for n, d, o, e in LOAD_CONFIG)
@@ -708,13 +710,24 @@ def metric_tiles_q(t: Tables) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- lineage / report (rows-only)
-@register("bronze_metadata")
+@register("bronze_metadata", "SELECT listing_id, _ingested_at, 'events.parquet' AS source_file_name, _run_date FROM b_list")
 def bronze_metadata(t: Tables) -> DataFrame:
-    """Ingestion bookkeeping columns on the landed feed (rows-only: contains file paths)."""
-    return analog.bronze(t, "listings").select("listing_id", "_ingested_at", "_source_file", "_run_date")
+    """Ingestion bookkeeping columns on the landed feed (file name part of ``_source_file``)."""
+    b = analog.bronze(t, "listings")
+    return b.select("listing_id", "_ingested_at", F.regexp_extract("_source_file", r"([^/]+)$", 1).alias("source_file_name"), "_run_date")
+
+
+_RUN_REPORT_SQL = " UNION ALL ".join(
+    [f"SELECT 'bronze_rows' AS section, '{n}' AS item, CAST(count(*) AS DOUBLE) AS value FROM f_{s}" for n, s in SHORT.items()]
+    + [f"SELECT 'silver_rows', '{n}', CAST(count(*) AS DOUBLE) FROM s_{s}" for n, s in SHORT.items()]
+    + [f"SELECT 'rejections', '{n}.' || rule, CAST(count(*) AS DOUBLE) FROM (SELECT unnest(string_split(failures, ',')) AS rule FROM r_{s}) GROUP BY rule" for n, s in SHORT.items()]
+    + [f"SELECT 'gold_rows', '{n}', CAST(count(*) AS DOUBLE) FROM {n}" for n, *_ in LOAD_CONFIG]
+    + ["""SELECT 'top_markets', city || '/' || state, CAST(volume AS DOUBLE) FROM (SELECT city, state, sum(total_volume) AS volume
+        FROM agg_market_monthly GROUP BY city, state ORDER BY volume DESC, city, state LIMIT 10)"""]
+)
 
 
-@register("run_report")
+@register("run_report", _RUN_REPORT_SQL)
 def run_report(t: Tables) -> DataFrame:
     """One summary frame — rows per zone, rejections per rule, top markets."""
     steps = pipeline.silver_steps(t)
