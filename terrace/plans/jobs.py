@@ -23,7 +23,7 @@ from terrace.operators.dedupe import latest_per_key
 from terrace.operators.maintain import clustered_layout, erase_subject
 from terrace.operators.observe import QUALITY_METRICS, MetricLog
 from terrace.operators.quality import flag_rules, quality_counts, split_flagged
-from terrace.operators.star import build_gold
+from terrace.operators import star
 from terrace.operators.upsert import merge_upsert
 from terrace.sources import tables
 from terrace.sources.landing import landing_path, read_landing
@@ -148,24 +148,41 @@ def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, now: str | None = None) -> dict[str, int]:
-    """Rebuild the seven gold tables as new snapshot versions, export each, emit freshness."""
+    """Rebuild the seven gold tables as new snapshot versions, export each, emit freshness.
+
+    Dimensions and facts are built from silver and committed first; the calendar and the market
+    aggregate are then derived from the committed fact files, so no fact is computed twice.
+    """
     check_run_date(run_date)
+    as_of = as_of or run_date
     silver = read_silver(spark, lake)
-    counts = {}
-    for name, df in build_gold(silver, as_of or run_date).items():
+    committed: dict[str, DataFrame] = {}
+    counts: dict[str, int] = {}
+
+    def publish(name: str, df: DataFrame) -> None:
         table = lake.snapshot(spark, "gold", name)
         table.commit(df, "REBUILD")
+        committed[name] = table.read()
         # export from the committed files: a plain copy instead of recomputing the lineage
         obs = Observation(f"export_{name}")
-        table.read().observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(tables.export_path(lake.zone("gold"), name, run_date))
+        committed[name].observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(tables.export_path(lake.zone("gold"), name, run_date))
         counts[name] = int(obs.get["n"])
+
+    props = silver["properties"]
+    publish("dim_property", star.dim_property(props))
+    publish("dim_agent", star.dim_agent(silver["agents"]))
+    publish("fact_sales", star.fact_sales(silver["sales_transactions"], props))
+    publish("fact_leases", star.fact_leases(silver["leases"]))
+    publish("fact_listings", star.fact_listings(silver["listings"], as_of))
+    publish("dim_date", star.dim_date(committed["fact_sales"], committed["fact_leases"], committed["fact_listings"]))
+    publish("agg_market_monthly", star.agg_market_monthly(committed["fact_sales"], committed["dim_property"]))
     fresh = checks.freshness(silver, now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")).where("entity = 'all'").first()
     if metrics and fresh is not None and fresh["freshness_minutes"] is not None:
         metrics.gauge("freshness.minutes", fresh["freshness_minutes"])
         metrics.count("freshness.check")
         if fresh["satisfied"]:
             metrics.count("freshness.satisfied")
-    return counts
+    return {name: counts[name] for name in star.GOLD_TABLES}
 
 
 # ---------------------------------------------------------------------------- serving load
