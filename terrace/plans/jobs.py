@@ -12,7 +12,6 @@ import logging
 import re
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from terrace.operators.conform import conform, contract_cast
 from terrace.operators.dedupe import latest_per_key
 from terrace.operators.maintain import clustered_layout, erase_subject
 from terrace.operators.observe import QUALITY_METRICS, MetricLog
-from terrace.operators.quality import flag_rules, quality_counts, split_flagged
+from terrace.operators.quality import flag_rules, split_flagged
 from terrace.operators import star
 from terrace.operators.upsert import merge_upsert
 from terrace.sources import tables
@@ -104,22 +103,32 @@ def silver_entity(spark: SparkSession, lake: Lake, name: str, run_date: str, as_
     if bronze is None:
         log.warning("bronze.%s does not exist yet; skipping", name)
         return {"processed": 0, "rejected": 0, "duplicates": 0, "rejection_rate": 0.0}
-    flagged = flag_rules(conform(bronze, entity), RULES[name], as_of or run_date).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        c = quality_counts(flagged, entity.key).first()
-        valid, rejected = split_flagged(flagged)
-        # quarantine first: its day is replaced (an empty reject set clears an earlier run's rows)
-        tables.write_day(rejected, lake.table("quarantine", name), run_date)
-        deduped = latest_per_key(valid.drop(CORRUPT_COLUMN), entity.key).withColumn("_silver_updated_at", _ts(processed_at))
-        table = lake.snapshot(spark, "silver", name)
-        current = table.read_or_none()
-        if current is None:
-            table.commit(deduped, "WRITE")
-        else:
-            table.commit(merge_upsert(current, deduped.select(*current.columns), entity.key), "MERGE")
-    finally:
-        flagged.unpersist()
-    return {"processed": int(c["processed"]), "rejected": int(c["rejected"]), "duplicates": int(c["duplicates"]), "rejection_rate": float(c["rejection_rate"])}
+    # Two passes over the day (quarantine write, silver write) and no cache: the counters ride on
+    # the writes as Observations (processed = rejected + valid, duplicates = valid - kept).
+    flagged = flag_rules(conform(bronze, entity), RULES[name], as_of or run_date)
+    valid, rejected = split_flagged(flagged)
+    rej_obs, valid_obs, kept_obs = (Observation(f"{k}_{name}_{run_date}") for k in ("rejected", "valid", "kept"))
+    # quarantine first: its day is replaced (an empty reject set clears an earlier run's rows)
+    tables.write_day(rejected.observe(rej_obs, F.count(F.lit(1)).alias("n")), lake.table("quarantine", name), run_date)
+    deduped = (
+        latest_per_key(valid.observe(valid_obs, F.count(F.lit(1)).alias("n")).drop(CORRUPT_COLUMN), entity.key)
+        .observe(kept_obs, F.count(F.lit(1)).alias("n"))
+        .withColumn("_silver_updated_at", _ts(processed_at))
+    )
+    table = lake.snapshot(spark, "silver", name)
+    current = table.read_or_none()
+    if current is None:
+        table.commit(deduped, "WRITE")
+    else:
+        table.commit(merge_upsert(current, deduped.select(*current.columns), entity.key), "MERGE")
+    rejected_n, valid_n, kept_n = (int(o.get["n"]) for o in (rej_obs, valid_obs, kept_obs))
+    processed = rejected_n + valid_n
+    return {
+        "processed": processed,
+        "rejected": rejected_n,
+        "duplicates": valid_n - kept_n,
+        "rejection_rate": rejected_n / processed if processed else 0.0,
+    }
 
 
 def silver_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, processed_at: str | None = None) -> dict[str, dict]:
@@ -207,18 +216,15 @@ def serve_job(spark: SparkSession, lake: Lake, run_date: str) -> dict[str, int]:
     for row in load_order(spark).collect():  # the 7-row control table
         name, dist = row["table_name"], row["distribution"]
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        staged = spark.read.parquet(tables.export_path(lake.zone("gold"), name, run_date))
-        staged = contract_cast(staged, STAGING_CONTRACTS[name])
-        staging = lake.table("serve", f"_staging/{name}")
-        staged.write.mode("overwrite").parquet(staging)  # truncate-and-reload
-        built = spark.read.parquet(staging)
+        # the run date's export folder is the staging area: replaced on every run (truncate-and-reload)
+        built = contract_cast(spark.read.parquet(tables.export_path(lake.zone("gold"), name, run_date)), STAGING_CONTRACTS[name])
         if dist.startswith("HASH("):
             key = dist[5:-1]
             built = built.hint("rebalance", key).sortWithinPartitions(key)
         table = lake.snapshot(spark, "serve", name)
         obs = Observation(f"serve_{name}")
         table.commit(built.observe(obs, F.count(F.lit(1)).alias("n")), f"LOAD {run_date}")
-        loaded[name] = table.history().first()["rows"]
+        loaded[name] = int(obs.get["n"])
         tables.append_audit(spark, lake.audit_path, [(dt.date.fromisoformat(run_date), name, loaded[name], started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
     return loaded
 
@@ -303,3 +309,19 @@ def drop_expired_days(spark: SparkSession, path: str, keep_days: int, today: str
             if day < cutoff and tables.remove_path(spark, f"{path}/{child}"):
                 removed.append(child.split("=", 1)[1])
     return sorted(removed)
+
+
+# ------------------------------------------------------------------------ analog landing (bench)
+def land_analog(spark: SparkSession, lake: Lake, sf_dir: str, run_date: str) -> None:
+    """Write the analog extracts of the driver tables as one day of landing files: Parquet for the
+    relational entities, JSON Lines (timestamps as text) for the listings feed."""
+    from terrace.plans import analog
+
+    t = analog.Tables(spark, sf_dir.rstrip("/"))
+    for name, entity in ENTITIES.items():
+        df = analog.LANDED[name](t)
+        path = lake.landing(entity.source, name, run_date)
+        if entity.file_format == "json":
+            df.write.mode("overwrite").json(path)
+        else:
+            df.write.mode("overwrite").parquet(path)

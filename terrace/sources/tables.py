@@ -66,9 +66,16 @@ def write_days(df: DataFrame, path: str, day_col: str = "_run_date") -> None:
 
 
 def read_days(spark: SparkSession, path: str, run_date: str | None = None, day_col: str = "_run_date") -> DataFrame | None:
-    """A day table, optionally one day (a partition filter → only that folder is listed and read)."""
+    """A day table (all days, schemas merged), or one day.
+
+    For one day only that day's folder is listed and its footers read (``basePath`` keeps the
+    partition column), so the cost does not grow with the table's history.
+    """
     try:
-        df = spark.read.option("mergeSchema", "true").parquet(path)
+        if run_date is not None:
+            df = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(f"{path}/{day_col}={run_date}")
+        else:
+            df = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "Path does not exist" in str(exc):
             return None
@@ -86,6 +93,8 @@ class SnapshotTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.name = name or self.path.rsplit("/", 1)[-1]
+        self._version: int | None = None
+        self._known = False  # single writer per table: the version seen last stays valid
 
     @property
     def history_path(self) -> str:
@@ -97,11 +106,16 @@ class SnapshotTable:
             return self.spark.createDataFrame([], HISTORY_DDL)
         return self.spark.read.schema(HISTORY_DDL).parquet(self.history_path).orderBy(F.desc("version"))
 
-    def current_version(self) -> int | None:
+    def current_version(self, refresh: bool = False) -> int | None:
+        if self._known and not refresh:
+            return self._version
         if not path_exists(self.spark, self.history_path):
-            return None
-        row = self.spark.read.schema(HISTORY_DDL).parquet(self.history_path).agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+            v = None
+        else:
+            row = self.spark.read.schema(HISTORY_DDL).parquet(self.history_path).agg(F.max("version").alias("v")).first()
+            v = None if row is None or row["v"] is None else int(row["v"])
+        self._version, self._known = v, True
+        return v
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -130,6 +144,7 @@ class SnapshotTable:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         entry = self.spark.createDataFrame([(self.name, version, now, operation, written)], HISTORY_DDL)
         entry.coalesce(1).write.mode("append").parquet(self.history_path)
+        self._version, self._known = version, True
         log.info("%s: committed version %d (%s, %d rows)", self.name, version, operation, written)
         return version
 
