@@ -17,10 +17,17 @@ def build_session(app_name: str = "terrace", master: str | None = None, shuffle_
     check happens on real bytes, so nothing is broadcast that grows past the limit).
     """
     builder = SparkSession.builder.appName(app_name)
-    if master or not os.environ.get("SPARK_REMOTE"):
-        builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[*]"))
-    cores = os.cpu_count() or 8
-    parts = shuffle_partitions or int(os.environ.get("TERRACE_SHUFFLE_PARTITIONS", str(cores)))
+    master = master or os.environ.get("SPARK_MASTER", "local[*]")
+    builder = builder.master(master)
+    if master.startswith("local"):
+        # one machine: about one shuffle partition per core
+        default_parts = os.cpu_count() or 8
+    else:
+        # a cluster: start wide and let AQE coalesce partitions to the advisory size, so a
+        # 100 TB shuffle gets thousands of ~256 MB partitions and a small one just a few
+        default_parts = 4000
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256MB")
+    parts = shuffle_partitions or int(os.environ.get("TERRACE_SHUFFLE_PARTITIONS", str(default_parts)))
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -46,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="terrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
