@@ -35,9 +35,16 @@ class Tables:
     spark: SparkSession
     root: str
     _cache: dict[str, DataFrame] = field(default_factory=dict)
+    # lazily built plans over these tables (silver/gold mappings), shared by the queries of a session
+    memo: dict = field(default_factory=dict)
+
+    def remember(self, key, build):
+        if key not in self.memo:
+            self.memo[key] = build()
+        return self.memo[key]
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or name not in TABLES:
+        if name.startswith("_") or name == "memo" or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
             self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -188,4 +195,8 @@ def with_bronze_metadata(df: DataFrame, entity: str, source_file: str | None = N
 
 
 def bronze(t: Tables, entity: str) -> DataFrame:
+    return t.remember(("bronze", entity), lambda: _bronze(t, entity))
+
+
+def _bronze(t: Tables, entity: str) -> DataFrame:
     return with_bronze_metadata(LANDED[entity](t), entity, f"{t.root}/{SOURCE_TABLE[entity]}.parquet")

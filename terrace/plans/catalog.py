@@ -30,11 +30,25 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+_TABLES: dict[tuple[int, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """One ``Tables`` per (session, folder): the base plans (bronze → silver → gold) are built once
+    per session and shared by every query, like session temp views. Query-specific parts are
+    planned per call."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    t = _TABLES.get(key)
+    if t is None or t.spark is not spark:
+        t = _TABLES[key] = Tables(spark, key[1])
+    return t
+
+
 def _run(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
     # The model's times are UTC (as the platform's sessions are); pin it so results do not depend
     # on the caller's session zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return fn(Tables(spark, sf_dir.rstrip("/")))
+    return fn(tables_for(spark, sf_dir))
 
 
 def register(name: str, sql: str | None = None):

@@ -53,24 +53,30 @@ def silver_step(bronze_df: DataFrame, entity_name: str, as_of: str = RUN_DATE) -
 
 
 def conformed(t: Tables, entity_name: str) -> DataFrame:
-    return conform(analog.bronze(t, entity_name), ENTITIES[entity_name])
+    return t.remember(("conformed", entity_name), lambda: conform(analog.bronze(t, entity_name), ENTITIES[entity_name]))
 
 
 def silver_steps(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, SilverStep]:
-    return _Lazy(ENTITIES, lambda name: silver_step(analog.bronze(t, name), name, as_of))
+    return t.remember(("steps", as_of), lambda: _Lazy(ENTITIES, lambda name: silver_step(analog.bronze(t, name), name, as_of)))
 
 
 def silver_entity(t: Tables, name: str, as_of: str = RUN_DATE, payload_only: bool = True) -> DataFrame:
-    df = silver_step(analog.bronze(t, name), name, as_of).silver
-    return df.select(*ENTITIES[name].column_names) if payload_only else df
+    df = silver_steps(t, as_of)[name].silver
+    if not payload_only:
+        return df
+    return t.remember(("silver_payload", name, as_of), lambda: df.select(*ENTITIES[name].column_names))
 
 
 def silver_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
-    return _Lazy(ENTITIES, lambda name: silver_entity(t, name, as_of, payload_only=False))
+    return t.remember(("silver", as_of), lambda: _Lazy(ENTITIES, lambda name: silver_entity(t, name, as_of, payload_only=False)))
 
 
 def gold_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
     """The seven gold tables over the analog silver, each planned only when asked for."""
+    return t.remember(("gold", as_of), lambda: _gold_frames(t, as_of))
+
+
+def _gold_frames(t: Tables, as_of: str) -> Mapping[str, DataFrame]:
     silver = silver_frames(t, as_of)
     cache: dict[str, DataFrame] = {}
 
