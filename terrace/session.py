@@ -20,8 +20,10 @@ def build_session(app_name: str = "terrace", master: str | None = None, shuffle_
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
     builder = builder.master(master)
     if master.startswith("local"):
-        # one machine: about one shuffle partition per core
+        # one machine: about one shuffle partition per core; all executors live in the driver JVM,
+        # so it gets the heap (the 1 GB default thrashes the collector on bigger runs)
         default_parts = os.cpu_count() or 8
+        builder = builder.config("spark.driver.memory", os.environ.get("TERRACE_DRIVER_MEMORY", "16g"))
     else:
         # a cluster: start wide and let AQE coalesce partitions to the advisory size, so a
         # 100 TB shuffle gets thousands of ~256 MB partitions and a small one just a few
