@@ -311,6 +311,39 @@ def drop_expired_days(spark: SparkSession, path: str, keep_days: int, today: str
     return sorted(removed)
 
 
+def retention_job(spark: SparkSession, lake: Lake, today: str, policy: dict[str, int] | None = None) -> dict[str, list]:
+    """Apply the retention policy: old snapshot versions (the current one always stays), landed
+    day folders, quarantine days and export folders older than their limits."""
+    from terrace.contracts import RETENTION_DAYS
+
+    policy = {**RETENTION_DAYS, **(policy or {})}
+    now = dt.datetime.combine(dt.date.fromisoformat(today), dt.time())
+    removed: dict[str, list] = {}
+    for zone in ("silver", "gold", "serve"):
+        for name in tables.list_children(spark, lake.zone(zone)):
+            if name.startswith("_"):
+                continue
+            gone = lake.snapshot(spark, zone, name).vacuum(policy["versions"], now=now)
+            if gone:
+                removed[f"{zone}.{name}"] = gone
+    for source in tables.list_children(spark, lake.zone("landing")):
+        for entity in tables.list_children(spark, f"{lake.zone('landing')}/{source}"):
+            path = f"{lake.zone('landing')}/{source}/{entity}"
+            gone = drop_expired_days(spark, path, policy["landing"], today, day_col="ingest_date")
+            if gone:
+                removed[f"landing.{source}.{entity}"] = gone
+    for name in tables.list_children(spark, lake.zone("quarantine")):
+        gone = drop_expired_days(spark, lake.table("quarantine", name), policy["quarantine"], today)
+        if gone:
+            removed[f"quarantine.{name}"] = gone
+    exports = f"{lake.zone('gold')}/_exports"
+    for name in tables.list_children(spark, exports):
+        gone = drop_expired_days(spark, f"{exports}/{name}", policy["exports"], today, day_col="run_date")
+        if gone:
+            removed[f"exports.{name}"] = gone
+    return removed
+
+
 # ------------------------------------------------------------------------ analog landing (bench)
 def land_analog(spark: SparkSession, lake: Lake, sf_dir: str, run_date: str) -> None:
     """Write the analog extracts of the driver tables as one day of landing files: Parquet for the
