@@ -40,3 +40,18 @@ def merge_delete_missing(target: DataFrame, source: DataFrame, key: str, order_b
         raise ValueError("refusing delete-missing merge with an empty source extract")
     agg, out = _merge(target, source, key, order_by)
     return agg.where(F.col("_in_source") == 1).select(*out)
+
+
+def merge_upsert_touched(target: DataFrame, source: DataFrame, key: str, order_by: str = "updated_at") -> DataFrame:
+    """``merge_upsert`` that only shuffles the target rows a small source touches.
+
+    Target rows are tagged by a left join with the source's keys: rows whose key is absent pass
+    through untouched (no shuffle of the big side when AQE broadcasts the measured-small key set),
+    rows whose key is present are merged with the source as usual. Same result as
+    ``merge_upsert``; cheaper when the day's changes are a small share of the table.
+    """
+    keys = source.select(key).withColumn("_touched", F.lit(True))
+    tagged = target.join(keys, key, "left")
+    untouched = tagged.where(F.col("_touched").isNull()).drop("_touched")
+    touched = tagged.where(F.col("_touched")).drop("_touched")
+    return untouched.unionByName(merge_upsert(touched, source, key, order_by))

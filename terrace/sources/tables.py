@@ -40,6 +40,12 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under a path (file-system metadata only, no Spark job); 0 when absent."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -126,6 +132,10 @@ class SnapshotTable:
             raise FileNotFoundError(f"table {self.name} has no committed version")
         return self.spark.read.parquet(f"{self.path}/version={v}")
 
+    def current_bytes(self) -> int:
+        v = self.current_version()
+        return 0 if v is None else path_bytes(self.spark, f"{self.path}/version={v}")
+
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 

@@ -41,6 +41,18 @@ def test_merge_equals_merge_semantics(spark, seed):
     assert {r.k: (r.updated_at, r.v) for r in got.collect()} == {k: (r[1], r[2]) for k, r in expect.items()}
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_touched_merge_equals_full_merge(spark, seed):
+    from terrace.operators.upsert import merge_upsert_touched
+
+    keys = [f"k{i}" for i in range(400)]
+    target = spark.createDataFrame(_side(seed, 300, keys), DDL)
+    source = spark.createDataFrame(_side(seed + 50, 40, keys), DDL)
+    full = sorted(merge_upsert(target, source, "k").collect())
+    touched = sorted(merge_upsert_touched(target, source, "k").collect())
+    assert full == touched
+
+
 def test_merge_equal_time_takes_update_null_source_never_wins(spark):
     t0 = dt.datetime(2026, 1, 1)
     target = spark.createDataFrame([("a", t0, 1), ("b", t0, 1), ("c", None, 1)], DDL)
