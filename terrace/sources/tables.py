@@ -3,7 +3,7 @@
 * Day tables (bronze, quarantine): one folder per ``_run_date``. Rewriting a day replaces exactly
   that folder, also when the new frame is empty (so a rerun after a rule fix clears quarantine).
 * Snapshot tables (silver, gold): every write goes to ``version=<n>/`` and is committed by
-  appending one row to ``_history``; readers take the newest committed version. A crashed write
+  writing one record file ``_history/v<n>.json``; readers take the newest committed version. A crashed write
   leaves an uncommitted folder that the next write of the same version replaces, so readers never
   see half a table, and a table being read is never overwritten in place.
 """
@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 
 from pyspark.errors import AnalysisException
@@ -40,6 +41,20 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def write_record(spark: SparkSession, path: str, record: dict) -> None:
+    """Write one small JSON-lines file (a commit or audit record) with the file-system API.
+
+    A single create-and-close is atomic on HDFS and object stores, so a reader sees the whole
+    record or none of it; no Spark job is needed for one row.
+    """
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray((json.dumps(record, default=str) + "\n").encode("utf-8")))
+    finally:
+        out.close()
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored under a path (file-system metadata only, no Spark job); 0 when absent."""
     fs, p = _fs(spark, path)
@@ -108,18 +123,16 @@ class SnapshotTable:
 
     def history(self) -> DataFrame:
         """Committed versions, newest first (version, committed_at, operation, rows)."""
-        if not path_exists(self.spark, self.history_path):
+        if not list_children(self.spark, self.history_path):
             return self.spark.createDataFrame([], HISTORY_DDL)
-        return self.spark.read.schema(HISTORY_DDL).parquet(self.history_path).orderBy(F.desc("version"))
+        return self.spark.read.schema(HISTORY_DDL).json(self.history_path).orderBy(F.desc("version"))
 
     def current_version(self, refresh: bool = False) -> int | None:
+        """Newest committed version, from the names of the commit records (a listing, no job)."""
         if self._known and not refresh:
             return self._version
-        if not path_exists(self.spark, self.history_path):
-            v = None
-        else:
-            row = self.spark.read.schema(HISTORY_DDL).parquet(self.history_path).agg(F.max("version").alias("v")).first()
-            v = None if row is None or row["v"] is None else int(row["v"])
+        versions = [int(n[1:-5]) for n in list_children(self.spark, self.history_path) if n.startswith("v") and n.endswith(".json")]
+        v = max(versions) if versions else None
         self._version, self._known = v, True
         return v
 
@@ -152,8 +165,8 @@ class SnapshotTable:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/version={version}")
         written = int(obs.get["rows"]) if rows is None else rows
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        entry = self.spark.createDataFrame([(self.name, version, now, operation, written)], HISTORY_DDL)
-        entry.coalesce(1).write.mode("append").parquet(self.history_path)
+        record = {"table_name": self.name, "version": version, "committed_at": now.isoformat(), "operation": operation, "rows": written}
+        write_record(self.spark, f"{self.history_path}/v{version:020d}.json", record)  # the commit point
         self._version, self._known = version, True
         log.info("%s: committed version %d (%s, %d rows)", self.name, version, operation, written)
         return version
@@ -194,5 +207,14 @@ def export_snapshot(df: DataFrame, root: str, table: str, run_date: str) -> str:
 
 
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Append audit rows (run_date, table_name, row_count, started_at, finished_at)."""
-    spark.createDataFrame(rows, AUDIT_DDL).coalesce(1).write.mode("append").parquet(path)
+    """Append audit rows (run_date, table_name, row_count, started_at, finished_at), one record file each."""
+    import uuid
+
+    names = [f.split()[0] for f in AUDIT_DDL.split(", ")]
+    for row in rows:
+        rec = {k: (v.isoformat() if isinstance(v, (dt.date, dt.datetime)) else v) for k, v in zip(names, row)}
+        write_record(spark, f"{path}/{rec['run_date']}-{rec['table_name']}-{uuid.uuid4().hex[:12]}.json", rec)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(AUDIT_DDL).json(path)
