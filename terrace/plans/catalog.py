@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from terrace.contracts import ENTITIES, LOAD_CONFIG, RULES, STAGING_CONTRACTS, Rule
 from terrace.operators import checks, observe, serve
 from terrace.operators.conform import conform, contract_cast
-from terrace.operators.dedupe import latest_per_key
 from terrace.operators.maintain import erase_subject, pseudonymise
 from terrace.operators.quality import FAILURES, apply_rules, breaches, failure_histogram, quality_counts
 from terrace.operators.upsert import merge_delete_missing, merge_upsert
 from terrace.plans import analog, pipeline
-from terrace.plans.analog import FRESHNESS_AS_OF, RUN_DATE, Tables
+from terrace.plans.analog import FRESHNESS_AS_OF, Tables
 from terrace.plans.oracle import SHORT, conform_select, silver_from, with_base
 from terrace.sources.landing import flatten_envelopes, parse_json_column, to_envelopes
 

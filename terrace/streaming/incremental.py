@@ -9,8 +9,6 @@ the same idempotent per-day bronze writer the batch job uses.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

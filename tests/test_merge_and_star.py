@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators import checks, observe, serve
-from terrace.operators.star import agg_market_monthly, build_gold, dim_date, fact_leases, fact_listings, fact_sales
+from terrace.operators.star import agg_market_monthly, dim_date, fact_leases, fact_listings, fact_sales
 from terrace.operators.upsert import merge_delete_missing, merge_upsert
 
 DDL = "k string, updated_at timestamp, v int"
