@@ -144,7 +144,8 @@ def monitors(metrics: DataFrame, definitions: Sequence[tuple[str, str, str, str,
         parts.append(
             metrics.where(F.col("metric") == metric)
             .groupBy(F.window("ts", width).alias("w"))
-            .agg(aggs[agg]("value").alias("value"))
+            # rounded to 1e-9 so the reading does not depend on the order partial sums were combined
+            .agg(F.round(aggs[agg]("value"), 9).alias("value"))
             .select(
                 F.lit(name).alias("monitor"), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 "value", F.lit(limit).alias("limit"), (F.col("value") > F.lit(limit)).alias("alert"),

@@ -672,8 +672,8 @@ def slo_q(t: Tables) -> DataFrame:
 def _monitor_sql(name: str, metric: str, agg: str, minutes: int, limit: float) -> str:
     return (
         f"SELECT '{name}' AS monitor, time_bucket(INTERVAL {minutes} MINUTE, ts) AS window_start, "
-        f"time_bucket(INTERVAL {minutes} MINUTE, ts) + INTERVAL {minutes} MINUTE AS window_end, {agg}(value) AS value, "
-        f"CAST({limit} AS DOUBLE) AS \"limit\", {agg}(value) > {limit} AS alert FROM ({_RUN_METRICS_SQL}) WHERE metric = '{metric}' GROUP BY 2, 3"
+        f"time_bucket(INTERVAL {minutes} MINUTE, ts) + INTERVAL {minutes} MINUTE AS window_end, round({agg}(value), 9) AS value, "
+        f"CAST({limit} AS DOUBLE) AS \"limit\", round({agg}(value), 9) > {limit} AS alert FROM ({_RUN_METRICS_SQL}) WHERE metric = '{metric}' GROUP BY 2, 3"
     )
 
 
