@@ -558,6 +558,15 @@ def upsert_merge(t: Tables) -> DataFrame:
     return merge_upsert(day1, day2, "transaction_id")
 
 
+@register("upsert_merge_touched", _merge_sql(False))
+def upsert_merge_touched(t: Tables) -> DataFrame:
+    """K7 for a small day: only target rows whose key the batch touches are shuffled and merged."""
+    from terrace.operators.upsert import merge_upsert_touched
+
+    day1, day2 = _sales_days(t)
+    return merge_upsert_touched(day1, day2, "transaction_id")
+
+
 @register("upsert_delete_missing", _merge_sql(True))
 def upsert_delete_missing(t: Tables) -> DataFrame:
     """Merge of a full extract, deleting target keys the extract no longer has."""
