@@ -153,7 +153,7 @@ class SnapshotTable:
         return self.read() if self.exists() else None
 
     def commit(self, df: DataFrame, operation: str, rows: int | None = None) -> int:
-        """Write ``df`` as the next version, then append the history row that makes it visible.
+        """Write ``df`` as the next version, then write the commit record that makes it visible.
 
         Row counts come from an ``Observation`` on the write itself (no second pass over the data).
         """
