@@ -140,12 +140,26 @@ def silver_entity(spark: SparkSession, lake: Lake, name: str, run_date: str, as_
     }
 
 
-def silver_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, processed_at: str | None = None) -> dict[str, dict]:
+def _in_parallel(fns: dict, workers: int | None = None) -> dict:
+    """Run independent Spark actions concurrently from a few driver threads (one session; Spark
+    schedules their tasks side by side). Results keep the input order; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(fns) <= 1 or workers == 1:
+        return {k: f() for k, f in fns.items()}
+    with ThreadPoolExecutor(max_workers=workers or len(fns)) as pool:
+        futures = {k: pool.submit(f) for k, f in fns.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
+def silver_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, processed_at: str | None = None, workers: int | None = None) -> dict[str, dict]:
+    """All entities of one run date; entities are independent, so their jobs run concurrently."""
     check_run_date(run_date)
-    results = {}
+    results = _in_parallel(
+        {name: (lambda n=name: silver_entity(spark, lake, n, run_date, as_of, processed_at)) for name in ENTITIES}, workers
+    )
     for name, entity in ENTITIES.items():
-        r = silver_entity(spark, lake, name, run_date, as_of, processed_at)
-        results[name] = r
+        r = results[name]
         if metrics:
             for k, metric in QUALITY_METRICS.items():
                 metrics.gauge(metric, r[k], source=entity.source, entity=name)
@@ -165,7 +179,7 @@ def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return out
 
 
-def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, now: str | None = None) -> dict[str, int]:
+def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, now: str | None = None, workers: int | None = None) -> dict[str, int]:
     """Rebuild the seven gold tables as new snapshot versions, export each, emit freshness.
 
     Dimensions and facts are built from silver and committed first; the calendar and the market
@@ -187,13 +201,19 @@ def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog
         counts[name] = int(obs.get["n"])
 
     props = silver["properties"]
-    publish("dim_property", star.dim_property(props))
-    publish("dim_agent", star.dim_agent(silver["agents"]))
-    publish("fact_sales", star.fact_sales(silver["sales_transactions"], props))
-    publish("fact_leases", star.fact_leases(silver["leases"]))
-    publish("fact_listings", star.fact_listings(silver["listings"], as_of))
-    publish("dim_date", star.dim_date(committed["fact_sales"], committed["fact_leases"], committed["fact_listings"]))
-    publish("agg_market_monthly", star.agg_market_monthly(committed["fact_sales"], committed["dim_property"]))
+    # wave 1: dimensions and facts from silver (independent, run concurrently)
+    _in_parallel({
+        "dim_property": lambda: publish("dim_property", star.dim_property(props)),
+        "dim_agent": lambda: publish("dim_agent", star.dim_agent(silver["agents"])),
+        "fact_sales": lambda: publish("fact_sales", star.fact_sales(silver["sales_transactions"], props)),
+        "fact_leases": lambda: publish("fact_leases", star.fact_leases(silver["leases"])),
+        "fact_listings": lambda: publish("fact_listings", star.fact_listings(silver["listings"], as_of)),
+    }, workers)
+    # wave 2: derived from the committed facts
+    _in_parallel({
+        "dim_date": lambda: publish("dim_date", star.dim_date(committed["fact_sales"], committed["fact_leases"], committed["fact_listings"])),
+        "agg_market_monthly": lambda: publish("agg_market_monthly", star.agg_market_monthly(committed["fact_sales"], committed["dim_property"])),
+    }, workers)
     fresh = checks.freshness(silver, now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")).where("entity = 'all'").first()
     if metrics and fresh is not None and fresh["freshness_minutes"] is not None:
         metrics.gauge("freshness.minutes", fresh["freshness_minutes"])
