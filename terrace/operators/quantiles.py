@@ -41,7 +41,7 @@ def _bucket_of(x: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Col
     return F.when(x <= F.lit(cuts[mid]), _bucket_of(x, cuts, lo, mid)).otherwise(_bucket_of(x, cuts, mid + 1, hi))
 
 
-def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 256, final_rows: int = 10_000, accuracy: int = 100_000) -> list:
+def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 64, final_rows: int = 10_000, accuracy: int = 10_000) -> list:
     """Values at the given 1-based ``ranks`` of ``values`` = frame of (``x``, ``c`` = multiplicity).
 
     The candidate range narrows to the buckets spanning all requested ranks at once (for a median
@@ -104,11 +104,11 @@ def kth_smallest(values: DataFrame, k: int, **kw):
     return order_statistics(values, [k], **kw)[0]
 
 
-def exact_median(df: DataFrame, column: str, **kw):
+def exact_median(df: DataFrame, column: str, count: int | None = None, **kw):
     """Exact median of a numeric column (mean of the two middle values for an even count).
 
     Returns a Python value (Decimal for decimals, float otherwise); NULLs are ignored and an empty
-    column gives ``None``.
+    column gives ``None``. ``count`` (non-NULL values), when already known, saves one pass.
     """
     from pyspark import StorageLevel
 
@@ -117,7 +117,7 @@ def exact_median(df: DataFrame, column: str, **kw):
         .persist(StorageLevel.MEMORY_AND_DISK)  # reused by every narrowing step; recomputed if lost
     )
     try:
-        n = values.agg(F.sum("c").alias("n")).first()["n"] or 0
+        n = count if count is not None else (values.agg(F.sum("c").alias("n")).first()["n"] or 0)
         if n == 0:
             return None
         lower, upper = order_statistics(values, [(n + 1) // 2, n // 2 + 1], **kw)

@@ -69,8 +69,9 @@ def measures(fact_sales: DataFrame, fact_listings: DataFrame, fact_leases: DataF
             F.sum("sale_price").cast(v).alias("sales_volume"),
             F.avg("price_per_sqft").cast(v).alias("avg_price_per_sqft"),
             F.avg("days_to_close").cast(v).alias("avg_days_to_close"),
+            F.count("sale_price").alias("_n"),
         ).first()
-        median = exact_median(narrow, "sale_price")
+        median = exact_median(narrow, "sale_price", count=row["_n"])
     finally:
         narrow.unpersist()
     spark = fact_sales.sparkSession
