@@ -17,14 +17,26 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def orphan_counts(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """For each (fact name, fact, fk column, dimension, dimension key): rows whose key has no match."""
-    parts = []
+    """For each (fact name, fact, fk column, dimension, dimension key): rows whose key has no match.
+
+    All foreign keys of one fact are checked in a single pass: the fact is left-joined to each
+    dimension's (distinct) key set with a match tag, and one aggregation counts the untagged rows
+    per key (a NULL key never matches, as in an anti join).
+    """
+    by_fact: dict[str, list] = {}
+    facts: dict[str, DataFrame] = {}
     for fact_name, fact, fk, dim, dim_key in checks:
-        keys = dim.select(F.col(dim_key).alias(fk))
-        parts.append(
-            fact.select(fk).join(keys, fk, "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
-            .select(F.lit(fact_name).alias("fact"), F.lit(fk).alias("fk"), "orphans")
-        )
+        by_fact.setdefault(fact_name, []).append((fk, dim, dim_key))
+        facts[fact_name] = fact
+    parts = []
+    for fact_name, fks in by_fact.items():
+        tagged = facts[fact_name].select(*[fk for fk, _, _ in fks])
+        for i, (fk, dim, dim_key) in enumerate(fks):
+            keys = dim.select(F.col(dim_key).alias(fk)).distinct().withColumn(f"_hit{i}", F.lit(True))
+            tagged = tagged.join(keys, fk, "left")
+        counts = tagged.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"o{i}") for i in range(len(fks))])
+        stacked = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(f"o{i}").alias("orphans")) for i, (fk, _, _) in enumerate(fks)]))
+        parts.append(counts.select(stacked.alias("s")).select(F.lit(fact_name).alias("fact"), "s.fk", "s.orphans"))
     return union_all(parts)
 
 
