@@ -509,13 +509,16 @@ def silent_change_check(t: Tables) -> DataFrame:
     return checks.silent_changes(st.valid, st.silver, "transaction_id", _SALES_PAYLOAD).distinct()
 
 
+_NEWEST_SQL = " UNION ALL ".join(
+    [f"SELECT '{n}' AS entity, max(_ingested_at) AS newest_ingest FROM s_{s}" for n, s in SHORT.items()]
+    + ["SELECT 'all', max(m) FROM (" + " UNION ALL ".join(f"SELECT max(_ingested_at) AS m FROM s_{s}" for s in SHORT.values()) + ")"]
+)
+_MINUTES_SQL = f"(epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(newest_ingest)) / 60000000.0"
+
+
 @register(
     "freshness",
-    " UNION ALL ".join(
-        [f"SELECT '{n}' AS entity, max(_ingested_at) AS newest_ingest FROM s_{s}" for n, s in SHORT.items()]
-        + [" SELECT 'all', max(m) FROM (" + " UNION ALL ".join(f"SELECT max(_ingested_at) AS m FROM s_{s}" for s in SHORT.values()) + ")"]
-    ).join(["SELECT entity, newest_ingest, (epoch_us(TIMESTAMP '" + FRESHNESS_AS_OF + "') - epoch_us(newest_ingest)) / 60000000.0 AS freshness_minutes, "
-            "coalesce((epoch_us(TIMESTAMP '" + FRESHNESS_AS_OF + "') - epoch_us(newest_ingest)) / 60000000.0 <= 30.0, false) AS satisfied FROM (", ")"]),
+    f"SELECT entity, newest_ingest, {_MINUTES_SQL} AS freshness_minutes, coalesce({_MINUTES_SQL} <= 30.0, false) AS satisfied FROM ({_NEWEST_SQL})",
 )
 def freshness_q(t: Tables) -> DataFrame:
     """A4: minutes since the newest ingest per entity and overall, against the 30-minute limit."""
