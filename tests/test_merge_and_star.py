@@ -186,3 +186,13 @@ def test_kth_smallest_exact_with_narrowing(spark):
         assert kth_smallest(vals, k, buckets=4, final_rows=10) == s[k - 1]
     med = exact_median(df, "x", buckets=4, final_rows=10)
     assert med == (s[len(s) // 2 - 1] + s[len(s) // 2]) / 2
+
+
+def test_clustered_layout_splits_a_hot_key(spark):
+    from terrace.operators.maintain import clustered_layout
+
+    df = spark.range(4000).selectExpr("IF(id % 10 < 7, 'HOT', concat('k', id)) AS k", "id")
+    parts = clustered_layout(df, "k", 4, tiebreak=["id"]).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    sizes = sorted(r["count"] for r in parts)
+    assert sum(sizes) == 4000 and len(sizes) == 4
+    assert max(sizes) < 0.5 * 4000  # the 70 % key is spread over several files
