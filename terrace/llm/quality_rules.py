@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import BLANKS, fresh, let, settle, whole_text
+from terrace.llm.common import BLANKS, fresh, let, settle, whole_text, without
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -31,13 +31,6 @@ HOST_RATE = 0.9
 PRIOR_WEIGHT = (10.0, 10_000.0)
 
 
-def without(text: Column, characters: str, instead: str = "") -> Column:
-    """``text`` with each of the characters replaced; a byte search each, faster than ``translate``."""
-    for c in characters:
-        text = F.replace(text, F.lit(c), F.lit(instead)) if instead else F.replace(text, F.lit(c))
-    return text
-
-
 def words_of(text: Column) -> Column:
     """The words of a text as an array."""
     return F.array_remove(F.split(without(text, BLANKS[1:], " "), " ", -1), "")

@@ -6,25 +6,78 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import quality_rules
+from terrace.llm import exact_dedup, mixing, quality_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature mixing of the sources, at most two passes over any, none cut below one."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op2_digest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact dedup through a history of digests."""
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards over fixed virtual slots, and the shard after one more is added."""
+    return sharding.shard(table(spark, sf_dir, "documents"), 8)
+
+
 def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules with host verdicts."""
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_temperature_mix": op1_temperature_mix,
+    "op2_digest_history": op2_digest_history,
+    "op3_virtual_slots": op3_virtual_slots,
     "op9_host_quality": op9_host_quality,
 }
 
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-
 ORACLE: dict[str, str] = {
+    "op1_temperature_mix": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens FROM documents),
+s AS (SELECT source, sum(tokens)::BIGINT AS n FROM d GROUP BY source),
+ns AS (SELECT list(n::DOUBLE) AS l, sum(n)::DOUBLE AS t FROM s WHERE n > 0),
+b AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL
+  SELECT i + 1, CASE WHEN bad THEN (lo + hi) / 2 ELSE lo END, CASE WHEN bad THEN hi ELSE (lo + hi) / 2 END
+  FROM (
+    SELECT b.*, list_max(list_transform(l, lambda x: pow(x / t, (lo + hi) / 2) / x))
+      / list_min(list_transform(l, lambda x: pow(x / t, (lo + hi) / 2) / x)) > 2.0 AS bad
+    FROM b, ns WHERE i < 30)),
+a AS (SELECT round(hi, 6) AS a FROM b WHERE i = 30),
+p AS (SELECT sum(pow(n / t, a)) AS z, min(pow(n / t, a) / n) AS least FROM s, ns, a WHERE n > 0),
+g AS (
+  SELECT source, n, greatest(n, round(pow(n / t, a) / z * (z / least))::BIGINT) AS budget, greatest(1, ceil(floor(z / least) / 1048576)) AS nb
+  FROM s, ns, a, p),
+e AS (SELECT *, CASE WHEN n > 0 THEN budget // n ELSE 1 END AS whole, CASE WHEN n > 0 THEN budget % n ELSE 0 END AS rest FROM g),
+x AS (
+  SELECT doc_id, d.source, tokens, e.whole, e.rest, e.budget, e.nb, unnest(range(0, (e.whole + (e.rest > 0)::INT)::BIGINT)) AS pass
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+y AS (SELECT *, ('0x' || substr(md5('0:' || pass || ':' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS h FROM x),
+c AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY pass, h, doc_id, tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM y)
+SELECT doc_id, source, tokens AS n_tokens, pass, CASE WHEN budget > 0 THEN least(floor(before / budget * nb), nb - 1) ELSE 0 END::BIGINT AS block,
+  ('0x' || substr(md5('0:block:' || pass || ':' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS block_order
+FROM c WHERE pass < whole OR before < budget""",
+    "op2_digest_history": r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h,
+    row_number() OVER () AS r FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+  first_value(r) OVER w = r AS kept, h AS text_sha256
+FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST, r)""",
     "op9_host_quality": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, t, doc_id, source, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
