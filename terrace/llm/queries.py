@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, mixing, quality_rules, sharding
+from terrace.llm import exact_dedup, mixing, quality_rules, secret_scan, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
 
+def op8_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by fixed patterns and by tests of randomness."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules with host verdicts."""
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -37,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_digest_history": op2_digest_history,
     "op3_virtual_slots": op3_virtual_slots,
+    "op8_randomness_battery": op8_randomness_battery,
     "op9_host_quality": op9_host_quality,
 }
 
