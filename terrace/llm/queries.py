@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, mixing, quality_rules, secret_scan, sharding
+from terrace.llm import exact_dedup, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,23 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file, which every machine of the cluster has."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids with source spans, and the decoded texts."""
+    return piece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op6_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts with overlapping chunks for huge documents."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op8_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by tests of randomness."""
     return secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -38,12 +55,20 @@ def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written as Simple-8b blocks and read back."""
+    return simple8b.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_digest_history": op2_digest_history,
     "op3_virtual_slots": op3_virtual_slots,
+    "op4_piece_offsets": op4_piece_offsets,
+    "op6_overlap_counts": op6_overlap_counts,
     "op8_randomness_battery": op8_randomness_battery,
     "op9_host_quality": op9_host_quality,
+    "op10_simple8b": op10_simple8b,
 }
 
 ORACLE: dict[str, str] = {
