@@ -212,9 +212,10 @@ def encode_documents(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
                     out |= {"ids": ids, "span_ends": [None if e is None else e.tolist() for e in ends]}
                 yield pd.DataFrame(out)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    schema = f"doc_id long, {ENCODED}" + (", ids array<int>, span_ends array<long>" if keep_ids else "")
-    return rows.mapInPandas(run, schema)
+    # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
+    rows = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), whole_text(text).alias("text"))
+    schema = f"doc_id string, {ENCODED}" + (", ids array<int>, span_ends array<long>" if keep_ids else "")
+    return rows.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def decode_ids(rows: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
+from terrace.llm import dart_minhash, exact_dedup, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op6_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes by DartMinHash."""
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by tests of randomness."""
     return secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_virtual_slots": op3_virtual_slots,
     "op4_piece_offsets": op4_piece_offsets,
     "op6_overlap_counts": op6_overlap_counts,
+    "op7_dart_minhash": op7_dart_minhash,
     "op8_randomness_battery": op8_randomness_battery,
     "op9_host_quality": op9_host_quality,
     "op10_simple8b": op10_simple8b,

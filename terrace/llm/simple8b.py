@@ -173,7 +173,9 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, doc_
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(run, BLOCKS).write.parquet(path)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
+    ordered.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, BLOCKS).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:

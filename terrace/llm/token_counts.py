@@ -144,5 +144,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": frame["n_bytes"], "n_tokens": n, "over_limit": [x > limit for x in n]})
 
     t = whole_text(text)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.octet_length(t).cast("long").alias("n_bytes"), t.alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
+    rows = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), F.octet_length(t).cast("long").alias("n_bytes"), t.alias("text"))
+    counted = rows.mapInPandas(run, "doc_id string, n_bytes long, n_tokens long, over_limit boolean")
+    return counted.withColumn("doc_id", F.col("doc_id").cast("long"))
