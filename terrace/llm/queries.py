@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import dart_minhash, exact_dedup, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
+from terrace.llm import dart_minhash, exact_dedup, html_density, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op4_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of the pages by composite text density."""
+    return html_density.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts with overlapping chunks for huge documents."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_digest_history": op2_digest_history,
     "op3_virtual_slots": op3_virtual_slots,
     "op4_piece_offsets": op4_piece_offsets,
+    "op5_text_density": op5_text_density,
     "op6_overlap_counts": op6_overlap_counts,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_randomness_battery": op8_randomness_battery,
