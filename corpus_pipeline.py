@@ -2,15 +2,18 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
 ``run`` writes each stage's result as Parquet in the shared folder and reads it back as the next
-stage's documents, so a lost executor never reaches back beyond one stage.
+stage's documents, so a lost executor never reaches back beyond one stage. All stages but the last
+return the columns of documents. After the mixing a document occurs once per pass over its source, at
+most twice, and at least once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import quality_rules
+from terrace.llm import dart_minhash, exact_dedup, mixing, piece_codec, quality_rules
 from terrace.llm.common import settle
+from terrace.llm.queries import tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,11 +21,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_documents(docs)
 
 
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one stays."""
+    return exact_dedup.keep_documents(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates one stays."""
+    return dart_minhash.keep_documents(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are repeated up to their weights in the mixture."""
+    return mixing.mix_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and source spans of every document of the mixture."""
+    return piece_codec.encode_documents(docs, tokenizer("piece_bpe_32k.model"), keep_ids=True)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("exact dedup", exact),
+    ("near dedup", near),
+    ("mixing", mix),
+    ("sentencepiece", encode),
 ]
 
-#: MinHash signatures and the library's token ids are beyond SQL; tests hold the rows against brute force.
+#: MinHash classes and the library's token ids are beyond SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
