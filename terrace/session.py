@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "terrace", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """Session tuned for the medallion jobs.
+    """Session tuned for the medallion jobs. The master is set only when the caller names one, so
+    that ``spark-submit --master`` and the cluster's defaults hold otherwise.
 
     AQE is on so that shuffle widths coalesce to the data, skewed join partitions are split at
     run time, and a join side whose *measured* shuffle output is under
@@ -17,24 +18,16 @@ def build_session(app_name: str = "terrace", master: str | None = None, shuffle_
     check happens on real bytes, so nothing is broadcast that grows past the limit).
     """
     builder = SparkSession.builder.appName(app_name)
-    master = master or os.environ.get("SPARK_MASTER", "local[*]")
-    builder = builder.master(master)
-    if master.startswith("local"):
-        # one machine: about one shuffle partition per core; all executors live in the driver JVM,
-        # so it gets the heap (the 1 GB default thrashes the collector on bigger runs)
-        default_parts = os.cpu_count() or 8
-        builder = builder.config("spark.driver.memory", os.environ.get("TERRACE_DRIVER_MEMORY", "16g"))
-    else:
-        # a cluster: start wide and let AQE coalesce partitions to the advisory size, so a
-        # 100 TB shuffle gets thousands of ~256 MB partitions and a small one just a few
-        default_parts = 4000
-        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256MB")
-    parts = shuffle_partitions or int(os.environ.get("TERRACE_SHUFFLE_PARTITIONS", str(default_parts)))
+    if master:
+        builder = builder.master(master)
+    if (master or "").startswith("local"):
+        # all executors live in the driver JVM, so it gets half of the machine, 16 GB at most
+        half = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // 2**31
+        builder = builder.config("spark.driver.memory", os.environ.get("TERRACE_DRIVER_MEMORY", f"{max(1, min(16, half))}g"))
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -43,6 +36,13 @@ def build_session(app_name: str = "terrace", master: str | None = None, shuffle_
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
+    local = spark.sparkContext.master.startswith("local")
+    # one machine: a partition per core; a cluster: start wide and let AQE coalesce to the advisory
+    # size, so a 100 TB shuffle gets thousands of 256 MB partitions and a small one just a few
+    parts = shuffle_partitions or int(os.environ.get("TERRACE_SHUFFLE_PARTITIONS", str((os.cpu_count() or 8) if local else 4000)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    if not local:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256MB")
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
