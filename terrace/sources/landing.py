@@ -23,27 +23,39 @@ def _missing_path(exc: AnalysisException) -> bool:
     return cond == "PATH_NOT_FOUND" or "Path does not exist" in str(exc)
 
 
-def read_landing(spark: SparkSession, path: str, entity: Entity, explicit_schema: bool = True) -> DataFrame | None:
-    """Read one landed extract; ``None`` when the folder is absent (the day had no delivery).
+EXTRA_FIELDS = "_extra_fields"
 
-    JSON is read with the entity's landed schema as text columns plus ``_corrupt_record`` in
-    PERMISSIVE mode, so a malformed line is kept for quarantine instead of failing the job or
-    being silently dropped. ``_source_file`` comes from the file-metadata pseudo-column.
+
+def json_records(lines: DataFrame, entity: Entity) -> DataFrame:
+    """Landed JSON lines (column ``value``) as the contract's columns in text form.
+
+    Fields outside the contract stay with the row in the map ``_extra_fields``, nested ones as JSON, so
+    a field that the source adds is in bronze from its first day. A line that is no JSON object is kept
+    whole in ``_corrupt_record`` with all else NULL. One pass, no schema inference.
     """
+    known = F.array(*[F.lit(c) for c in entity.column_names])
+    fields = lines.where(F.trim("value") != "").withColumn("f", F.from_json("value", "map<string,string>"))
+    extra = F.map_filter("f", lambda k, _: ~F.array_contains(known, k))
+    return fields.select(
+        *[F.col("f").getItem(c).alias(c) for c in entity.column_names],
+        F.when(F.size(extra) > 0, extra).alias(EXTRA_FIELDS),
+        F.when(F.col("f").isNull(), F.col("value")).alias("_corrupt_record"),
+        "_source_file",
+    )
+
+
+def read_landing(spark: SparkSession, path: str, entity: Entity) -> DataFrame | None:
+    """One landed extract, or ``None`` where the day brought none. Every column that the source sent is
+    kept (JSON: see ``json_records``); ``_source_file`` is the file a row came from."""
+    reader = spark.read.format("text" if entity.file_format == "json" else entity.file_format)
     try:
-        if entity.file_format == "json":
-            ddl = ", ".join(f"`{c}` string" for c in entity.column_names) + ", `_corrupt_record` string"
-            reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-            reader = reader.schema(ddl) if explicit_schema else reader
-            df = reader.json(path)
-        else:
-            df = spark.read.format(entity.file_format).load(path)
+        landed = reader.load(path).withColumn("_source_file", F.col("_metadata.file_path"))
     except AnalysisException as exc:
-        if _missing_path(exc):
-            log.warning("no landing data for %s at %s", entity.name, path)
-            return None
-        raise
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+        if not _missing_path(exc):
+            raise
+        log.warning("%s: nothing landed under %s", entity.name, path)
+        return None
+    return json_records(landed, entity) if entity.file_format == "json" else landed
 
 
 def parse_json_column(df: DataFrame, column: str, schema: str) -> DataFrame:

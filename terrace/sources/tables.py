@@ -2,10 +2,10 @@
 
 * Day tables (bronze, quarantine): one folder per ``_run_date``. Rewriting a day replaces exactly
   that folder, also when the new frame is empty (so a rerun after a rule fix clears quarantine).
-* Snapshot tables (silver, gold): every write goes to ``version=<n>/`` and is committed by
-  writing one record file ``_history/v<n>.json``; readers take the newest committed version. A crashed write
-  leaves an uncommitted folder that the next write of the same version replaces, so readers never
-  see half a table, and a table being read is never overwritten in place.
+* Snapshot tables (silver, gold): every write goes to a folder of its own and is committed by creating
+  the record file ``_history/v<n>.json``, which names the folder. The record is never overwritten: of
+  two writers of one version the second fails and takes its folder away. Readers take the newest
+  committed version, so they never see half a table.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,19 +49,13 @@ def write_record(spark: SparkSession, path: str, record: dict) -> None:
     record or none of it; no Spark job is needed for one row.
     """
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    out = fs.create(p, False)  # fails if the record is there
     try:
         out.write(bytearray((json.dumps(record, default=str) + "\n").encode("utf-8")))
     finally:
         out.close()
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes stored under a path (file-system metadata only, no Spark job); 0 when absent."""
-    fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -68,6 +63,10 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def has_data(spark: SparkSession, folder: str) -> bool:
+    return any(n.startswith("part-") for n in list_children(spark, folder))
+
+
 # ------------------------------------------------------------------------------- day tables
 def write_day(df: DataFrame, path: str, run_date: str, day_col: str = "_run_date") -> None:
     """Replace one day of a day-partitioned table (idempotent; an empty frame clears the day).
@@ -81,11 +80,6 @@ def write_day(df: DataFrame, path: str, run_date: str, day_col: str = "_run_date
     out.write.mode("overwrite").parquet(target)
 
 
-def write_days(df: DataFrame, path: str, day_col: str = "_run_date") -> None:
-    """Replace every day present in ``df`` (dynamic partition overwrite), e.g. for a backfill."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
-
-
 def read_days(spark: SparkSession, path: str, run_date: str | None = None, day_col: str = "_run_date") -> DataFrame | None:
     """A day table (all days, schemas merged), or one day.
 
@@ -139,15 +133,16 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
+    def folder(self, version: int) -> str:
+        """The data folder that a committed version names."""
+        row = self.spark.read.schema("folder string").json(f"{self.history_path}/v{version:020d}.json").first()
+        return f"{self.path}/{row['folder']}"
+
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"table {self.name} has no committed version")
-        return self.spark.read.parquet(f"{self.path}/version={v}")
-
-    def current_bytes(self) -> int:
-        v = self.current_version()
-        return 0 if v is None else path_bytes(self.spark, f"{self.path}/version={v}")
+        return self.spark.read.parquet(self.folder(v))
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
@@ -161,37 +156,48 @@ class SnapshotTable:
 
         cur = self.current_version()
         version = 0 if cur is None else cur + 1
+        folder = f"data-{version}-{uuid.uuid4().hex[:12]}"
         obs = Observation(f"rows_{self.name}_{version}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.path}/{folder}")
         written = int(obs.get["rows"]) if rows is None else rows
+        try:
+            self._record(version, operation, written, folder)
+        except Exception:
+            remove_path(self.spark, f"{self.path}/{folder}")
+            self._known = False  # another writer was first
+            raise
+        return version
+
+    def _record(self, version: int, operation: str, rows: int, folder: str) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        record = {"table_name": self.name, "version": version, "committed_at": now.isoformat(), "operation": operation, "rows": written}
+        record = {"table_name": self.name, "version": version, "committed_at": now.isoformat(), "operation": operation, "rows": rows, "folder": folder}
         write_record(self.spark, f"{self.history_path}/v{version:020d}.json", record)  # the commit point
         self._version, self._known = version, True
-        log.info("%s: committed version %d (%s, %d rows)", self.name, version, operation, written)
-        return version
+        log.info("%s: version %d, %s, %d rows", self.name, version, operation, rows)
 
     def restore(self, version: int) -> int:
-        """Make an earlier version current again by committing a copy of it (history is kept)."""
-        return self.commit(self.read(version), f"RESTORE {version}")
-
-    def vacuum(self, keep_days: float, now: dt.datetime | None = None, keep_latest: int = 1) -> list[int]:
-        """Delete version folders older than ``keep_days`` except the newest ``keep_latest`` versions
-        and any uncommitted folder newer than the current version. Returns the removed versions."""
-        hist = self.history().collect()  # one row per committed version: small by construction
-        if not hist:
-            return []
-        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        cutoff = now - dt.timedelta(days=keep_days)
-        newest = sorted({int(r["version"]) for r in hist}, reverse=True)[:keep_latest]
-        removed = []
-        for r in hist:
-            v = int(r["version"])
-            if v in newest or r["committed_at"] >= cutoff:
-                continue
-            if remove_path(self.spark, f"{self.path}/version={v}"):
-                removed.append(v)
-        return sorted(removed)
+        """Make an earlier version current again: a new version that names the same folder."""
+        old = self.history().where(F.col("version") == version).first()
+        if old is None:
+            raise ValueError(f"{self.name} has no version {version}")
+        now = self.current_version() + 1
+        self._record(now, f"RESTORE {version}", old["rows"], self.folder(version).rsplit("/", 1)[-1])
+        return now
+
+    def vacuum(self, keep_days: float, now: dt.datetime | None = None) -> list[int]:
+        """Remove the versions that were superseded more than ``keep_days`` ago, with their records, and
+        every folder that no remaining version names. A version counts from when the next one was
+        committed, so what was current within the time can be restored. Returns the removed versions."""
+        hist = [(r["version"], r["committed_at"]) for r in self.history().orderBy("version").collect()]
+        cutoff = (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) - dt.timedelta(days=keep_days)
+        gone = [v for (v, _), (_, until) in zip(hist, hist[1:]) if until < cutoff]
+        named = {v: self.folder(v).rsplit("/", 1)[-1] for v, _ in hist}
+        kept = {named[v] for v, _ in hist if v not in gone}
+        for v in gone:
+            if named[v] not in kept:
+                remove_path(self.spark, f"{self.path}/{named[v]}")
+            remove_path(self.spark, f"{self.history_path}/v{v:020d}.json")
+        return gone
 
 
 # ------------------------------------------------------------------------------- exports, audit
@@ -199,17 +205,8 @@ def export_path(root: str, table: str, run_date: str) -> str:
     return f"{root}/_exports/{table}/run_date={run_date}"
 
 
-def export_snapshot(df: DataFrame, root: str, table: str, run_date: str) -> str:
-    """Plain Parquet copy of a gold table for one run date (consumed by the serving load)."""
-    path = export_path(root, table, run_date)
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     """Append audit rows (run_date, table_name, row_count, started_at, finished_at), one record file each."""
-    import uuid
-
     names = [f.split()[0] for f in AUDIT_DDL.split(", ")]
     for row in rows:
         rec = {k: (v.isoformat() if isinstance(v, (dt.date, dt.datetime)) else v) for k, v in zip(names, row)}

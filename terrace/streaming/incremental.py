@@ -1,15 +1,12 @@
-"""Incremental extract by ``updated_at`` watermark (L9) and an incremental landing → bronze stream.
+"""Incremental extract by ``updated_at`` watermark.
 
-The batch form reads only rows newer than the target's high-watermark; because the watermark is a
-literal by the time the filter is planned, Catalyst pushes it into the Parquet scan.
-The streaming form uses Structured Streaming's file source with ``availableNow``: each trigger
-processes only files not yet recorded in the checkpoint, and ``foreachBatch`` hands each batch to
-the same idempotent per-day bronze writer the batch job uses.
+Only rows newer than the target's high watermark are read; the watermark is a literal by the time the
+filter is planned, so Catalyst pushes it into the Parquet scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,45 +20,3 @@ def newer_than(source: DataFrame, column: str, watermark) -> DataFrame:
     if watermark is None:
         return source
     return source.where(F.col(column) > F.lit(watermark))
-
-
-def stream_to_bronze(
-    spark: SparkSession,
-    landing_root: str,
-    bronze_path: str,
-    schema: str,
-    file_format: str = "json",
-    checkpoint: str | None = None,
-    run_date_from: str | None = None,
-):
-    """Ingest every landed file of an entity exactly once into a day-partitioned bronze table.
-
-    Structured Streaming's file source remembers processed files in the checkpoint, and the
-    Parquet file sink commits each micro-batch through its own log, so a restarted or replayed
-    batch never duplicates rows. ``availableNow`` processes the backlog and stops, which makes the
-    stream usable from a daily scheduler. The checkpoint defaults to a folder under the cluster's
-    ``spark.checkpoint.dir``. ``run_date_from`` names a timestamp/date column deciding the day;
-    without it the day comes from the landing folder name (``ingest_date=<d>``).
-    """
-    from terrace.session import ensure_checkpoint_dir
-
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream_bronze/{bronze_path.strip('/').replace('/', '_')}"
-    reader = spark.readStream.schema(schema).format(file_format)
-    if file_format == "json":
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-    stream = reader.option("recursiveFileLookup", "true").load(landing_root).withColumn("_source_file", F.col("_metadata.file_path"))
-    if run_date_from:
-        day = F.to_date(F.col(run_date_from))
-    else:
-        day = F.to_date(F.regexp_extract(F.col("_source_file"), r"ingest_date=(\d{4}-\d{2}-\d{2})", 1))
-    out = stream.withColumns({"_ingested_at": F.current_timestamp(), "_run_date": day})
-    query = (
-        out.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("_run_date")
-        .trigger(availableNow=True)
-        .start(bronze_path)
-    )
-    query.awaitTermination()
-    return query
