@@ -1,7 +1,6 @@
 """Column-expression helpers (all built-in Spark functions, codegen friendly)."""
 
-from terrace.functions.dates import calendar_columns, date_key, month_start
+from terrace.functions.dates import date_key
 from terrace.functions.guards import is_account_name, is_iso_date, pseudonym
-from terrace.functions.strings import standardise
 
-__all__ = ["calendar_columns", "date_key", "month_start", "is_account_name", "is_iso_date", "pseudonym", "standardise"]
+__all__ = ["date_key", "is_account_name", "is_iso_date", "pseudonym"]

@@ -1,36 +1,14 @@
-"""Date keys and calendar attributes."""
+"""Date keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Decimal digits of a date as one number: 2024-01-31 is 20240131; NULL stays NULL.
+DATE_KEY = "year({d}) * 10000 + month({d}) * 100 + day({d})"
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def date_key(c: str | Column) -> Column:
-    """``yyyyMMdd`` as an int (20240131); NULL stays NULL."""
-    return F.date_format(_col(c), "yyyyMMdd").cast("int")
-
-
-def month_start(c: str | Column) -> Column:
-    """First day of the month, as a date."""
-    return F.trunc(_col(c), "month")
-
-
-def calendar_columns(c: str | Column) -> list[Column]:
-    """Calendar attributes of a date column: key, parts, month name, weekday (Sunday = 1), weekend."""
-    d = _col(c)
-    dow = F.dayofweek(d)
-    return [
-        date_key(d).alias("date_key"),
-        d.alias("date"),
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        dow.alias("day_of_week"),
-        dow.isin(1, 7).alias("is_weekend"),
-    ]
+def date_key(column: str) -> Column:
+    """The key of a date or timestamp column."""
+    return F.expr(DATE_KEY.format(d=f"`{column}`"))

@@ -9,37 +9,27 @@ from pyspark.sql import functions as F
 
 from terrace.contracts import REJECTION_RATE_LIMIT, Entity, Rule
 
-FAILURES = "_dq_failures"
+FAILURES, OK = "_dq_failures", "_dq_ok"
 
 
 def flag_rules(df: DataFrame, rules: Sequence[Rule], as_of: str | None = None) -> DataFrame:
-    """Add ``_dq_failures``: names of the failed rules, in rule order. NULL verdict = failure.
+    """``df`` with ``_dq_failures``, the names of the rules that a row breaks, in the order of the
+    rules, and ``_dq_ok``, whether there are none. A rule that comes out NULL is broken.
 
-    Each verdict is a plain SQL expression yielding the rule name or NULL; ``concat_ws`` skips the
-    NULLs and ``split`` turns the list into an array, so the whole check stays in generated code next
-    to the scan (no UDF, no per-row lambda).
+    One pass over the rows; what is valid and what goes to quarantine are filters on ``_dq_ok``.
     """
-    if any("," in r.name for r in rules):
-        raise ValueError("rule names must not contain ','")
-    if not rules:
-        return df.withColumn(FAILURES, F.array().cast("array<string>"))
-    verdicts = [
-        F.when(F.coalesce(F.expr(r.sql(as_of)), F.lit(False)), F.lit(None).cast("string")).otherwise(F.lit(r.name))
-        for r in rules
-    ]
-    joined = F.concat_ws(",", *verdicts)
-    return df.withColumn(FAILURES, F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ",")))
+    broken = F.array(*[F.when(F.expr(r.sql(as_of)), None).otherwise(r.name) for r in rules])
+    return df.withColumn(FAILURES, F.array_compact(broken.cast("array<string>"))).withColumn(OK, F.size(FAILURES) == 0)
 
 
-def split_flagged(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    valid = flagged.filter(F.size(FAILURES) == 0).drop(FAILURES)
-    rejected = flagged.filter(F.size(FAILURES) > 0)
-    return valid, rejected
+def valid(flagged: DataFrame) -> DataFrame:
+    """The rows that break no rule, as they came."""
+    return flagged.where(OK).drop(FAILURES, OK)
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule], as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split into (valid, rejected); rejected rows carry every failed rule name."""
-    return split_flagged(flag_rules(df, rules, as_of))
+def rejected(flagged: DataFrame) -> DataFrame:
+    """The rows that break a rule, with the names of those rules."""
+    return flagged.where(~F.col(OK)).drop(OK)
 
 
 def quality_counts(flagged: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +38,7 @@ def quality_counts(flagged: DataFrame, key: str, by: Sequence[str] = ()) -> Data
     ``duplicates`` counts valid rows beyond the first per business key (valid − distinct valid
     keys), the number of rows de-duplication removes. The rate is 0 when nothing was processed.
     """
-    ok = F.size(FAILURES) == 0
+    ok = F.col(OK)
     newest = [F.max("_ingested_at").alias("newest_ingest")] if "_ingested_at" in flagged.columns else []
     agg = flagged.groupBy(*by).agg(
         *newest,
@@ -68,10 +58,10 @@ def quality_counts(flagged: DataFrame, key: str, by: Sequence[str] = ()) -> Data
     )
 
 
-def failure_histogram(rejected: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def failure_histogram(refused: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows failing each rule (a row failing two rules counts once for each)."""
     return (
-        rejected.select(*by, F.explode(FAILURES).alias("rule"))
+        refused.select(*by, F.explode(FAILURES).alias("rule"))
         .groupBy(*by, "rule")
         .agg(F.count(F.lit(1)).alias("failures"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from terrace.contracts import ENTITIES, RULES
 from terrace.operators.conform import conform
 from terrace.operators.dedupe import latest_per_key
-from terrace.operators.quality import flag_rules, split_flagged
+from terrace.operators.quality import flag_rules, rejected, valid
 from terrace.operators import star
 from terrace.plans import analog
 from terrace.plans.analog import RUN_DATE, Tables
@@ -48,8 +48,8 @@ def silver_step(bronze_df: DataFrame, entity_name: str, as_of: str = RUN_DATE) -
     """Conform → flag rules → split → latest per key, all lazy."""
     entity = ENTITIES[entity_name]
     flagged = flag_rules(conform(bronze_df, entity), RULES[entity_name], as_of)
-    valid, rejected = split_flagged(flagged)
-    return SilverStep(flagged, valid, rejected, latest_per_key(valid, entity.key))
+    good = valid(flagged)
+    return SilverStep(flagged, good, rejected(flagged), latest_per_key(good, entity.key))
 
 
 def conformed(t: Tables, entity_name: str) -> DataFrame:
@@ -73,32 +73,27 @@ def silver_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
 
 def gold_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
     """The seven gold tables over the analog silver, each planned only when asked for."""
-    return t.remember(("gold", as_of), lambda: _gold_frames(t, as_of))
-
-
-def _gold_frames(t: Tables, as_of: str) -> Mapping[str, DataFrame]:
-    silver = silver_frames(t, as_of)
-    cache: dict[str, DataFrame] = {}
-
-    def enriched() -> DataFrame:
-        if "enriched" not in cache:
-            cache["enriched"] = star.sales_enriched(silver["sales_transactions"], silver["properties"])
-        return cache["enriched"]
-
-    def build(name: str) -> DataFrame:
-        if name == "dim_property":
-            return star.dim_property(silver["properties"])
-        if name == "dim_agent":
-            return star.dim_agent(silver["agents"])
-        if name == "fact_sales":
-            return enriched().select(*star.FACT_SALES_COLUMNS)
-        if name == "fact_leases":
-            return star.fact_leases(silver["leases"])
-        if name == "fact_listings":
-            return star.fact_listings(silver["listings"], as_of)
-        if name == "dim_date":
-            return star.dim_date(gold["fact_sales"], gold["fact_leases"], gold["fact_listings"])
-        return star._market_monthly(enriched().where("_has_property"))
-
-    gold = _Lazy(star.GOLD_TABLES, build)
+    return t.remember(("gold", as_of), lambda: gold_plans(silver_frames(t, as_of), as_of))
+
+
+def gold_plans(silver: Mapping[str, DataFrame], as_of: str | None) -> Mapping[str, DataFrame]:
+    """Plans of the seven gold tables over five silver frames, each made when asked for. Both the
+    queries and the lake's gold job take them from here."""
+    sales: list[DataFrame] = []
+
+    def located() -> DataFrame:
+        if not sales:
+            sales.append(star.located_sales(silver["sales_transactions"], silver["properties"]))
+        return sales[0]
+
+    plans = {
+        "dim_property": lambda: star.dim_property(silver["properties"]),
+        "dim_agent": lambda: star.dim_agent(silver["agents"]),
+        "fact_sales": lambda: located().drop("place"),
+        "fact_leases": lambda: star.fact_leases(silver["leases"]),
+        "fact_listings": lambda: star.fact_listings(silver["listings"], as_of),
+        "dim_date": lambda: star.dim_date({t: gold[t] for t in star.FACT_DATES}),
+        "agg_market_monthly": lambda: star.market_monthly(located()),
+    }
+    gold = _Lazy(star.GOLD_TABLES, lambda name: plans[name]())
     return gold
