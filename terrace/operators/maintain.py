@@ -30,16 +30,3 @@ def clustered_layout(df: DataFrame, column: str, files: int, tiebreak: Sequence[
     """
     extra = [c for c in df.columns if c != column] if tiebreak is None else list(tiebreak)
     return df.repartitionByRange(files, column, *extra).sortWithinPartitions(column, *extra)
-
-
-def expired(history: DataFrame, now: str, keep_days: int, keep_latest: int = 1) -> DataFrame:
-    """Versions older than the retention window, never including the newest ``keep_latest`` ones."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("table_name").orderBy(F.desc("version"))
-    cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(days=F.lit(keep_days))
-    return (
-        history.withColumn("_rank", F.row_number().over(w))
-        .where((F.col("_rank") > keep_latest) & (F.col("committed_at") < cutoff))
-        .drop("_rank")
-    )

@@ -1,25 +1,21 @@
 """Run metrics as a long table, and the SLO / monitor / dashboard queries over it.
 
 Metric rows: ``metric, kind (gauge|count), value, ts, env, pipeline, source, entity, zone``.
-Jobs append their step metrics through ``MetricLog``; data-derived metrics (quality counters per
+Each step of a run becomes a ``StepRun``, whose rows are written once; data-derived metrics (quality counters per
 run day) are built as DataFrames with ``quality_points``.
 """
 
 from __future__ import annotations
 
-import logging
 import time
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.contracts import FRESHNESS_LIMIT_MINUTES, METRIC_DDL, REJECTION_RATE_LIMIT, SLO_TARGETS, STEP_DURATION_LIMIT_SECONDS
-
-log = logging.getLogger(__name__)
+from terrace.contracts import FRESHNESS_LIMIT_MINUTES, REJECTION_RATE_LIMIT, SLO_TARGETS, STEP_DURATION_LIMIT_SECONDS
 
 # counter column → metric name (the names the silver job emits)
 QUALITY_METRICS = {
@@ -30,42 +26,34 @@ QUALITY_METRICS = {
 }
 
 
-@dataclass
-class MetricLog:
-    """Step metrics collected on the driver (a handful of numbers per step, never data rows)."""
-
-    env: str
-    pipeline: str
-    points: list[tuple] = field(default_factory=list)
-
-    def _add(self, metric: str, kind: str, value: float, source=None, entity=None, zone=None) -> None:
-        ts = datetime.now(timezone.utc).replace(tzinfo=None)
-        self.points.append((metric, kind, float(value), ts, self.env, self.pipeline, source, entity, zone))
-        log.info("metric %s=%s entity=%s", metric, value, entity)
-
-    def gauge(self, metric: str, value: float, **tags) -> None:
-        self._add(metric, "gauge", value, **tags)
-
-    def count(self, metric: str, value: float = 1, **tags) -> None:
-        self._add(metric, "count", value, **tags)
-
-    @contextmanager
-    def step(self) -> Iterator[None]:
-        """execution / success / failed counts and duration around a step; the error is re-raised."""
-        started = time.monotonic()
-        self.count("pipeline.execution")
-        try:
-            yield
-        except Exception:
-            self.count("job.failed")
-            raise
-        else:
-            self.count("pipeline.success")
-        finally:
-            self.gauge("pipeline.duration_seconds", time.monotonic() - started)
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.points, METRIC_DDL)
+@dataclass(frozen=True)
+class StepRun:
+    """What one step of a run did: when it began, how long it took, its error, and what it reports."""
+
+    step: str
+    began: datetime
+    seconds: float
+    error: str | None = None
+    report: object = None
+
+
+def timed_step(step: str, work: Callable[[], object]) -> StepRun:
+    """Run a step and say how it went; an error is part of the answer, not raised."""
+    began, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
+    try:
+        done, error = work(), None
+    except Exception as exc:  # the caller decides what a failed step means
+        done, error = exc, f"{type(exc).__name__}: {exc}"
+    return StepRun(step, began, time.monotonic() - clock, error, done)
+
+
+def step_rows(run: StepRun, env: str, readings: Sequence[tuple] = ()) -> list[tuple]:
+    """Metric rows (METRIC_DDL) of one step: that it ran, how it ended and how long it took, and its
+    readings (metric, value, source, entity, zone)."""
+    outcome = "job.failed" if run.error else "pipeline.success"
+    row = lambda metric, kind, value, *tags: (metric, kind, float(value), run.began, env, run.step, *(tags or (None, None, None)))
+    counted = [row("pipeline.execution", "count", 1), row(outcome, "count", 1), row("pipeline.duration_seconds", "gauge", run.seconds)]
+    return counted + [row(metric, "count" if metric.startswith("freshness.") and not metric.endswith("minutes") else "gauge", value, *tags) for metric, value, *tags in readings]
 
 
 def quality_points(counts: DataFrame, env: str, pipeline: str, run_ts: str = "_run_ts") -> DataFrame:

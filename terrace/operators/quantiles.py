@@ -52,6 +52,7 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 64, fin
     want = sorted(ranks)
     fracs = [i / buckets for i in range(1, buckets)]
     m = None  # distinct candidate values, when known
+    stuck = False  # the sketch's cut points no longer narrow the range
     while True:
         cand = values.where(_in_range(lo, hi))
         cuts = None
@@ -72,9 +73,9 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 64, fin
         if cuts is None:
             cuts = cand.agg(F.percentile_approx("x", fracs, accuracy).alias("q")).first()["q"]
         cuts = sorted({c for c in cuts if (lo is None or c > lo) and (hi is None or c < hi)})
-        if not cuts:  # cannot split further: read the candidates in order
-            final_rows = m
-            continue
+        if not cuts or stuck:  # halfway between the ends always leaves values on both sides
+            ends = cand.agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
+            cuts = [(ends["a"] + ends["b"]) // 2 if isinstance(ends["a"], int) else (ends["a"] + ends["b"]) / 2]
         stats = {
             r["b"]: (r["n"], r["d"])
             for r in cand.groupBy(_bucket_of(F.col("x"), cuts).alias("b")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()
@@ -95,7 +96,9 @@ def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 64, fin
         new_lo = cuts[first - 1] if first > 0 else lo
         new_hi = cuts[last] if last < len(cuts) else hi
         if (new_lo, new_hi) == (lo, hi):
-            final_rows = m
+            if want[0] != want[-1]:  # the ranks lie on both sides of every cut: look for each alone
+                return [order_statistics(values, [r], buckets, final_rows, accuracy)[0] for r in ranks]
+            stuck = True
         lo, hi, below, m = new_lo, new_hi, first_below, distinct
 
 

@@ -33,13 +33,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order_by: str =
 def merge_delete_missing(target: DataFrame, source: DataFrame, key: str, order_by: str = "updated_at") -> DataFrame:
     """MERGE for a *full* extract: as ``merge_upsert`` plus delete target keys absent from source.
 
-    An empty source would delete the whole table, so it is refused. The membership test rides on
-    the same aggregation (``max(is_source)``), no second join.
+    An empty source would delete the whole table: the plan then fails when it runs, without a job of
+    its own to look. The membership test rides on the same aggregation (``max(is_source)``).
     """
-    if source.limit(1).count() == 0:
-        raise ValueError("refusing delete-missing merge with an empty source extract")
     agg, out = _merge(target, source, key, order_by)
-    return agg.where(F.col("_in_source") == 1).select(*out)
+    empty = source.agg(F.count(F.lit(1)) == 0).scalar()
+    refusal = F.raise_error(F.lit("refusing delete-missing merge with an empty source extract")).cast("boolean")
+    return agg.where(F.when(empty, refusal).otherwise(F.col("_in_source") == 1)).select(*out)
 
 
 def merge_upsert_touched(target: DataFrame, source: DataFrame, key: str, order_by: str = "updated_at") -> DataFrame:
@@ -47,8 +47,8 @@ def merge_upsert_touched(target: DataFrame, source: DataFrame, key: str, order_b
 
     Target rows are tagged by a left join with the source's keys: rows whose key is absent pass
     through untouched (no shuffle of the big side when AQE broadcasts the measured-small key set),
-    rows whose key is present are merged with the source as usual. Same result as
-    ``merge_upsert``; cheaper when the day's changes are a small share of the table.
+    rows whose key is present are merged with the source as usual. Same result as ``merge_upsert``
+    for the unique keys both ask for; cheaper when the day's changes are a small share of the table.
     """
     keys = source.select(key).withColumn("_touched", F.lit(True))
     tagged = target.join(keys, key, "left")

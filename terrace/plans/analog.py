@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.contracts import ENTITIES
+
 # Fixed run parameters of the analog pipeline: the run date (also the as-of day for rules and
 # market age) and the time the run ingested the CRM extracts.
 RUN_DATE = "2024-02-01"
@@ -200,3 +202,16 @@ def bronze(t: Tables, entity: str) -> DataFrame:
 
 def _bronze(t: Tables, entity: str) -> DataFrame:
     return with_bronze_metadata(LANDED[entity](t), entity, f"{t.root}/{SOURCE_TABLE[entity]}.parquet")
+
+
+def land_analog(spark: SparkSession, lake, sf_dir: str, run_date: str) -> None:
+    """Write the analog extracts of the driver tables as one day of landing files: Parquet for the
+    relational entities, JSON Lines (timestamps as text) for the listings feed."""
+    t = Tables(spark, sf_dir.rstrip("/"))
+    for name, entity in ENTITIES.items():
+        df = LANDED[name](t)
+        path = lake.landing(entity.source, name, run_date)
+        if entity.file_format == "json":
+            df.write.mode("overwrite").json(path)
+        else:
+            df.write.mode("overwrite").parquet(path)

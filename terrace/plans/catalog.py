@@ -17,7 +17,7 @@ from terrace.contracts import ENTITIES, LOAD_CONFIG, RULES, STAGING_CONTRACTS, R
 from terrace.operators import checks, observe, serve
 from terrace.operators.conform import conform, contract_cast
 from terrace.operators.maintain import erase_subject, pseudonymise
-from terrace.operators.quality import FAILURES, apply_rules, breaches, failure_histogram, quality_counts
+from terrace.operators.quality import FAILURES, OK, breaches, failure_histogram, flag_rules, quality_counts, rejected
 from terrace.operators.upsert import merge_delete_missing, merge_upsert
 from terrace.plans import analog, pipeline
 from terrace.plans.analog import FRESHNESS_AS_OF, Tables
@@ -216,8 +216,8 @@ _FIN_RULE = Rule("financing_type_known", "financing_type IN ('URGENT','HIGH','ME
 )
 def dq_null_is_failure(t: Tables) -> DataFrame:
     """Q2: a NULL verdict (blank financing type → NULL) is a failure, not a pass."""
-    _, rejected = apply_rules(pipeline.conformed(t, "sales_transactions"), [_FIN_RULE])
-    return rejected.select("transaction_id", "financing_type", F.array_join(FAILURES, ",").alias("dq_failures"))
+    refused = rejected(flag_rules(pipeline.conformed(t, "sales_transactions"), [_FIN_RULE]))
+    return refused.select("transaction_id", "financing_type", F.array_join(FAILURES, ",").alias("dq_failures"))
 
 
 def _per_entity_sql(template: str) -> str:
@@ -235,7 +235,7 @@ def dq_rules_all(t: Tables) -> DataFrame:
     """Q3: every entity against its full rule set."""
     parts = []
     for name, st in pipeline.silver_steps(t).items():
-        ok = F.size(FAILURES) == 0
+        ok = F.col(OK)
         parts.append(
             st.flagged.agg(F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("valid"), F.count_if(~ok).alias("rejected")).select(
                 F.lit(name).alias("entity"), F.lit(len(RULES[name])).alias("rules"), "processed", "valid", "rejected"
@@ -334,13 +334,25 @@ def dim_agent_q(t: Tables) -> DataFrame:
     return pipeline.gold_frames(t)["dim_agent"].drop("agent_sk")
 
 
-@register("surrogate_keys")
+@register(
+    "surrogate_keys",
+    " UNION ALL ".join(
+        f"SELECT '{d}' AS table_name, count(*) AS row_count, count(DISTINCT {k}) AS surrogates, count(DISTINCT {k}) AS natural_keys, true AS stable FROM {d}"
+        for d, k in (("dim_property", "property_id"), ("dim_agent", "agent_id"))
+    ),
+)
 def surrogate_keys(t: Tables) -> DataFrame:
-    """xxhash64 surrogates of both dimensions (rows-only: DuckDB has no xxhash64)."""
-    g = pipeline.gold_frames(t)
-    return g["dim_property"].select(F.lit("dim_property").alias("table_name"), F.col("property_id").alias("natural_key"), F.col("property_sk").alias("surrogate_key")).unionByName(
-        g["dim_agent"].select(F.lit("dim_agent").alias("table_name"), F.col("agent_id").alias("natural_key"), F.col("agent_sk").alias("surrogate_key"))
-    )
+    """the surrogates of both dimensions are one to one with the natural keys, and the same again
+    from the landed keys (DuckDB has no xxhash64 to compare the numbers with)."""
+    g, parts = pipeline.gold_frames(t), []
+    for name, sk, key, entity in (("dim_property", "property_sk", "property_id", "properties"), ("dim_agent", "agent_sk", "agent_id", "agents")):
+        again = pipeline.silver_frames(t)[entity].select(F.col(key).alias("k"), F.xxhash64(key).alias("again")).distinct()
+        both = g[name].join(again, F.col(key) == F.col("k"), "left")
+        parts.append(
+            both.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(sk).alias("surrogates"), F.count_distinct(key).alias("natural_keys"), F.bool_and(F.col(sk) == F.col("again")).alias("stable"))
+            .select(F.lit(name).alias("table_name"), "*")
+        )
+    return checks.union_all(parts)
 
 
 for _name in ("fact_sales", "fact_leases", "fact_listings", "dim_date", "agg_market_monthly"):
@@ -351,8 +363,7 @@ for _name in ("fact_sales", "fact_leases", "fact_listings", "dim_date", "agg_mar
 def date_bounds_q(t: Tables) -> DataFrame:
     from terrace.operators.star import date_bounds
 
-    g = pipeline.gold_frames(t)
-    return date_bounds(g["fact_sales"], g["fact_leases"], g["fact_listings"])
+    return date_bounds(pipeline.gold_frames(t))
 
 
 @register("fn_date_key", "SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events")
@@ -364,20 +375,24 @@ def fn_date_key(t: Tables) -> DataFrame:
 
 @register(
     "fn_param_guards",
-    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS run_date_text,
-  regexp_matches(strftime(o_orderdate, '%Y-%m-%d'), '^\\d{4}-\\d{2}-\\d{2}$') AND try_strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') IS NOT NULL AS run_date_ok,
-  lower(o_orderpriority) AS account_text,
-  coalesce(regexp_matches(lower(o_orderpriority), '^[a-z0-9]{3,24}$'), false) AS account_ok
-FROM orders""",
+    """SELECT o_orderkey, d AS run_date_text, regexp_full_match(d, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_strptime(d, '%Y-%m-%d') IS NOT NULL AS run_date_ok,
+  a AS account_text, length(a) BETWEEN 3 AND 24 AND NOT regexp_matches(a, '[^a-z0-9]') AS account_ok
+FROM (SELECT o_orderkey,
+    strftime(o_orderdate, '%Y-%m-') || CASE WHEN o_orderkey % 5 = 0 THEN CAST(day(o_orderdate) AS VARCHAR)
+      ELSE lpad(CAST(day(o_orderdate) + o_orderkey % 4 AS VARCHAR), 2, '0') END AS d,
+    CASE CAST(o_orderkey % 3 AS INTEGER) WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN 'acct' || CAST(o_orderkey AS VARCHAR)
+      ELSE substr('xyzabcdefghijklmnopqrstuvwxyz0123', 1, CAST(o_custkey % 33 AS INTEGER)) END AS a
+  FROM orders)""",
 )
 def fn_param_guards(t: Tables) -> DataFrame:
-    """run-date and account-name guards applied to text drawn from the orders table."""
+    """run-date and account-name guards over texts of every kind: days past the month's end or
+    without their zero, names with blanks and signs, too short and too long ones."""
     from terrace.functions.guards import is_account_name, is_iso_date
 
-    o = t.orders
-    d = F.date_format("o_orderdate", "yyyy-MM-dd")
-    acct = F.lower("o_orderpriority")
-    return o.select("o_orderkey", d.alias("run_date_text"), is_iso_date(d).alias("run_date_ok"), acct.alias("account_text"), is_account_name(acct).alias("account_ok"))
+    day = "if(o_orderkey % 5 = 0, string(day(o_orderdate)), lpad(string(day(o_orderdate) + o_orderkey % 4), 2, '0'))"
+    name = "CASE o_orderkey % 3 WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN concat('acct', o_orderkey) ELSE substr('xyzabcdefghijklmnopqrstuvwxyz0123', 1, int(o_custkey % 33)) END"
+    texts = t.orders.selectExpr("o_orderkey", f"concat(date_format(o_orderdate, 'yyyy-MM-'), {day}) AS run_date_text", f"{name} AS account_text")
+    return texts.select("*", is_iso_date(F.col("run_date_text")).alias("run_date_ok"), is_account_name(F.col("account_text")).alias("account_ok"))
 
 
 # ---------------------------------------------------------------------------- serving

@@ -15,15 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.contracts import CORRUPT_COLUMN, ENTITIES, LOAD_CONFIG, METRIC_DDL, RULES, STAGING_CONTRACTS
+from terrace.contracts import CORRUPT_COLUMN, ENTITIES, LOAD_CONFIG, METRIC_DDL, STAGING_CONTRACTS
 from terrace.operators import checks
-from terrace.operators.conform import conform, contract_cast
-from terrace.operators.dedupe import latest_per_key
+from terrace.operators.conform import contract_cast
 from terrace.operators.maintain import clustered_layout, erase_subject
-from terrace.operators.observe import QUALITY_METRICS, MetricLog
-from terrace.operators.quality import flag_rules, split_flagged
+from terrace.operators.observe import QUALITY_METRICS, StepRun, step_rows, timed_step
 from terrace.operators import star
-from terrace.operators.upsert import merge_upsert, merge_upsert_touched
+from terrace.operators.upsert import merge_upsert
+from terrace.plans.pipeline import gold_plans, silver_step
 from terrace.sources import tables
 from terrace.sources.landing import landing_path, read_landing
 from terrace.sources.tables import SnapshotTable
@@ -32,11 +31,6 @@ log = logging.getLogger(__name__)
 
 ZONES = ("landing", "bronze", "silver", "gold", "quarantine", "serve")
 
-# A day whose landed bytes are under 1/INCREMENTAL_MERGE_RATIO of the silver table merges only the
-# keys it touches (the rest of the table is not shuffled).
-INCREMENTAL_MERGE_RATIO = 10
-
-
 @dataclass(frozen=True)
 class Lake:
     """Zone folders under one root (local path, HDFS or object-store URI)."""
@@ -77,66 +71,55 @@ def check_run_date(run_date: str) -> str:
 
 
 # ----------------------------------------------------------------------------------- bronze (L1)
-def bronze_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, ingested_at: str | None = None) -> dict[str, int]:
-    """Land every entity's extract for ``run_date`` into its bronze day partition.
-
-    A missing extract is skipped with a warning (count 0); any other read error fails the job.
-    The day partition is replaced, so reruns are idempotent. Counts come from an ``Observation``
-    on the write (no second read).
-    """
+def bronze_job(spark: SparkSession, lake: Lake, run_date: str, ingested_at: str | None = None) -> dict[str, int]:
+    """Copy what landed on ``run_date`` into each entity's bronze day, which is replaced, so a rerun
+    changes nothing. An entity without a delivery counts 0; any other error ends the job. Rows are
+    counted by an ``Observation`` on the write."""
     check_run_date(run_date)
-    counts = {}
-    for entity in ENTITIES.values():
-        raw = read_landing(spark, lake.landing(entity.source, entity.name, run_date), entity)
-        if raw is None:
-            counts[entity.name] = 0
-        else:
-            df = raw.withColumns({"_ingested_at": _ts(ingested_at), "_run_date": F.lit(run_date).cast("date")})
-            obs = Observation(f"bronze_{entity.name}")
-            tables.write_day(df.observe(obs, F.count(F.lit(1)).alias("n")), lake.table("bronze", entity.name), run_date)
-            counts[entity.name] = int(obs.get["n"])
-        if metrics:
-            metrics.gauge("records_processed", counts[entity.name], source=entity.source, entity=entity.name, zone="bronze")
+    stamps = {"_ingested_at": _ts(ingested_at), "_run_date": F.lit(run_date).cast("date")}
+    counts = dict.fromkeys(ENTITIES, 0)
+    for name, entity in ENTITIES.items():
+        landed = read_landing(spark, lake.landing(entity.source, name, run_date), entity)
+        if landed is not None:
+            seen = Observation(f"bronze_{name}")
+            tables.write_day(landed.withColumns(stamps).observe(seen, F.count(F.lit(1)).alias("n")), lake.table("bronze", name), run_date)
+            counts[name] = int(seen.get["n"])
     return counts
 
 
 # ----------------------------------------------------------------------------------- silver (L2)
+NO_ROWS = {"processed": 0, "rejected": 0, "duplicates": 0, "rejection_rate": 0.0}
+
+
 def silver_entity(spark: SparkSession, lake: Lake, name: str, run_date: str, as_of: str | None = None, processed_at: str | None = None) -> dict[str, float]:
-    entity = ENTITIES[name]
+    """One entity's day: quarantine the rejected rows, merge the newest of the others into silver.
+
+    The day's accepted rows are written once and merged from there. All counters come from what the
+    writes themselves put out (their last stage, where a repeated task replaces its count) and from
+    the row count of the bronze files.
+    """
     bronze = tables.read_days(spark, lake.table("bronze", name), run_date)
     if bronze is None:
-        log.warning("bronze.%s does not exist yet; skipping", name)
-        return {"processed": 0, "rejected": 0, "duplicates": 0, "rejection_rate": 0.0}
-    # Two passes over the day (quarantine write, silver write) and no cache: the counters ride on
-    # the writes as Observations (processed = rejected + valid, duplicates = valid - kept).
-    flagged = flag_rules(conform(bronze, entity), RULES[name], as_of or run_date)
-    valid, rejected = split_flagged(flagged)
-    rej_obs, valid_obs, kept_obs = (Observation(f"{k}_{name}_{run_date}") for k in ("rejected", "valid", "kept"))
-    # quarantine first: its day is replaced (an empty reject set clears an earlier run's rows)
-    tables.write_day(rejected.observe(rej_obs, F.count(F.lit(1)).alias("n")), lake.table("quarantine", name), run_date)
-    deduped = (
-        latest_per_key(valid.observe(valid_obs, F.count(F.lit(1)).alias("n")).drop(CORRUPT_COLUMN), entity.key)
-        .observe(kept_obs, F.count(F.lit(1)).alias("n"))
-        .withColumn("_silver_updated_at", _ts(processed_at))
-    )
+        log.warning("silver %s: no bronze table yet", name)
+        return dict(NO_ROWS)
+    step = silver_step(bronze, name, as_of or run_date)
+    refused = Observation(f"rejected_{name}_{run_date}")
+    # the day in quarantine is replaced, and emptied where nothing is rejected any more
+    tables.write_day(step.rejected.observe(refused, F.count(F.lit(1)).alias("n")), lake.table("quarantine", name), run_date)
+    staged, kept = f"{lake.root.rstrip('/')}/_staged/silver/{name}", Observation(f"kept_{name}_{run_date}")
+    day = step.silver.drop(CORRUPT_COLUMN).withColumn("_silver_updated_at", _ts(processed_at))
+    day.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staged)
+    fresh = spark.read.schema(day.schema).parquet(staged)
     table = lake.snapshot(spark, "silver", name)
     current = table.read_or_none()
-    if current is None:
-        table.commit(deduped, "WRITE")
-    else:
-        # a day much smaller than the table merges only the keys it touches; otherwise one
-        # union + aggregation over both (sizes from file metadata, no extra job)
-        day_bytes = tables.path_bytes(spark, f"{lake.table('bronze', name)}/_run_date={run_date}")
-        small = day_bytes * INCREMENTAL_MERGE_RATIO < table.current_bytes()
-        merge = merge_upsert_touched if small else merge_upsert
-        table.commit(merge(current, deduped.select(*current.columns), entity.key), "MERGE")
-    rejected_n, valid_n, kept_n = (int(o.get["n"]) for o in (rej_obs, valid_obs, kept_obs))
-    processed = rejected_n + valid_n
+    table.commit(fresh if current is None else merge_upsert(current, fresh, ENTITIES[name].key), "WRITE" if current is None else "MERGE")
+    tables.remove_path(spark, staged)
+    processed, rejected = bronze.count(), int(refused.get["n"])
     return {
         "processed": processed,
-        "rejected": rejected_n,
-        "duplicates": valid_n - kept_n,
-        "rejection_rate": rejected_n / processed if processed else 0.0,
+        "rejected": rejected,
+        "duplicates": processed - rejected - int(kept.get["n"]),
+        "rejection_rate": rejected / processed if processed else 0.0,
     }
 
 
@@ -152,18 +135,12 @@ def _in_parallel(fns: dict, workers: int | None = None) -> dict:
         return {k: fut.result() for k, fut in futures.items()}
 
 
-def silver_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, processed_at: str | None = None, workers: int | None = None) -> dict[str, dict]:
+def silver_job(spark: SparkSession, lake: Lake, run_date: str, as_of: str | None = None, processed_at: str | None = None, workers: int | None = None) -> dict[str, dict]:
     """All entities of one run date; entities are independent, so their jobs run concurrently."""
     check_run_date(run_date)
-    results = _in_parallel(
+    return _in_parallel(
         {name: (lambda n=name: silver_entity(spark, lake, n, run_date, as_of, processed_at)) for name in ENTITIES}, workers
     )
-    for name, entity in ENTITIES.items():
-        r = results[name]
-        if metrics:
-            for k, metric in QUALITY_METRICS.items():
-                metrics.gauge(metric, r[k], source=entity.source, entity=name)
-    return results
 
 
 # ------------------------------------------------------------------------------------- gold (L4)
@@ -179,48 +156,35 @@ def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return out
 
 
-def gold_job(spark: SparkSession, lake: Lake, run_date: str, metrics: MetricLog | None = None, as_of: str | None = None, now: str | None = None, workers: int | None = None) -> dict[str, int]:
-    """Rebuild the seven gold tables as new snapshot versions, export each, emit freshness.
+def gold_job(spark: SparkSession, lake: Lake, run_date: str, as_of: str | None = None, workers: int | None = None) -> dict[str, int]:
+    """Rebuild the seven gold tables as new versions and export each; rows by table.
 
-    Dimensions and facts are built from silver and committed first; the calendar and the market
-    aggregate are then derived from the committed fact files, so no fact is computed twice.
+    The plans are those of the queries (``gold_plans``). The calendar is made from the committed facts,
+    so no fact is computed twice for it.
     """
     check_run_date(run_date)
-    as_of = as_of or run_date
-    silver = read_silver(spark, lake)
-    committed: dict[str, DataFrame] = {}
-    counts: dict[str, int] = {}
+    plans = gold_plans(read_silver(spark, lake), as_of or run_date)
 
-    def publish(name: str, df: DataFrame) -> None:
+    def publish(name: str, df: DataFrame) -> int:
         table = lake.snapshot(spark, "gold", name)
         table.commit(df, "REBUILD")
-        committed[name] = table.read()
-        # export from the committed files: a plain copy instead of recomputing the lineage
-        obs = Observation(f"export_{name}")
-        committed[name].observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(tables.export_path(lake.zone("gold"), name, run_date))
-        counts[name] = int(obs.get["n"])
-
-    props = silver["properties"]
-    # wave 1: dimensions and facts from silver (independent, run concurrently)
-    _in_parallel({
-        "dim_property": lambda: publish("dim_property", star.dim_property(props)),
-        "dim_agent": lambda: publish("dim_agent", star.dim_agent(silver["agents"])),
-        "fact_sales": lambda: publish("fact_sales", star.fact_sales(silver["sales_transactions"], props)),
-        "fact_leases": lambda: publish("fact_leases", star.fact_leases(silver["leases"])),
-        "fact_listings": lambda: publish("fact_listings", star.fact_listings(silver["listings"], as_of)),
-    }, workers)
-    # wave 2: derived from the committed facts
-    _in_parallel({
-        "dim_date": lambda: publish("dim_date", star.dim_date(committed["fact_sales"], committed["fact_leases"], committed["fact_listings"])),
-        "agg_market_monthly": lambda: publish("agg_market_monthly", star.agg_market_monthly(committed["fact_sales"], committed["dim_property"])),
-    }, workers)
-    fresh = checks.freshness(silver, now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")).where("entity = 'all'").first()
-    if metrics and fresh is not None and fresh["freshness_minutes"] is not None:
-        metrics.gauge("freshness.minutes", fresh["freshness_minutes"])
-        metrics.count("freshness.check")
-        if fresh["satisfied"]:
-            metrics.count("freshness.satisfied")
-    return {name: counts[name] for name in star.GOLD_TABLES}
+        seen = Observation(f"export_{name}")
+        # the export is a plain copy of the committed files
+        table.read().observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(tables.export_path(lake.zone("gold"), name, run_date))
+        return int(seen.get["n"])
+
+    counts = _in_parallel({n: (lambda n=n: publish(n, plans[n])) for n in star.GOLD_TABLES if n != "dim_date"}, workers)
+    facts = {n: lake.snapshot(spark, "gold", n).read() for n in star.FACT_DATES}
+    return counts | {"dim_date": publish("dim_date", star.dim_date(facts))}
+
+
+def freshness_readings(spark: SparkSession, lake: Lake, now: str | None) -> list[tuple]:
+    """Minutes since the newest ingest in silver, and whether that is within the limit."""
+    at = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    fresh = checks.freshness(read_silver(spark, lake), at).where("entity = 'all'").first()
+    if fresh is None or fresh["freshness_minutes"] is None:
+        return []
+    return [("freshness.minutes", fresh["freshness_minutes"]), ("freshness.check", 1), ("freshness.satisfied", int(fresh["satisfied"]))]
 
 
 # ---------------------------------------------------------------------------- serving load
@@ -259,28 +223,45 @@ def serve_job(spark: SparkSession, lake: Lake, run_date: str) -> dict[str, int]:
 
 
 # ------------------------------------------------------------------------------ full day
-def write_metrics(spark: SparkSession, lake: Lake, metrics: MetricLog) -> None:
-    if metrics.points:
-        spark.createDataFrame(metrics.points, METRIC_DDL).coalesce(1).write.mode("append").parquet(lake.metrics_path)
-        metrics.points.clear()
+def write_metrics(spark: SparkSession, lake: Lake, rows: list[tuple]) -> bool:
+    """Append metric rows. Metrics never decide a step: an error is logged and the step goes on."""
+    try:
+        spark.createDataFrame(rows, METRIC_DDL).coalesce(1).write.mode("append").parquet(lake.metrics_path)
+    except Exception:
+        log.exception("metrics of %s were not written", rows[0][5] if rows else "no step")
+        return False
+    return True
+
+
+def _readings(spark: SparkSession, lake: Lake, run: StepRun, now: str | None) -> list[tuple]:
+    """What the metrics say about a step beyond its outcome: (metric, value, source, entity, zone)."""
+    if run.error:
+        return []
+    if run.step == "bronze":
+        return [("records_processed", n, ENTITIES[e].source, e, "bronze") for e, n in run.report.items()]
+    if run.step == "silver":
+        return [(metric, counts[c], ENTITIES[e].source, e, "silver") for e, counts in run.report.items() for c, metric in QUALITY_METRICS.items()]
+    return freshness_readings(spark, lake, now) if run.step == "gold" else []
 
 
 def run_day(spark: SparkSession, lake: Lake, run_date: str, env: str = "local", with_load: bool = False, ingested_at: str | None = None, now: str | None = None) -> dict[str, object]:
-    """bronze → silver → gold (→ serving load), each step wrapped in execution/success metrics."""
-    results: dict[str, object] = {}
-    steps = [("bronze", lambda m: bronze_job(spark, lake, run_date, m, ingested_at)),
-             ("silver", lambda m: silver_job(spark, lake, run_date, m)),
-             ("gold", lambda m: gold_job(spark, lake, run_date, m, now=now))]
-    if with_load:
-        steps.append(("serve", lambda m: serve_job(spark, lake, run_date)))
-    for step, fn in steps:
-        metrics = MetricLog(env, step)
-        try:
-            with metrics.step():
-                results[step] = fn(metrics)
-        finally:
-            write_metrics(spark, lake, metrics)
-    return results
+    """A whole day: bronze, silver, gold and, if asked for, the serving load. Each step's metrics are
+    written after it; a failed step ends the day with its own error."""
+    check_run_date(run_date)
+    steps = {
+        "bronze": lambda: bronze_job(spark, lake, run_date, ingested_at),
+        "silver": lambda: silver_job(spark, lake, run_date),
+        "gold": lambda: gold_job(spark, lake, run_date),
+        "serve": lambda: serve_job(spark, lake, run_date),
+    }
+    done: dict[str, object] = {}
+    for name in list(steps)[: 4 if with_load else 3]:
+        run = timed_step(name, steps[name])
+        write_metrics(spark, lake, step_rows(run, env, _readings(spark, lake, run, now)))
+        if run.error:
+            raise run.report
+        done[name] = run.report
+    return done
 
 
 def backfill(spark: SparkSession, lake: Lake, dates: list[str], **kw) -> dict[str, dict]:
@@ -295,36 +276,59 @@ def compact(spark: SparkSession, lake: Lake, zone: str, name: str, column: str,
     return table.commit(clustered_layout(table.read(), column, files), f"OPTIMIZE {column}")
 
 
-def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str) -> dict[str, int]:
-    """Remove a subject from every silver/gold snapshot table that carries ``key`` (new versions),
-    and from the quarantine days. Returns the new version per table."""
-    done = {}
-    for zone in ("silver", "gold"):
+def _day_folders(spark: SparkSession, path: str) -> list[str]:
+    return [f"{path}/{c}" for c in tables.list_children(spark, path) if "=" in c]
+
+
+def _rewrite(spark: SparkSession, lake: Lake, folder: str, fmt: str, keep) -> bool:
+    """Replace a folder by what ``keep`` leaves of it. The rows are staged first, so a folder is never
+    read and overwritten in one job. False if the folder lacks the key."""
+    df = spark.read.format(fmt).load(folder)
+    left = keep(df)
+    if left is None:
+        return False
+    staged = f"{lake.root.rstrip('/')}/_staged/erase"
+    left.write.mode("overwrite").format(fmt).save(staged)
+    spark.read.schema(left.schema).format(fmt).load(staged).write.mode("overwrite").format(fmt).save(folder)
+    tables.remove_path(spark, staged)
+    return True
+
+
+def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str) -> dict[str, object]:
+    """Remove subjects from every zone: landed files, bronze, quarantine, exports, and the silver, gold
+    and serving tables, whose earlier versions go too. Returns what was rewritten."""
+    ids = subjects.select(key).distinct()
+    done: dict[str, object] = {}
+
+    def by_column(df: DataFrame) -> DataFrame | None:
+        return erase_subject(df, ids, key) if key in df.columns else None
+
+    def by_field(lines: DataFrame) -> DataFrame:
+        named = F.get_json_object("value", f"$.{key}")
+        return lines.join(ids.withColumnRenamed(key, "_id"), F.trim(named) == F.col("_id"), "left_anti")
+
+    for name, entity in ENTITIES.items():
+        for folder in _day_folders(spark, f"{lake.zone('landing')}/{entity.source}/{name}"):
+            text = entity.file_format == "json"
+            if _rewrite(spark, lake, folder, "text" if text else entity.file_format, by_field if text else by_column):
+                done[f"landing.{name}.{folder.rsplit('=', 1)[1]}"] = True
+    for zone in ("bronze", "quarantine"):
         for name in tables.list_children(spark, lake.zone(zone)):
-            if name.startswith("_"):
-                continue
+            for folder in _day_folders(spark, lake.table(zone, name)):
+                if tables.has_data(spark, folder) and _rewrite(spark, lake, folder, "parquet", by_column):
+                    done[f"{zone}.{name}.{folder.rsplit('=', 1)[1]}"] = True
+    exports = f"{lake.zone('gold')}/_exports"
+    for name in tables.list_children(spark, exports):
+        for folder in _day_folders(spark, f"{exports}/{name}"):
+            if _rewrite(spark, lake, folder, "parquet", by_column):
+                done[f"exports.{name}.{folder.rsplit('=', 1)[1]}"] = True
+    for zone in ("silver", "gold", "serve"):
+        for name in (n for n in tables.list_children(spark, lake.zone(zone)) if not n.startswith("_")):
             table = lake.snapshot(spark, zone, name)
-            if not table.exists():
-                continue
-            df = table.read()
-            if key in df.columns:
-                done[f"{zone}.{name}"] = table.commit(erase_subject(df, subjects, key), f"DELETE {key}")
-    for name in tables.list_children(spark, lake.zone("quarantine")):
-        path = lake.table("quarantine", name)
-        for child in tables.list_children(spark, path):
-            if not child.startswith("_run_date="):
-                continue
-            day = child.split("=", 1)[1]
-            part = tables.read_days(spark, path, day)
-            if part is None or key not in part.columns:
-                continue
-            # stage the kept rows, then replace the day from the staged copy (never read and
-            # overwrite the same folder in one job)
-            staging = f"{lake.root.rstrip('/')}/_rewrite/quarantine/{name}/{child}"
-            kept = erase_subject(part, subjects, key).drop("_run_date")
-            kept.write.mode("overwrite").parquet(staging)
-            tables.write_day(spark.read.schema(kept.schema).parquet(staging), path, day)
-            done[f"quarantine.{name}.{day}"] = 0
+            left = by_column(table.read()) if table.exists() else None
+            if left is not None:
+                done[f"{zone}.{name}"] = table.commit(left, f"DELETE {key}")
+                table.vacuum(-1)  # an earlier version still has the subject
     return done
 
 
@@ -371,19 +375,3 @@ def retention_job(spark: SparkSession, lake: Lake, today: str, policy: dict[str,
         if gone:
             removed[f"exports.{name}"] = gone
     return removed
-
-
-# ------------------------------------------------------------------------ analog landing (bench)
-def land_analog(spark: SparkSession, lake: Lake, sf_dir: str, run_date: str) -> None:
-    """Write the analog extracts of the driver tables as one day of landing files: Parquet for the
-    relational entities, JSON Lines (timestamps as text) for the listings feed."""
-    from terrace.plans import analog
-
-    t = analog.Tables(spark, sf_dir.rstrip("/"))
-    for name, entity in ENTITIES.items():
-        df = analog.LANDED[name](t)
-        path = lake.landing(entity.source, name, run_date)
-        if entity.file_format == "json":
-            df.write.mode("overwrite").json(path)
-        else:
-            df.write.mode("overwrite").parquet(path)

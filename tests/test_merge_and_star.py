@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators import checks, observe, serve
-from terrace.operators.star import agg_market_monthly, dim_date, fact_leases, fact_listings, fact_sales
+from terrace.operators.star import dim_date, fact_leases, fact_listings, fact_sales, located_sales, market_monthly
 from terrace.operators.upsert import merge_delete_missing, merge_upsert
 
 DDL = "k string, updated_at timestamp, v int"
@@ -75,7 +75,7 @@ def test_delete_missing_and_empty_source_refused(spark):
     source = spark.createDataFrame([("b", t0, 2), ("c", t0, 3)], DDL)
     assert {r.k: r.v for r in merge_delete_missing(target, source, "k").collect()} == {"b": 2, "c": 3}
     with pytest.raises(ValueError):
-        merge_delete_missing(target, spark.createDataFrame([], DDL), "k")
+        merge_delete_missing(target, spark.createDataFrame([], DDL), "k").collect()
 
 
 SALES = "transaction_id string, property_id string, agent_id string, sale_price decimal(18,2), sale_date date, closing_date date, financing_type string, updated_at timestamp"
@@ -93,7 +93,7 @@ def test_fact_sales_orphan_kept_but_not_aggregated(spark):
     f = {r.transaction_id: r for r in fact_sales(sales, props).collect()}
     assert f["t1"].price_per_sqft == Decimal("3.33") and f["t1"].days_to_close == 3 and f["t1"].sale_date_key == 20240210
     assert f["t2"].price_per_sqft is None and f["t2"].days_to_close is None
-    agg = agg_market_monthly(fact_sales(sales, props), props).collect()
+    agg = market_monthly(located_sales(sales, props)).collect()
     assert len(agg) == 1 and agg[0].sales_count == 1 and agg[0].month == dt.date(2024, 2, 1)
 
 
@@ -102,7 +102,7 @@ def test_calendar_spans_whole_years_and_leap_day(spark):
     props = spark.createDataFrame([], PROPS)
     leases = spark.createDataFrame([], "lease_id string, property_id string, agent_id string, monthly_rent decimal(12,2), lease_start date, lease_end date, updated_at timestamp")
     listings = spark.createDataFrame([], "listing_id string, property_id string, agent_id string, list_price decimal(18,2), status string, listed_at timestamp, updated_at timestamp")
-    cal = dim_date(fact_sales(sales, props), fact_leases(leases), fact_listings(listings, "2024-03-05"))
+    cal = dim_date({"fact_sales": fact_sales(sales, props), "fact_leases": fact_leases(leases), "fact_listings": fact_listings(listings, "2024-03-05")})
     rows = cal.collect()
     assert len(rows) == 366
     leap = [r for r in rows if r.date == dt.date(2024, 2, 29)][0]
@@ -116,7 +116,7 @@ def test_calendar_empty_without_facts(spark):
     props = spark.createDataFrame([], PROPS)
     leases = spark.createDataFrame([], "lease_id string, property_id string, agent_id string, monthly_rent decimal(12,2), lease_start date, lease_end date, updated_at timestamp")
     listings = spark.createDataFrame([], "listing_id string, property_id string, agent_id string, list_price decimal(18,2), status string, listed_at timestamp, updated_at timestamp")
-    assert dim_date(fact_sales(empty_sales, props), fact_leases(leases), fact_listings(listings)).count() == 0
+    assert dim_date({"fact_sales": fact_sales(empty_sales, props), "fact_leases": fact_leases(leases), "fact_listings": fact_listings(listings)}).count() == 0
 
 
 def test_lease_term_and_annualised_rent(spark):
@@ -147,16 +147,12 @@ def test_freshness_limit_and_empty_entity(spark):
     assert out["all"].freshness_minutes == 45.0
 
 
-def test_metric_log_step_and_slo(spark):
-    log = observe.MetricLog("test", "unit")
-    with log.step():
-        pass
-    with pytest.raises(RuntimeError):
-        with log.step():
-            raise RuntimeError("boom")
-    m = log.frame(spark)
-    names = [r.metric for r in m.collect()]
-    assert names.count("pipeline.execution") == 2 and names.count("pipeline.success") == 1 and "job.failed" in names
+def test_step_rows_and_slo(spark):
+    from terrace.contracts import METRIC_DDL
+
+    runs = [observe.timed_step("unit", lambda: 5), observe.timed_step("unit", lambda: 1 // 0)]
+    assert runs[0].report == 5 and runs[0].error is None and "ZeroDivisionError" in runs[1].error
+    m = spark.createDataFrame([r for run in runs for r in observe.step_rows(run, "test")], METRIC_DDL)
     s = {r.slo: r for r in observe.slo(m).collect()}
     assert s["pipeline_success"].attainment_pct == 50.0 and not s["pipeline_success"].met
     assert s["data_freshness"].denominator == 0.0 and s["data_freshness"].attainment_pct is None
@@ -188,6 +184,15 @@ def test_kth_smallest_exact_with_narrowing(spark):
     assert med == (s[len(s) // 2 - 1] + s[len(s) // 2]) / 2
 
 
+def test_order_statistics_without_help_from_the_sketch(spark):
+    from terrace.operators.quantiles import order_statistics
+
+    data = [10**9 + k for k in range(300)] + [0]
+    vals = spark.createDataFrame([(x, 1) for x in data], "x long, c long")
+    for ranks in ([1, 2], [150, 151], [301, 301]):
+        assert order_statistics(vals, ranks, buckets=2, final_rows=3, accuracy=1) == [sorted(data)[r - 1] for r in ranks]
+
+
 def test_clustered_layout_splits_a_hot_key(spark):
     from terrace.operators.maintain import clustered_layout
 
