@@ -204,14 +204,11 @@ def _bronze(t: Tables, entity: str) -> DataFrame:
     return with_bronze_metadata(LANDED[entity](t), entity, f"{t.root}/{SOURCE_TABLE[entity]}.parquet")
 
 
-def land_analog(spark: SparkSession, lake, sf_dir: str, run_date: str) -> None:
-    """Write the analog extracts of the driver tables as one day of landing files: Parquet for the
-    relational entities, JSON Lines (timestamps as text) for the listings feed."""
+def land_analog(spark: SparkSession, lake, sf_dir: str, run_date: str, only: dict[str, str] | None = None) -> None:
+    """Land the analog extracts for one day: Parquet for the relational entities, JSON Lines for the
+    listings feed. ``only``: the entities that the day brings, with a condition on their rows."""
     t = Tables(spark, sf_dir.rstrip("/"))
     for name, entity in ENTITIES.items():
-        df = LANDED[name](t)
-        path = lake.landing(entity.source, name, run_date)
-        if entity.file_format == "json":
-            df.write.mode("overwrite").json(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+        if only is None or name in only:
+            rows = LANDED[name](t).where((only or {}).get(name, "true"))
+            rows.write.mode("overwrite").format(entity.file_format).save(lake.landing(entity.source, name, run_date))

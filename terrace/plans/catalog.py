@@ -782,3 +782,14 @@ def run_report(t: Tables) -> DataFrame:
     parts.append(checks.row_counts(gold).select(F.lit("gold_rows").alias("section"), F.col("table_name").alias("item"), F.col("row_count").cast("double").alias("value")))
     parts.append(serve.top_markets(gold["agg_market_monthly"]).select(F.lit("top_markets").alias("section"), F.concat_ws("/", "city", "state").alias("item"), F.col("volume").cast("double").alias("value")))
     return checks.union_all(parts)
+
+
+# ------------------------------------------------------------------------------- the stored lake
+def _register_lake() -> None:
+    from terrace.plans.lakecheck import lake_queries
+
+    for name, (fn, sql) in lake_queries().items():
+        register(name, sql)(fn)
+
+
+_register_lake()
