@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,6 +59,18 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def batches(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with at most ``limit`` characters, or one text."""
+    start = total = 0
+    for k, t in enumerate(texts):
+        if k > start and total + len(t) > limit:
+            yield start, k
+            start, total = k, 0
+        total += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def running_offsets(cells: DataFrame, keys: list[str], cell: str, value: str, out: str, fan: int = 1024) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the earlier cells of the same keys.
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import whole_text
+from terrace.llm.common import batches, whole_text
 
 BATCH_CHARS = 4_000_000
 SPACE = "▁"  # what a space is written as in pieces
@@ -172,18 +172,6 @@ def codec(model: str) -> Codec:
     return Codec(model)
 
 
-def batches(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with at most ``limit`` characters, or one text."""
-    start = total = 0
-    for k, t in enumerate(texts):
-        if k > start and total + len(t) > limit:
-            yield start, k
-            start, total = k, 0
-        total += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string, n_aligned long, span_ends_crc32 long"
 
 
@@ -196,7 +184,7 @@ def encode_documents(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
         it = codec(model)
         for frame in frames:
             texts = frame["text"].tolist()
-            for a, b in batches(texts):
+            for a, b in batches(texts, BATCH_CHARS):
                 ids = it.encode(texts[a:b])
                 back = it.decode(ids)
                 ends = [it.spans(t, x) for t, x in zip(texts[a:b], ids, strict=True)]

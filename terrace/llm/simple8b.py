@@ -160,8 +160,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, doc_
             return pd.DataFrame({"part": [part], "block": [block], "n_docs": [len(names)], "n_ids": [n], "payload": [write_block(names, held)]})
 
         for frame in frames:
-            for name, value in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = np.frombuffer(encoder.ids(value) + end, dtype="<u4")
+            for name, data in zip(frame["doc_id"], encoder.ids(frame["text"].tolist()), strict=True):
+                ids = np.frombuffer(data + end, dtype="<u4")
                 names.append(None if pd.isna(name) else int(name))
                 held.append(ids)
                 n += len(ids)

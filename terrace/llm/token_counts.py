@@ -19,26 +19,37 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import whole_text
+from terrace.llm.common import batches, whole_text
 
 CHUNK, OVERLAP = 16_384, 512
-MEMORY = 1_000_000
+#: Words remembered, and characters whose words are looked up together.
+MEMORY = 500_000
+PART = 2_000_000
 #: Longer words are encoded anew each time.
 LONG_WORD = 100
 LIMIT = 2048
 
-#: A run without white space; a full stop or comma after a letter, which is always a token boundary
-#: too, begins another, so that a word is the same word at the end of a sentence.
-_WORD = re.compile(r"[^\x20\x09-\x0D.,]*[A-Za-zÀ-ÖØ-öø-ɏ](?=[\x20\x09-\x0D.,]|\Z)|[^\x20\x09-\x0D]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: White space for Python's split() that the tokenizer takes for text.
+_NO_BLANKS = re.compile("[\x1c-\x1f]")
+#: Letters after which a full stop or comma at a word's end is a token of its own. The lower case of İ
+#: ends in a mark, which is no letter.
+LATIN = frozenset(string.ascii_letters) | {chr(c) for c in range(0xC0, 0x250)} - {"×", "÷", "İ"}
+#: A word of letters is one run of the tokenizer, so exactly one of its tokens ends a word, the last;
+#: such words are encoded many in one text and told apart by that.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+TOGETHER = 2_000
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
 
 #: ids, and for each the first and the end character
@@ -101,31 +112,69 @@ class Words:
         self.library.no_truncation()
         self.library.no_padding()
         self.known: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def with_offsets(self, text: str) -> Encoded:
         e = self.library.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        got = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, got, strict=True)}
-
-    def _part(self, words: list[str]) -> bytes:
-        """The ids of some words; those not in memory are encoded together and remembered."""
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            new = self._encoded(list({w for w in words if w not in self.known}))
+    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of the words. What is remembered, and encoded where it is not, are their stems: the
+        word in lower case where that is ASCII, and without a full stop or comma after a letter."""
+        out, parts = {}, {}
+        for w in words:
+            ids = self.known.get(w)
+            if ids is None:
+                tail = w[-1] if w[-1] in ".," and len(w) > 1 and w[-2] in LATIN else ""
+                stem = w[:-1] if tail else w
+                parts[w] = (stem.lower() if stem.isascii() else stem, tail)
+            else:
+                out[w] = ids
+        stems = {x for pair in parts.values() for x in pair if x}
+        ids = {x: self.known[x] for x in stems if x in self.known} | {"": b""}
+        new = self._encoded([x for x in stems if x not in ids])
         if len(self.known) + len(new) > MEMORY:
-            new |= {w: self.known[w] for w in words if w in self.known}
             self.known = {}
-        self.known.update({w: x for w, x in new.items() if len(w) <= LONG_WORD})
-        return b"".join([self.known[w] if w in self.known else new[w] for w in words])
+        self.known.update((w, x) for w, x in new.items() if len(w) <= LONG_WORD)
+        ids |= new
+        out.update((w, ids[stem] + ids[tail]) for w, (stem, tail) in parts.items())
+        return out
 
-    def ids(self, text: str, part: int = 100_000) -> bytes:
-        """The ids of a text as little-endian 32-bit numbers."""
-        words = _WORD.findall(text)
-        return b"".join([self._part(words[k : k + part]) for k in range(0, len(words), part)])
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        others = [w for w in words if not _LETTERS.fullmatch(w)]
+        plain, out = [w for w in words if _LETTERS.fullmatch(w)], {}
+        for k in range(0, len(plain), TOGETHER):
+            some = plain[k : k + TOGETHER]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(some):  # not as expected: one by one
+                others += some
+                continue
+            data, stops = ids.tobytes(), stops.tolist()
+            out.update(zip(some, [data[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+        got = self.library.encode_batch_fast(others, add_special_tokens=False)
+        out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(others, got, strict=True))
+        return out
+
+    def _huge(self, text: str) -> bytes:
+        """The ids of a text whose words are taken in parts."""
+        found, out = (m[0] for m in _WORD.finditer(text)), []
+        while part := list(islice(found, PART // 5)):
+            out.append(b"".join(map(self._ids_of(set(part)).__getitem__, part)))
+        return b"".join(out)
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian 32-bit numbers. Texts are taken PART characters at a
+        time, and so is a longer text."""
+        for a, b in batches(texts, PART):
+            if b == a + 1 and len(texts[a]) > PART:
+                yield self._huge(texts[a])
+                continue
+            found = [_WORD.findall(t) if _NO_BLANKS.search(t) else t.split() for t in texts[a:b]]
+            ids = self._ids_of(set().union(*found))
+            yield from [b"".join(map(ids.__getitem__, x)) for x in found]
 
 
 @lru_cache(maxsize=2)
@@ -140,7 +189,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "
         it = words(path)
         for frame in frames:
             texts = frame["text"].tolist()
-            n = [len(it.ids(t)) // 4 if len(t) <= CHUNK else sum(map(len, spliced(t, it.with_offsets))) for t in texts]
+            short = it.ids([t for t in texts if len(t) <= CHUNK])
+            n = [len(next(short)) // 4 if len(t) <= CHUNK else sum(map(len, spliced(t, it.with_offsets))) for t in texts]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": frame["n_bytes"], "n_tokens": n, "over_limit": [x > limit for x in n]})
 
     t = whole_text(text)

@@ -50,25 +50,28 @@ def library_ids(text):
     return token_counts.words(WORD_FILE).library.encode(text or "", add_special_tokens=False).ids
 
 
-def test_words_give_the_librarys_ids(texts):
+def test_words_give_the_librarys_ids(texts, monkeypatch):
     it = token_counts.words(WORD_FILE)
-    for t in texts:
-        assert np.frombuffer(it.ids(t or "", part=97), dtype="<u4").tolist() == library_ids(t), t[:80]
+    for part in (300, 5000, 2_000_000):
+        monkeypatch.setattr(token_counts, "PART", part)
+        for t, got in zip(texts, it.ids([t or "" for t in texts]), strict=True):
+            assert np.frombuffer(got, dtype="<u4").tolist() == library_ids(t), t[:80]
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab.,' \n'sté́<|>1Σσ 日̸\"")), max_size=40))
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("abA.,' \n'sté́<|>1Σσ 日̸\"\x1c\x85\xa0\u2000\u3000İÉ×")), max_size=40))
 def test_words_give_the_librarys_ids_for_any_text(text):
     it = token_counts.words(WORD_FILE)
-    assert np.frombuffer(it.ids(text), dtype="<u4").tolist() == library_ids(text)
+    assert np.frombuffer(next(it.ids([text])), dtype="<u4").tolist() == library_ids(text)
 
 
 def test_memory_is_bounded(monkeypatch, texts):
     monkeypatch.setattr(token_counts, "MEMORY", 50)
     it = token_counts.Words(WORD_FILE)
-    for t in texts:
-        assert np.frombuffer(it.ids(t or ""), dtype="<u4").tolist() == library_ids(t)
-    assert len(it.known) < 20_000
+    monkeypatch.setattr(token_counts, "PART", 400)
+    for t, got in zip(texts, it.ids([t or "" for t in texts]), strict=True):
+        assert np.frombuffer(got, dtype="<u4").tolist() == library_ids(t)
+    assert len(it.known) < 500
 
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(64, 8), (200, 40), (1024, 64)])
