@@ -1,8 +1,8 @@
-"""Run metrics as a long table, and the SLO / monitor / dashboard queries over it.
+"""Step results as metric rows, and the SLO, monitor and dashboard queries over metric points (L3, K17,
+A12-A15, A17).
 
-Metric rows: ``metric, kind (gauge|count), value, ts, env, pipeline, source, entity, zone``.
-Each step of a run becomes a ``StepRun``, whose rows are written once; data-derived metrics (quality counters per
-run day) are built as DataFrames with ``quality_points``.
+Each step of a run becomes a ``StepRun``, whose rows are written once after it. The queries take any
+frame of points (ts, metric, value, entity): the stored rows of runs, or ``event_points`` of a stream.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.contracts import FRESHNESS_LIMIT_MINUTES, REJECTION_RATE_LIMIT, SLO_TARGETS, STEP_DURATION_LIMIT_SECONDS
+from terrace.contracts import FRESHNESS_LIMIT_MINUTES, REJECTION_RATE_LIMIT, SLO_DAYS, SLO_TARGETS, SLO_WARNINGS, STEP_DURATION_LIMIT_SECONDS
 
 # counter column → metric name (the names the silver job emits)
 QUALITY_METRICS = {
@@ -56,122 +56,108 @@ def step_rows(run: StepRun, env: str, readings: Sequence[tuple] = ()) -> list[tu
     return counted + [row(metric, "count" if metric.startswith("freshness.") and not metric.endswith("minutes") else "gauge", value, *tags) for metric, value, *tags in readings]
 
 
-def quality_points(counts: DataFrame, env: str, pipeline: str, run_ts: str = "_run_ts") -> DataFrame:
-    """Long metric rows from per-(entity, run) quality counters (one gauge per counter)."""
-    kv = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(c).cast("double").alias("value")) for c, name in QUALITY_METRICS.items()]))
-    return counts.select("source", "entity", run_ts, kv.alias("p")).select(
-        F.col("p.metric").alias("metric"),
-        F.lit("gauge").alias("kind"),
-        F.col("p.value").alias("value"),
-        F.col(run_ts).alias("ts"),
-        F.lit(env).alias("env"),
-        F.lit(pipeline).alias("pipeline"),
-        "source",
-        "entity",
-        F.lit("silver").alias("zone"),
-    )
+# What an event of the stream measures, as (metric, kind, SQL of its value).
+READINGS: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "view": (("records_processed", "gauge", "value"), ("quality.records_processed", "gauge", "floor(value)")),
+    "click": (("quality.rejection_rate", "gauge", "value / 1997"), ("quality.records_rejected", "gauge", "floor(value / 4)")),
+    "purchase": (("pipeline.duration_seconds", "gauge", "value * 20"), ("quality.duplicates", "gauge", "floor(value / 10)")),
+    "signup": (("freshness.minutes", "gauge", "value"), ("freshness.check", "count", "1"), ("freshness.satisfied", "count", "if(value <= 30, 1, 0)")),
+    "error": (("job.failed", "count", "1"),),
+}
 
 
-def run_points(runs: DataFrame, env: str, pipeline: str, freshness_limit: float = FRESHNESS_LIMIT_MINUTES) -> DataFrame:
-    """Per-run step counts and freshness from a frame of (``_run_ts``, ``freshness_minutes``)."""
-    fresh_ok = F.col("freshness_minutes") <= F.lit(float(freshness_limit))
-    items = F.array(
-        F.struct(F.lit("pipeline.execution").alias("metric"), F.lit("count").alias("kind"), F.lit(1.0).alias("value")),
-        F.struct(F.lit("pipeline.success").alias("metric"), F.lit("count").alias("kind"), F.lit(1.0).alias("value")),
-        F.struct(F.lit("freshness.minutes").alias("metric"), F.lit("gauge").alias("kind"), F.col("freshness_minutes").alias("value")),
-        F.struct(F.lit("freshness.check").alias("metric"), F.lit("count").alias("kind"), F.lit(1.0).alias("value")),
-        F.struct(F.lit("freshness.satisfied").alias("metric"), F.lit("count").alias("kind"), F.when(fresh_ok, 1.0).otherwise(0.0).alias("value")),
-    )
-    null = F.lit(None).cast("string")
-    return runs.select("_run_ts", F.explode(items).alias("p")).select(
-        "p.metric", "p.kind", "p.value", F.col("_run_ts").alias("ts"), F.lit(env).alias("env"), F.lit(pipeline).alias("pipeline"),
-        null.alias("source"), null.alias("entity"), null.alias("zone"),
+def event_points(events: DataFrame) -> DataFrame:
+    """Metric points (ts, metric, kind, value, entity) of an event stream, one pass: every event is a
+    run of something, which succeeded unless the event is an error, and has the readings of its type.
+    The user is the entity."""
+    runs = "struct('pipeline.execution' AS metric, 'count' AS kind, 1D AS value), struct('pipeline.success' AS metric, 'count' AS kind, if(event_type = 'error', 0D, 1D) AS value)"
+    cases = " ".join(
+        f"WHEN '{kind}' THEN array({', '.join(f"struct('{m}' AS metric, '{k}' AS kind, double({v}) AS value)" for m, k, v in rows)})" for kind, rows in READINGS.items()
     )
+    none = "CAST(array() AS array<struct<metric:string,kind:string,value:double>>)"
+    points = F.expr(f"concat(array({runs}), CASE event_type {cases} ELSE {none} END)")
+    return events.select("ts", F.concat(F.lit("u"), F.col("user_id")).alias("entity"), F.explode(points).alias("p")).select("ts", "p.metric", "p.kind", "p.value", "entity")
 
 
-def slo(metrics: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Success and freshness SLOs: numerator / denominator counts over the period, in percent."""
+def slo(metrics: DataFrame, until: str | None = None, by: Sequence[str] = (), days: int = SLO_DAYS) -> DataFrame:
+    """Success and freshness over the ``days`` before ``until`` (without: all), per tag of ``by``:
+    attained percent and whether it meets the target, is below the warning level, or breaches."""
     m = metrics
-    if start:
-        m = m.where(F.col("ts") >= F.lit(start).cast("timestamp"))
-    if end:
-        m = m.where(F.col("ts") < F.lit(end).cast("timestamp"))
+    if until:
+        end = F.lit(until).cast("timestamp")
+        m = m.where((F.col("ts") >= end - F.expr(f"INTERVAL {days} DAYS")) & (F.col("ts") < end))
+    total = lambda name: F.coalesce(F.sum(F.when(F.col("metric") == name, F.col("value"))), F.lit(0.0))
+    sums = m.groupBy(*by).agg(*[total(n).alias(f"{slo}_{k}") for slo, pair in SLO_RATIOS.items() for k, n in zip("nd", pair, strict=True)])
+    rows = [F.struct(F.lit(n).alias("slo"), F.col(f"{n}_n").alias("numerator"), F.col(f"{n}_d").alias("denominator"), F.lit(SLO_TARGETS[n]).alias("target_pct"), F.lit(SLO_WARNINGS[n]).alias("warning_pct")) for n in SLO_RATIOS]
+    out = sums.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
+    pct = F.round(F.try_divide(F.col("numerator") * 100.0, F.col("denominator")), 9)
+    out = out.withColumn("attainment_pct", pct).withColumn("met", F.col("attainment_pct") >= F.col("target_pct"))
+    state = F.when(~F.col("met"), "breached").when(F.col("attainment_pct") < F.col("warning_pct"), "warning").when(F.col("met"), "ok")
+    return out.withColumn("state", state)
+
+
+SLO_RATIOS = {"pipeline_success": ("pipeline.success", "pipeline.execution"), "data_freshness": ("freshness.satisfied", "freshness.check")}
+
+# Monitors as (name, metric, aggregate, trailing minutes, limit, alert when).
+MONITORS: tuple[tuple[str, str, str, int, float, str], ...] = (
+    ("rejection_rate", "quality.rejection_rate", "avg", 15, REJECTION_RATE_LIMIT, "above"),
+    ("freshness", "freshness.minutes", "max", 15, float(FRESHNESS_LIMIT_MINUTES), "above"),
+    ("job_failed", "job.failed", "sum", 15, 0.0, "above"),
+    ("step_duration", "pipeline.duration_seconds", "avg", 30, float(STEP_DURATION_LIMIT_SECONDS), "above"),
+    ("pipeline_failed", "pipeline.success", "min", 15, 0.0, "at most"),
+    ("no_records", "quality.records_processed", "min", 15, 0.0, "at most"),
+)
 
-    def total(name: str):
-        return F.coalesce(F.sum(F.when(F.col("metric") == name, F.col("value"))), F.lit(0.0))
 
-    sums = m.agg(
-        total("pipeline.success").alias("s_num"), total("pipeline.execution").alias("s_den"),
-        total("freshness.satisfied").alias("f_num"), total("freshness.check").alias("f_den"),
-    )
-    rows = F.array(
-        F.struct(F.lit("pipeline_success").alias("slo"), F.col("s_num").alias("numerator"), F.col("s_den").alias("denominator"),
-                 F.lit(SLO_TARGETS["pipeline_success"]).alias("target_pct")),
-        F.struct(F.lit("data_freshness").alias("slo"), F.col("f_num").alias("numerator"), F.col("f_den").alias("denominator"),
-                 F.lit(SLO_TARGETS["data_freshness"]).alias("target_pct")),
-    )
-    out = sums.select(F.explode(rows).alias("r")).select("r.*")
-    pct = F.try_divide(F.col("numerator") * 100.0, F.col("denominator"))
-    return out.select("slo", "numerator", "denominator", pct.alias("attainment_pct"), "target_pct", (pct >= F.col("target_pct")).alias("met"))
+def monitors(metrics: DataFrame, definitions: Sequence[tuple[str, str, str, int, float, str]] = MONITORS) -> DataFrame:
+    """Every monitor at every full minute whose trailing window has points: (monitor, at, value, limit,
+    alert).
 
+    One pass: points are summed per metric and minute before any shuffle, and a minute's sums count for
+    each evaluation within the window. No task holds a metric's whole series.
+    """
+    names = sorted({d[1] for d in definitions})
+    minute = F.date_trunc("minute", "ts")
+    sums = metrics.where(F.col("metric").isin(names)).groupBy("metric", minute.alias("minute"))
+    sums = sums.agg(F.sum("value").alias("s"), F.count("value").alias("n"), F.max("value").alias("hi"), F.min("value").alias("lo"))
+    rows = [F.struct(*[F.lit(x).alias(k) for k, x in zip(("monitor", "of", "agg", "width", "limit", "when"), d, strict=True)]) for d in definitions]
+    mine = F.filter(F.array(*rows), lambda d: d["of"] == F.col("metric"))
+    each = sums.select("minute", "s", "n", "hi", "lo", F.explode(mine).alias("d"))
+    ahead = each.select("*", F.explode(F.sequence(F.lit(1), F.col("d.width"))).alias("k"))
+    at = F.timestamp_add("MINUTE", F.col("k"), F.col("minute"))
+    seen = ahead.groupBy(F.col("d.monitor").alias("monitor"), at.alias("at"), F.col("d.agg").alias("agg"), F.col("d.limit").alias("limit"), F.col("d.when").alias("when"))
+    seen = seen.agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.max("hi").alias("hi"), F.min("lo").alias("lo"))
+    value = F.when(F.col("agg") == "avg", F.col("s") / F.col("n")).when(F.col("agg") == "max", F.col("hi")).when(F.col("agg") == "min", F.col("lo")).otherwise(F.col("s"))
+    # rounded, so that a reading does not depend on the order in which partial sums met
+    out = seen.withColumn("value", F.round(value, 6))
+    alert = F.when(F.col("when") == "above", F.col("value") > F.col("limit")).otherwise(F.col("value") <= F.col("limit"))
+    return out.select("monitor", "at", "value", "limit", alert.alias("alert"))
 
-# Monitors: (name, metric, aggregation, window, limit). Fixed alert definitions of the platform.
-MONITORS: tuple[tuple[str, str, str, str, float], ...] = (
-    ("rejection_rate", "quality.rejection_rate", "avg", "15 minutes", REJECTION_RATE_LIMIT),
-    ("freshness", "freshness.minutes", "max", "15 minutes", float(FRESHNESS_LIMIT_MINUTES)),
-    ("job_failed", "job.failed", "sum", "15 minutes", 0.0),
-    ("step_duration", "pipeline.duration_seconds", "avg", "30 minutes", float(STEP_DURATION_LIMIT_SECONDS)),
-)
 
+# The top lists, the largest value of a metric per entity.
+TOP_METRICS = ("quality.rejection_rate", "quality.records_processed", "quality.records_rejected", "quality.duplicates", "records_processed")
 
-def monitors(metrics: DataFrame, definitions: Sequence[tuple[str, str, str, str, float]] = MONITORS) -> DataFrame:
-    """Evaluate threshold monitors over tumbling windows: one row per monitor and window with data."""
-    aggs = {"avg": F.avg, "max": F.max, "sum": F.sum}
-    parts = []
-    for name, metric, agg, width, limit in definitions:
-        parts.append(
-            metrics.where(F.col("metric") == metric)
-            .groupBy(F.window("ts", width).alias("w"))
-            # rounded to 1e-9 so the reading does not depend on the order partial sums were combined
-            .agg(F.round(aggs[agg]("value"), 9).alias("value"))
-            .select(
-                F.lit(name).alias("monitor"), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                "value", F.lit(limit).alias("limit"), (F.col("value") > F.lit(limit)).alias("alert"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def metric_top(metrics: DataFrame, metric: str, by: str = "entity", n: int = 10) -> DataFrame:
-    """Largest value of one metric per tag value, top ``n``."""
-    return (
-        metrics.where((F.col("metric") == metric) & F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(F.max("value").alias("max_value"))
-        .orderBy(F.desc("max_value"), by)
-        .limit(n)
-    )
 
+def metric_top(metrics: DataFrame, names: Sequence[str] = TOP_METRICS, n: int = 10) -> DataFrame:
+    """The ``n`` entities with the largest value of each metric: (metric, place, entity, max_value)."""
+    from pyspark.sql import Window
 
-def metric_series(metrics: DataFrame, metric: str, bucket: str = "1 day", by: str = "source", agg: str = "sum") -> DataFrame:
-    """Time-bucketed series of one metric per tag value."""
-    fn = {"sum": F.sum, "max": F.max, "avg": F.avg}[agg]
-    return (
-        metrics.where(F.col("metric") == metric)
-        .groupBy(F.window("ts", bucket).start.alias("bucket_start"), by)
-        .agg(fn("value").alias("value"))
-    )
+    most = metrics.where(F.col("metric").isin(*names)).groupBy("metric", "entity").agg(F.max("value").alias("max_value"))
+    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("max_value"), "entity"))
+    return most.withColumn("place", place).where(F.col("place") <= n)
+
+
+def metric_series(metrics: DataFrame, bucket: str = "day") -> DataFrame:
+    """All series of the dashboards in one pass: per metric and time bucket its points, sum, largest
+    value and mean."""
+    sums = metrics.groupBy("metric", F.date_trunc(bucket, "ts").alias("bucket_start"))
+    return sums.agg(F.count("value").alias("points"), F.round(F.sum("value"), 6).alias("total"), F.max("value").alias("largest"), F.round(F.avg("value"), 6).alias("mean"))
 
 
 def metric_tiles(metrics: DataFrame) -> DataFrame:
-    """Dashboard tiles: total runs, successes, failures, and the latest freshness reading."""
+    """The tiles: runs, successes, failures, and the largest and latest freshness reading."""
+    of = lambda name: F.when(F.col("metric") == name, F.col("value"))
     latest = F.max(F.when(F.col("metric") == "freshness.minutes", F.struct("ts", "value")))
-    return metrics.agg(
-        F.coalesce(F.sum(F.when(F.col("metric") == "pipeline.execution", F.col("value"))), F.lit(0.0)).alias("total_runs"),
-        F.coalesce(F.sum(F.when(F.col("metric") == "pipeline.success", F.col("value"))), F.lit(0.0)).alias("successful_runs"),
-        F.coalesce(F.sum(F.when(F.col("metric") == "job.failed", F.col("value"))), F.lit(0.0)).alias("failed_runs"),
-        latest.alias("_l"),
-    ).select("total_runs", "successful_runs", "failed_runs", F.col("_l.ts").alias("last_freshness_ts"), F.col("_l.value").alias("last_freshness_minutes"))
+    sums = [F.coalesce(F.sum(of(m)), F.lit(0.0)).alias(a) for a, m in (("total_runs", "pipeline.execution"), ("successful_runs", "pipeline.success"), ("failed_runs", "job.failed"))]
+    out = metrics.agg(*sums, F.max(of("freshness.minutes")).alias("worst_freshness_minutes"), latest.alias("l"))
+    return out.select("total_runs", "successful_runs", "failed_runs", "worst_freshness_minutes", F.col("l.ts").alias("last_freshness_ts"), F.col("l.value").alias("last_freshness_minutes"))

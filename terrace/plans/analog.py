@@ -143,7 +143,7 @@ def landed_leases(t: Tables) -> DataFrame:
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def landed_listings(t: Tables, events: DataFrame | None = None) -> DataFrame:
+def landed_listings(t: Tables, events: DataFrame | None = None, *also: str) -> DataFrame:
     e = t.events if events is None else events
     text_ts = F.date_format(e.ts, _ISO)
     return e.select(
@@ -159,6 +159,7 @@ def landed_listings(t: Tables, events: DataFrame | None = None) -> DataFrame:
         text_ts.alias("listed_at"),
         text_ts.alias("updated_at"),
         e.props.alias("props"),
+        *also,
     )
 
 
@@ -180,7 +181,7 @@ SOURCE_TABLE = {
 }
 
 
-def with_bronze_metadata(df: DataFrame, entity: str, source_file: str | None = None) -> DataFrame:
+def with_bronze_metadata(df: DataFrame, entity: str, source_file: str | Column | None = None) -> DataFrame:
     """Bronze bookkeeping for the analog extracts.
 
     CRM extracts are one daily snapshot ingested at ``INGESTED_AT``; the listings feed lands per
@@ -193,7 +194,7 @@ def with_bronze_metadata(df: DataFrame, entity: str, source_file: str | None = N
     else:
         ingested = F.lit(INGESTED_AT).cast("timestamp")
         run_date = F.lit(RUN_DATE).cast("date")
-    return df.withColumns({"_ingested_at": ingested, "_source_file": F.lit(source_file).cast("string"), "_run_date": run_date})
+    return df.withColumns({"_ingested_at": ingested, "_source_file": (source_file if isinstance(source_file, Column) else F.lit(source_file)).cast("string"), "_run_date": run_date})
 
 
 def bronze(t: Tables, entity: str) -> DataFrame:

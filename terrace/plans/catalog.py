@@ -646,115 +646,126 @@ def pseudonymise_q(t: Tables) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- metrics
-_QUALITY_POINTS_SQL = f"""SELECT m AS metric, 'gauge' AS kind, v AS value, newest_ingest + INTERVAL 20 MINUTE AS ts,
-  'bench' AS env, 'silver' AS pipeline, src AS source, entity, 'silver' AS zone
-FROM (SELECT *, CASE WHEN entity = 'listings' THEN 'listings_api' ELSE 'crm' END AS src FROM ({_DQ_METRICS_SQL}))
-CROSS JOIN LATERAL (VALUES ('quality.records_processed', CAST(processed AS DOUBLE)), ('quality.records_rejected', CAST(rejected AS DOUBLE)),
-  ('quality.rejection_rate', rejection_rate), ('quality.duplicates', CAST(duplicates AS DOUBLE))) AS kv(m, v)"""
-_RUN_POINTS_SQL = f"""SELECT metric, kind, value, ts, 'bench' AS env, 'silver' AS pipeline, CAST(NULL AS VARCHAR) AS source,
-  CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS zone
-FROM (SELECT ts, (epoch_us(ts) - epoch_us(newest)) / 60000000.0 AS fm FROM (
-        SELECT newest_ingest + INTERVAL 20 MINUTE AS ts, max(newest_ingest) AS newest FROM ({_DQ_METRICS_SQL}) GROUP BY 1))
-CROSS JOIN LATERAL (VALUES ('pipeline.execution', 'count', 1.0), ('pipeline.success', 'count', 1.0),
-  ('freshness.minutes', 'gauge', fm), ('freshness.check', 'count', 1.0),
-  ('freshness.satisfied', 'count', CASE WHEN fm <= 30.0 THEN 1.0 ELSE 0.0 END)) AS kv(metric, kind, value)"""
-_RUN_METRICS_SQL = f"({_QUALITY_POINTS_SQL}) UNION ALL ({_RUN_POINTS_SQL})"
-
-
-def _run_metrics(t: Tables) -> DataFrame:
-    counts = _dq_metrics(t).withColumns(
-        {
-            "_run_ts": F.col("newest_ingest") + F.expr("INTERVAL 20 MINUTES"),
-            "source": F.when(F.col("entity") == "listings", F.lit("listings_api")).otherwise(F.lit("crm")),
-        }
-    )
-    quality = observe.quality_points(counts, "bench", "silver")
-    runs = counts.groupBy("_run_ts").agg(F.max("newest_ingest").alias("newest")).select(
-        "_run_ts", ((F.unix_micros("_run_ts") - F.unix_micros("newest")) / F.lit(60_000_000.0)).alias("freshness_minutes")
-    )
-    return quality.unionByName(observe.run_points(runs, "bench", "silver"))
+# The points again in DuckDB's SQL: one SELECT per reading, not the list of the operator.
+_POINTS_SQL = """
+SELECT ts, 'pipeline.execution' AS metric, 'count' AS kind, 1.0::DOUBLE AS value, 'u' || user_id AS entity FROM events
+UNION ALL SELECT ts, 'pipeline.success', 'count', (event_type <> 'error')::INT::DOUBLE, 'u' || user_id FROM events
+UNION ALL SELECT ts, 'records_processed', 'gauge', value, 'u' || user_id FROM events WHERE event_type = 'view'
+UNION ALL SELECT ts, 'quality.records_processed', 'gauge', floor(value), 'u' || user_id FROM events WHERE event_type = 'view'
+UNION ALL SELECT ts, 'quality.rejection_rate', 'gauge', value / 1997, 'u' || user_id FROM events WHERE event_type = 'click'
+UNION ALL SELECT ts, 'quality.records_rejected', 'gauge', floor(value / 4), 'u' || user_id FROM events WHERE event_type = 'click'
+UNION ALL SELECT ts, 'pipeline.duration_seconds', 'gauge', value * 20, 'u' || user_id FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT ts, 'quality.duplicates', 'gauge', floor(value / 10), 'u' || user_id FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT ts, 'freshness.minutes', 'gauge', value, 'u' || user_id FROM events WHERE event_type = 'signup'
+UNION ALL SELECT ts, 'freshness.check', 'count', 1.0, 'u' || user_id FROM events WHERE event_type = 'signup'
+UNION ALL SELECT ts, 'freshness.satisfied', 'count', (value <= 30)::INT::DOUBLE, 'u' || user_id FROM events WHERE event_type = 'signup'
+UNION ALL SELECT ts, 'job.failed', 'count', 1.0, 'u' || user_id FROM events WHERE event_type = 'error'"""
+
+
+def _points(t: Tables) -> DataFrame:
+    return observe.event_points(t.events)
+
+
+@register("run_metrics", f"SELECT ts, metric, kind, value, entity FROM ({_POINTS_SQL})")
+def run_metrics(t: Tables) -> DataFrame:
+    """The metric points of the event stream."""
+    return _points(t)
 
 
-@register("run_metrics", _RUN_METRICS_SQL)
-def run_metrics(t: Tables) -> DataFrame:
-    """Metric points of the daily silver runs, derived from the quality counters."""
-    return _run_metrics(t)
+_SLO_UNTIL = "2024-01-31"
+
+
+def _slo_part(name: str, good: str, all_: str, target: float, warning: float) -> str:
+    return (
+        f"SELECT entity, '{name}' AS slo, coalesce(sum(value) FILTER (WHERE metric = '{good}'), 0) AS numerator, "
+        f"coalesce(sum(value) FILTER (WHERE metric = '{all_}'), 0) AS denominator, {target}::DOUBLE AS target_pct, {warning}::DOUBLE AS warning_pct FROM p GROUP BY entity"
+    )
 
 
 @register(
     "slo",
-    f"""SELECT slo, numerator, denominator, numerator * 100.0 / denominator AS attainment_pct, target_pct,
-  numerator * 100.0 / denominator >= target_pct AS met FROM (
-  SELECT 'pipeline_success' AS slo, coalesce(sum(value) FILTER (WHERE metric = 'pipeline.success'), 0.0) AS numerator,
-    coalesce(sum(value) FILTER (WHERE metric = 'pipeline.execution'), 0.0) AS denominator, CAST(99.5 AS DOUBLE) AS target_pct FROM ({_RUN_METRICS_SQL})
-  UNION ALL
-  SELECT 'data_freshness', coalesce(sum(value) FILTER (WHERE metric = 'freshness.satisfied'), 0.0),
-    coalesce(sum(value) FILTER (WHERE metric = 'freshness.check'), 0.0), CAST(99.0 AS DOUBLE) FROM ({_RUN_METRICS_SQL}))""",
+    f"""SELECT *, round(100.0::DOUBLE * numerator / nullif(denominator, 0), 9) AS attainment_pct,
+  round(100.0::DOUBLE * numerator / nullif(denominator, 0), 9) >= target_pct AS met,
+  CASE WHEN denominator = 0 THEN NULL WHEN round(100.0::DOUBLE * numerator / denominator, 9) < target_pct THEN 'breached'
+    WHEN round(100.0::DOUBLE * numerator / denominator, 9) < warning_pct THEN 'warning' ELSE 'ok' END AS state
+FROM (WITH p AS (SELECT * FROM ({_POINTS_SQL}) WHERE ts >= TIMESTAMP '{_SLO_UNTIL}' - INTERVAL 30 DAY AND ts < TIMESTAMP '{_SLO_UNTIL}')
+  {_slo_part('pipeline_success', 'pipeline.success', 'pipeline.execution', 99.5, 99.9)}
+  UNION ALL {_slo_part('data_freshness', 'freshness.satisfied', 'freshness.check', 99.0, 99.5)})""",
 )
 def slo_q(t: Tables) -> DataFrame:
-    """Pipeline-success and freshness SLO attainment."""
-    return observe.slo(_run_metrics(t))
+    """Both objectives over 30 days for each entity, against target and warning level."""
+    return observe.slo(_points(t), _SLO_UNTIL, by=("entity",))
 
 
-def _monitor_sql(name: str, metric: str, agg: str, minutes: int, limit: float) -> str:
+def _monitor_sql(name: str, metric: str, agg: str, minutes: int, limit: float, test: str) -> str:
     return (
-        f"SELECT '{name}' AS monitor, time_bucket(INTERVAL {minutes} MINUTE, ts) AS window_start, "
-        f"time_bucket(INTERVAL {minutes} MINUTE, ts) + INTERVAL {minutes} MINUTE AS window_end, round({agg}(value), 9) AS value, "
-        f"CAST({limit} AS DOUBLE) AS \"limit\", round({agg}(value), 9) > {limit} AS alert FROM ({_RUN_METRICS_SQL}) WHERE metric = '{metric}' GROUP BY 2, 3"
+        f"SELECT '{name}' AS monitor, \"at\", round({agg}(value), 6) AS value, {limit}::DOUBLE AS \"limit\", round({agg}(value), 6) {test} {limit} AS alert "
+        f"FROM (SELECT value, unnest(generate_series(date_trunc('minute', ts) + INTERVAL 1 MINUTE, date_trunc('minute', ts) + INTERVAL {minutes} MINUTE, INTERVAL 1 MINUTE)) AS \"at\" "
+        f"FROM ({_POINTS_SQL}) WHERE metric = '{metric}') GROUP BY \"at\""
     )
 
 
 @register(
     "monitors",
     " UNION ALL ".join(
-        _monitor_sql(n, m, a, int(w.split()[0]), lim) for n, m, a, w, lim in observe.MONITORS
+        (
+            _monitor_sql("rejection_rate", "quality.rejection_rate", "avg", 15, 0.01, ">"),
+            _monitor_sql("freshness", "freshness.minutes", "max", 15, 30.0, ">"),
+            _monitor_sql("job_failed", "job.failed", "sum", 15, 0.0, ">"),
+            _monitor_sql("step_duration", "pipeline.duration_seconds", "avg", 30, 1200.0, ">"),
+            _monitor_sql("pipeline_failed", "pipeline.success", "min", 15, 0.0, "<="),
+            _monitor_sql("no_records", "quality.records_processed", "min", 15, 0.0, "<="),
+        )
     ),
 )
 def monitors_q(t: Tables) -> DataFrame:
-    """Threshold monitors over tumbling windows of the run metrics."""
-    return observe.monitors(_run_metrics(t))
+    """All monitors over trailing windows, evaluated every minute."""
+    return observe.monitors(_points(t))
+
+
+_TOP_SQL = ", ".join(f"'{m}'" for m in ("quality.rejection_rate", "quality.records_processed", "quality.records_rejected", "quality.duplicates", "records_processed"))
 
 
 @register(
     "metric_top",
-    f"""SELECT entity, max(value) AS max_value FROM ({_RUN_METRICS_SQL}) WHERE metric = 'quality.rejection_rate' AND entity IS NOT NULL
-GROUP BY entity ORDER BY max_value DESC, entity LIMIT 10""",
+    f"""SELECT metric, CAST(row_number() OVER (PARTITION BY metric ORDER BY max_value DESC, entity) AS INTEGER) AS place, entity, max_value
+FROM (SELECT metric, entity, max(value) AS max_value FROM ({_POINTS_SQL}) WHERE metric IN ({_TOP_SQL}) GROUP BY 1, 2) QUALIFY place <= 10""",
 )
 def metric_top_q(t: Tables) -> DataFrame:
-    """Worst rejection rate per entity, top 10."""
-    return observe.metric_top(_run_metrics(t), "quality.rejection_rate")
+    """The five top lists by entity."""
+    return observe.metric_top(_points(t))
 
 
 @register(
     "metric_series",
-    f"""SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS bucket_start, source, sum(value) AS value
-FROM ({_RUN_METRICS_SQL}) WHERE metric = 'quality.records_processed' GROUP BY 1, 2""",
+    f"""SELECT metric, date_trunc('day', ts)::TIMESTAMP AS bucket_start, count(*) AS points, round(sum(value), 6) AS total, max(value) AS largest, round(avg(value), 6) AS mean
+FROM ({_POINTS_SQL}) GROUP BY 1, 2""",
 )
 def metric_series_q(t: Tables) -> DataFrame:
-    """Records processed per day and source."""
-    return observe.metric_series(_run_metrics(t), "quality.records_processed")
+    """All series per day."""
+    return observe.metric_series(_points(t))
 
 
 @register(
     "metric_tiles",
-    f"""SELECT coalesce(sum(value) FILTER (WHERE metric = 'pipeline.execution'), 0.0) AS total_runs,
-  coalesce(sum(value) FILTER (WHERE metric = 'pipeline.success'), 0.0) AS successful_runs,
-  coalesce(sum(value) FILTER (WHERE metric = 'job.failed'), 0.0) AS failed_runs,
+    f"""SELECT sum(value) FILTER (WHERE metric = 'pipeline.execution') AS total_runs, sum(value) FILTER (WHERE metric = 'pipeline.success') AS successful_runs,
+  sum(value) FILTER (WHERE metric = 'job.failed') AS failed_runs, max(value) FILTER (WHERE metric = 'freshness.minutes') AS worst_freshness_minutes,
   max(ts) FILTER (WHERE metric = 'freshness.minutes') AS last_freshness_ts,
-  arg_max(value, ts) FILTER (WHERE metric = 'freshness.minutes') AS last_freshness_minutes
-FROM ({_RUN_METRICS_SQL})""",
+  (max((ts, value)) FILTER (WHERE metric = 'freshness.minutes'))[2] AS last_freshness_minutes
+FROM ({_POINTS_SQL})""",
 )
 def metric_tiles_q(t: Tables) -> DataFrame:
-    """Run totals and the latest freshness reading."""
-    return observe.metric_tiles(_run_metrics(t))
+    """Run totals and the worst and latest freshness reading."""
+    return observe.metric_tiles(_points(t))
 
 
 # ----------------------------------------------------------------------------- lineage / report (rows-only)
 @register("bronze_metadata", "SELECT listing_id, _ingested_at, 'events.parquet' AS source_file_name, _run_date FROM b_list")
 def bronze_metadata(t: Tables) -> DataFrame:
-    """Ingestion bookkeeping columns on the landed feed (file name part of ``_source_file``)."""
-    b = analog.bronze(t, "listings")
-    return b.select("listing_id", "_ingested_at", F.regexp_extract("_source_file", r"([^/]+)$", 1).alias("source_file_name"), "_run_date")
+    """Bookkeeping of the landed feed, the file from the scan's own metadata column."""
+    landed = analog.landed_listings(t, t.events.withColumn("file", F.col("_metadata.file_path")), "file")
+    b = analog.with_bronze_metadata(landed, "listings", F.col("file"))
+    return b.select("listing_id", "_ingested_at", F.regexp_extract("_source_file", r"([^/]+\.parquet)(/[^/]*)?$", 1).alias("source_file_name"), "_run_date")
 
 
 _RUN_REPORT_SQL = " UNION ALL ".join(

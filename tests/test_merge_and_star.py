@@ -154,12 +154,23 @@ def test_step_rows_and_slo(spark):
     assert runs[0].report == 5 and runs[0].error is None and "ZeroDivisionError" in runs[1].error
     m = spark.createDataFrame([r for run in runs for r in observe.step_rows(run, "test")], METRIC_DDL)
     s = {r.slo: r for r in observe.slo(m).collect()}
+    assert s["pipeline_success"].state == "breached" and s["data_freshness"].state is None
     assert s["pipeline_success"].attainment_pct == 50.0 and not s["pipeline_success"].met
     assert s["data_freshness"].denominator == 0.0 and s["data_freshness"].attainment_pct is None
     alerts = {r.monitor: r.alert for r in observe.monitors(m).collect()}
     assert alerts["job_failed"] is True
 
 
+def test_monitors_look_back_over_their_window(spark):
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m, 30)
+    rows = [(at(8, 0), "freshness.minutes", 31.0), (at(8, 10), "freshness.minutes", 5.0), (at(8, 0), "pipeline.duration_seconds", 2000.0), (at(8, 20), "pipeline.duration_seconds", 100.0)]
+    got = {(r.monitor, r.at): r for r in observe.monitors(spark.createDataFrame(rows, "ts timestamp, metric string, value double")).collect()}
+    fresh = {(t.hour, t.minute): r.alert for (n, t), r in got.items() if n == "freshness"}
+    assert len(fresh) == 25 and all(v == (k <= (8, 15)) for k, v in fresh.items())
+    slow = {(t.hour, t.minute): r.value for (n, t), r in got.items() if n == "step_duration"}
+    assert slow[8, 20] == 2000.0 and slow[8, 21] == slow[8, 30] == 1050.0 and slow[8, 31] == 100.0 and len(slow) == 50
+
+
 def test_measures_exact_median(spark):
     from decimal import Decimal
 
