@@ -12,10 +12,11 @@ coordinates give the buckets; a pair at the threshold shares one with probabilit
 
 Classes: documents of equal weighted sets are collapsed first. In every bucket the document that
 meets the most others in its buckets is the hub and is compared exactly with each member. What is then
-in one class needs no further pair. Buckets that still hold several classes go on: all members outside
-the bucket's largest class are in turn compared with the members of other classes, in rounds that take
-four times as many each, until every pair of a bucket is either in one class or compared. So nothing is
-capped, a group of copies costs one comparison a copy, and no bucket emits all its pairs.
+in one class needs no further pair. Buckets that still hold several classes go on: the members outside
+the bucket's largest class are compared exactly with all its members, block by block (a block is
+bounded by its weight), and only true links leave a block. So every pair of a bucket is either in one
+class or compared, nothing is capped, a group of copies costs one comparison a copy, and no pairs are
+emitted that are no links.
 
 Scale: every step is a join or an aggregation on buckets, documents or classes, whose inputs are pairs
 of numbers; hot buckets and classes are aggregated before they are shuffled, or joined where Spark can
@@ -44,10 +45,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Weight units and documents whose darts are thrown together.
 UNITS, DOCS = 200_000, 1_000
-#: Members compared with their bucket in the first round after the hub's; each round takes FOUR times more.
-FIRST, FOUR = 16, 4
-
-_ONE = np.uint64(1)
+#: Weight units of a block of a bucket's members, and shingles compared at a time within it.
+BLOCK, TILE = 500_000, 4_096
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -165,45 +164,109 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-class _Texts:
-    """The numbered documents; fetches the shingles of some of them."""
-
-    def __init__(self, numbered: DataFrame) -> None:
-        self.numbered = numbered
-
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) at SIMILARITY or more, exactly. Their weights already allow it."""
-        pairs = settle(pairs, "candidates")
-        wanted = settle(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct(), "wanted")
-        words = self.numbered.join(wanted, "row", "left_semi").select("row", _word_hashes("text").alias("words"))
-        lists = settle(words.mapInPandas(_unit_lists, "node long, units array<long>"), "unit-lists")
-        left = pairs.join(lists.withColumnsRenamed({"node": "a", "units": "ua"}), "a")
-        whole = left.join(lists.withColumnsRenamed({"node": "b", "units": "ub"}), "b")
-        common = F.size(F.array_intersect("ua", "ub"))
-        return settle(whole.where(common >= (F.size("ua") + F.size("ub") - common) * SIMILARITY - 1e-9).select("a", "b"), "links")
+def _linked(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The pairs (a, b) at SIMILARITY or more, exactly, from the unit lists of the documents."""
+    left = pairs.join(lists.withColumnsRenamed({"node": "a", "units": "ua"}), "a")
+    whole = left.join(lists.withColumnsRenamed({"node": "b", "units": "ub"}), "b")
+    common = F.size(F.array_intersect("ua", "ub"))
+    return settle(whole.where(common >= (F.size("ua") + F.size("ub") - common) * SIMILARITY - 1e-9).select("a", "b"), "links")
 
 
 def _near_weight(x: str, y: str):
     return F.least(x, y) >= F.greatest(x, y) * SIMILARITY - 1e-9
 
 
-def _pairs(members: DataFrame, hubs: DataFrame, apart: bool) -> DataFrame:
-    """Distinct pairs of the members of a bucket and its hubs whose weights allow the similarity;
-    ``apart``: of those in different classes only."""
-    h = hubs.withColumnsRenamed({"node": "hub", "weight": "hub_weight", "label": "hub_label"})
-    test = (F.col("node") != F.col("hub")) & _near_weight("weight", "hub_weight")
-    if apart:
-        test &= F.col("label") != F.col("hub_label")
-    joined = members.join(h, "key").where(test)
+def _hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Distinct pairs of members and the hub of their bucket whose weights allow the similarity."""
+    h = hubs.withColumnsRenamed({"node": "hub", "weight": "hub_weight"})
+    joined = members.join(h, "key").where((F.col("node") != F.col("hub")) & _near_weight("weight", "hub_weight"))
     return joined.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def common_units(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common units of every left with every right list: products of 0/1 matrices over the
+    units that occur on both sides, TILE of them at a time."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    flat = [np.concatenate(x) for x in (left, right)]
+    owner = [np.repeat(np.arange(len(x)), [len(u) for u in x]) for x in (left, right)]
+    shared = np.intersect1d(flat[0], flat[1])
+    at = [np.searchsorted(shared, f) for f in flat]
+    found = [(a < len(shared)) & (shared[np.minimum(a, len(shared) - 1)] == f) if len(shared) else np.zeros(len(f), bool) for a, f in zip(at, flat, strict=True)]
+    # a unit of a single right document adds to one pair only: those pairs are counted one by one
+    alone = np.bincount(at[1][found[1]], minlength=len(shared)) == 1
+    holder = np.zeros(len(shared), dtype=np.int64)
+    holder[at[1][found[1]]] = owner[1][found[1]]
+    some = found[0].copy()
+    some[found[0]] = alone[at[0][found[0]]]
+    np.add.at(out, (owner[0][some], holder[at[0][some]]), 1)
+    many = np.flatnonzero(~alone)
+    for k in range(0, len(many), TILE):
+        place = np.full(len(shared), -1)
+        place[many[k : k + TILE]] = np.arange(len(many[k : k + TILE]))
+        tiles = []
+        for side, n in ((0, len(left)), (1, len(right))):
+            tile = np.zeros((n, len(many[k : k + TILE])), dtype=np.float32)
+            column = place[at[side][found[side]]]
+            tile[owner[side][found[side]][column >= 0], column[column >= 0]] = 1
+            tiles.append(tile)
+        out += tiles[0] @ tiles[1].T
+    return out
+
+
+def _block_links(minor: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of the same bucket, of the two sides of a block."""
+    found: list[tuple[int, int]] = []
+    sides = [{k: g for k, g in side.groupby("key")} for side in (minor, all_)]
+    for key, one in sides[0].items():
+        two = sides[1].get(key)
+        if two is None:
+            continue
+        lists = [[np.asarray(u, dtype=np.int64) for u in g["units"]] for g in (one, two)]
+        common = common_units(*lists)
+        size = [np.array([len(u) for u in x], dtype=np.float32) for x in lists]
+        near = common >= (size[0][:, None] + size[1][None, :] - common) * SIMILARITY - 1e-3
+        for i, j in zip(*np.nonzero(near), strict=True):
+            a, b = int(one["node"].iloc[i]), int(two["node"].iloc[j])
+            n = int(common[i, j])
+            if a != b and n >= (len(lists[0][i]) + len(lists[1][j]) - n) * SIMILARITY - 1e-9:
+                found.append((min(a, b), max(a, b)))
+    return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+
+
+def _remaining_links(members: DataFrame, lists: DataFrame) -> DataFrame:
+    """Links of the buckets that hold several classes: of every member outside the bucket's largest class
+    with all members. ``members`` has (key, node, weight, label)."""
+    per = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).groupBy("key")
+    per = per.agg(F.max_by(F.struct("label", "w"), F.struct("n", "label")).alias("main"), F.sum("w").alias("all"))
+    per = settle(per.where(F.col("all") > F.col("main.w")), "open-buckets")
+    n_groups = max(1, (per.agg(F.sum("all")).first()[0] or 0) // BLOCK)
+    blocks = lambda w: F.ceil(w / F.lit(float(BLOCK))).cast("long")
+    per = per.select(F.col("key"), F.col("main.label").alias("main"), blocks(F.col("all") - F.col("main.w")).alias("rows_"), blocks(F.col("all")).alias("cols_"))
+    whole = (F.col("rows_") == 1) & (F.col("cols_") == 1)
+    group = F.when(whole, F.pmod(F.xxhash64("key"), F.lit(n_groups))).otherwise(F.col("key"))
+    held = members.join(per, "key").withColumn("g", F.struct(whole.alias("small"), group.alias("id")))
+    held = settle(held.join(lists.withColumnRenamed("node", "n"), F.col("node") == F.col("n")).drop("n"), "open-members")
+    block = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    of = ["g", "r", "c", "key", "node", "units"]
+    minor = held.where(F.col("label") != F.col("main")).withColumn("r", block("rows_", 1)).withColumn("c", every("cols_")).select(*of)
+    all_ = held.withColumn("c", block("cols_", 2)).withColumn("r", every("rows_")).select(*of)
+    by = ["g", "r", "c"]
+    return settle(minor.groupBy(*by).cogroup(all_.groupBy(*by)).applyInPandas(_block_links, "a long, b long").distinct(), "links")
+
+
 def _labelled(entries: DataFrame, links: DataFrame) -> DataFrame:
     of = components(links).withColumnRenamed("node", "n")
     return entries.join(of, F.col("node") == F.col("n"), "left").withColumn("label", F.coalesce("label", "node")).drop("n")
 
 
-def _classes(signed: DataFrame, texts: _Texts) -> DataFrame:
+def _unit_lists_of(numbered: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, units) of some of the numbered documents."""
+    words = numbered.join(settle(wanted, "wanted"), "row", "left_semi").select("row", _word_hashes("text").alias("words"))
+    return words.mapInPandas(_unit_lists, "node long, units array<long>")
+
+
+def _classes(signed: DataFrame, numbered: DataFrame) -> DataFrame:
     """(row, doc_id, node, label): of each row its copies' node and its class's label."""
     copies = signed.where("weight > 0").groupBy("c1", "c2").agg(F.min("row").alias("node"), F.first("weight").alias("w"))
     copies = settle(copies.withColumnsRenamed({"c1": "k1", "c2": "k2"}), "copies")
@@ -214,26 +277,16 @@ def _classes(signed: DataFrame, texts: _Texts) -> DataFrame:
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     entries = settle(entries.join(shared, "key"), "shared-entries")
 
-    met = entries.groupBy("node").agg(F.sum("size").alias("met"))
+    met = settle(entries.groupBy("node").agg(F.sum("size").alias("met")), "meetings")
     ranked = entries.join(met, "node")
     first = ranked.groupBy("key").agg(F.max_by(F.struct("node", "weight"), F.struct("met", -F.col("node"))).alias("h"))
     first = settle(first.select("key", "h.node", "h.weight"), "hubs")
-    links = texts.linked(_pairs(entries, first, False))
-
-    rest = entries.join(first.select("key", F.col("node").alias("hub")), "key").where("node <> hub").select("key", "node", "weight")
-    rest = settle(_labelled(rest, links), "bucket-members")
-    sizes = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-    sizes = sizes.agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
-    # a member outside the main class its bucket had after the hub's round takes its turn by a fixed hash
-    turn = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("others")
-    rest = rest.join(sizes.where("others > 0"), "key").select("key", "node", "weight", F.when(F.col("label") != F.col("main"), turn).alias("turn"))
-    rest, done, n = settle(rest, "open-buckets"), 0, FIRST
-    last = rest.agg(F.max("turn")).first()[0]
-    while last is not None and done <= last:
-        now = settle(_labelled(rest, links), "bucket-members")
-        hubs = now.where((F.col("turn") >= done) & (F.col("turn") < n))
-        links = settle(links.unionByName(texts.linked(_pairs(now.drop("turn"), hubs.drop("turn"), True))), "links")
-        done, n = n, n * FOUR
+    lists = settle(_unit_lists_of(numbered, met.select(F.col("node").alias("row"))), "unit-lists")
+    links = _linked(_hub_pairs(entries, first), lists)
+
+    others = entries.join(first.select("key", F.col("node").alias("hub")), "key").where("node <> hub").select("key", "node", "weight")
+    others = settle(_labelled(others, links), "bucket-members")
+    links = settle(links.unionByName(_remaining_links(others, lists)), "links")
     of = components(links).withColumnRenamed("node", "of_node")
     return member.join(of, F.col("node") == F.col("of_node"), "left").select("row", "doc_id", F.coalesce("label", "node").alias("label"))
 
@@ -243,7 +296,7 @@ def _verdicts(numbered: DataFrame) -> DataFrame:
     # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
     words = numbered.select("row", F.col("doc_id").cast("string"), _word_hashes("text").alias("words"))
     signed = words.mapInPandas(_signed, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long"))
-    classes = settle(_classes(settle(signed, "signatures"), _Texts(numbered)), "classes")
+    classes = settle(_classes(settle(signed, "signatures"), numbered), "classes")
     by = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
     best = classes.groupBy("label").agg(F.min(by).alias("w"), F.count(F.lit(1)).alias("class_size"))
     best = settle(best.select(F.col("label").alias("of_label"), F.col("w.doc_id").alias("class_id"), F.col("w.row").alias("keep_row"), "class_size"), "class-heads")

@@ -118,3 +118,17 @@ def test_agreement_estimates_weighted_similarity(shared, own, repeat):
 def test_units_count_occurrences():
     words = np.array([1, 2, 3, 4, 5] * 3 + [9], dtype=np.int64)
     assert len(np.unique(dm.units(words))) == len(dm.units(words)) == len(words) - dm.WORDS + 1
+
+
+def test_common_units_in_tiles(monkeypatch):
+    monkeypatch.setattr(dm, "TILE", 7)
+    r = np.random.default_rng(1)
+    lists = [np.unique(r.integers(0, 60, n)) for n in (1, 5, 20, 30, 40, 3)]
+    want = [[len(np.intersect1d(a, b)) for b in lists[1:]] for a in lists[:4]]
+    assert dm.common_units(lists[:4], lists[1:]).tolist() == want
+    assert dm.common_units([np.array([1])], [np.array([2])]).tolist() == [[0]]
+
+
+def test_small_blocks_find_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(dm, "BLOCK", 400)
+    test_star_of_copies_and_common_passages(spark)
