@@ -33,8 +33,9 @@ BUCKET_KEYS = 2048
 #: Bits of a level for each digest that reaches it.
 GAMMA = 2.0
 
-HISTORY = "bucket long, n long, sizes array<int>, bits binary, digests binary, ids array<long>, rows array<long>, lengths array<long>, copies array<long>"
-VERDICT = "digest binary, keep_row long, keep_id long, group_size long, slot long, known boolean"
+# A doc_id goes through pandas as text, which keeps nulls and large numbers whole.
+HISTORY = "bucket long, n long, sizes array<int>, bits binary, digests binary, ids array<string>, rows array<long>, lengths array<long>, copies array<long>"
+VERDICT = "digest binary, keep_row long, keep_id string, group_size long, slot long, known boolean"
 
 
 def digest_of(text: Column) -> Column:
@@ -51,7 +52,7 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def _groups(rows: DataFrame) -> DataFrame:
     """One row per distinct digest: its winner and how many rows have it."""
     by = F.struct((-F.col("length")).alias("short"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
-    return rows.groupBy("digest").agg(F.min(by).alias("w"), F.count(F.lit(1)).alias("copies")).select("digest", F.col("w.doc_id").alias("id"), F.col("w.row").alias("row"), (-F.col("w.short")).alias("length"), "copies")
+    return rows.groupBy("digest").agg(F.min(by).alias("w"), F.count(F.lit(1)).alias("copies")).select("digest", F.col("w.doc_id").cast("string").alias("id"), F.col("w.row").alias("row"), (-F.col("w.short")).alias("length"), "copies")
 
 
 def _bucketed(groups: DataFrame, n: int) -> DataFrame:
@@ -106,7 +107,7 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
     keys = _words([bytes(x) for x in group["digest"]])
     levels = build_levels(keys)
     order = np.argsort(slots(levels, keys))
-    column = lambda c: [[None if pd.isna(x) else int(x) for x in group[c].iloc[order]]]
+    column = lambda c: [group[c].iloc[order].tolist()]
     return pd.DataFrame(
         {
             "bucket": [int(group["bucket"].iloc[0])],
@@ -114,7 +115,7 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
             "sizes": [[len(x) for x in levels]],
             "bits": [np.packbits(np.concatenate(levels)).tobytes()],
             "digests": [b"".join(bytes(x) for x in group["digest"].iloc[order])],
-            "ids": column("id"),
+            "ids": [[None if pd.isna(x) else x for x in group["id"].iloc[order]]],
             "rows": column("row"),
             "lengths": column("length"),
             "copies": column("copies"),
@@ -152,21 +153,22 @@ def _looked_up(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
             stored[slot] = [*stored[slot][:4], total]
         else:
             own.append(row)
-    out = [(d, r, None if pd.isna(i) else int(i), c, k, True) for k, (d, i, r, _, c) in enumerate(stored)]
-    out += [(d, r, None if pd.isna(i) else int(i), c, None, False) for d, i, r, _, c in own]
+    out = [(d, r, i, c, k, True) for k, (d, i, r, _, c) in enumerate(stored)]
+    out += [(d, r, None if pd.isna(i) else i, c, None, False) for d, i, r, _, c in own]
     frame = pd.DataFrame(out, columns=["digest", "keep_row", "keep_id", "group_size", "slot", "known"])
-    return frame.astype({"keep_row": "int64", "keep_id": "Int64", "group_size": "int64", "slot": "Int64"})
+    return frame.astype({"keep_row": "int64", "keep_id": object, "group_size": "int64", "slot": "Int64"})
 
 
 def _rank(row: list) -> tuple:
-    return -row[3], bool(pd.isna(row[1])), 0 if pd.isna(row[1]) else row[1], row[2]
+    return -row[3], bool(pd.isna(row[1])), 0 if pd.isna(row[1]) else int(row[1]), row[2]
 
 
 def verdicts(rows: DataFrame, history: DataFrame, n_buckets: int) -> DataFrame:
     """One row per digest of the history or of ``rows``: the row that stays, the size of the group, and
     its slot in the history (null for nonmembers). Where a new row beats the stored winner, it stays."""
     new = _bucketed(_groups(rows), n_buckets)
-    return settle(new.groupBy("bucket").cogroup(history.groupBy("bucket")).applyInPandas(_looked_up, VERDICT), "digest-verdicts")
+    found = new.groupBy("bucket").cogroup(history.groupBy("bucket")).applyInPandas(_looked_up, VERDICT)
+    return settle(found.withColumn("keep_id", F.col("keep_id").cast("long")), "digest-verdicts")
 
 
 def _two_arrivals(rows: DataFrame) -> DataFrame:
