@@ -7,10 +7,11 @@ body, the link-adjusted density is
 
     C / T * log_b(C * T / (LC * LT))    with b = ln(C * LC / NLC + LCb * C / Cb + e)
 
-(counts of 0 taken as 1). The density sum of an element adds up its children's densities. Where the
-page marks articles, the one with the largest sum is the text. Elsewhere the element of the body with
-the largest sum sets the threshold: the least density on its path to the body; going down from the
-body, each element that reaches the threshold gives its part with the largest sum.
+(counts of 0 taken as 1). The density sum of an element adds up its children's densities. On every
+page the element of the body with the largest sum sets the threshold: the least density on its path to
+the body; going down from the body, each element that reaches the threshold gives its part with the
+largest sum. Marks are hints and exclude nothing: <article> and <main> win ties of the sum, and a part
+within an <article>, or within a <main> that holds no article, brings the whole of it.
 
 The text is that of the selected elements: one line per block, in page order, character references
 decoded, white space of a block made one space. Nothing is capped.
@@ -72,11 +73,11 @@ _LABEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "gone", "in_article", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "gone", "in_article", "holds_article", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None) -> None:
         self.tag, self.parent, self.children = tag, parent, []  # children: nodes and texts
-        self.gone = self.in_article = False
+        self.gone = self.in_article = self.holds_article = False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -153,6 +154,7 @@ def _densities(nodes: list[Node], body: Node) -> None:
             elif not c.gone:
                 x.chars, x.tags = x.chars + c.chars, x.tags + c.tags + 1
                 x.link_chars, x.link_tags = x.link_chars + c.link_chars, x.link_tags + c.link_tags
+                x.holds_article = x.holds_article or c.holds_article or (c.tag == "article" and c.chars > 0)
         if x.tag == "a":
             x.link_chars, x.link_tags = x.chars, x.link_tags + 1
     share = body.link_chars / max(body.chars, 1)
@@ -171,42 +173,49 @@ def _blocks(x: Node) -> bool:
     return any(not isinstance(c, str) and not c.gone and c.tag in BLOCK for c in x.children)
 
 
+def _mark(x: Node) -> Node:
+    """The article around an element, or a main that holds no article; else the element."""
+    y: Node | None = x
+    while y is not None:
+        if y.tag == "article" or (y.tag == "main" and not y.holds_article):
+            return y
+        y = y.parent
+    return x
+
+
 def select(nodes: list[Node]) -> list[Node]:
     """The elements that hold the main text."""
+    _densities(nodes, nodes[0])
     body = next((x for x in nodes if x.tag == "body"), nodes[0])
-    _densities(nodes, body)
-    live = [x for x in nodes if not x.gone]
-    articles = [x for x in live if x.tag in ARTICLE and x.chars]
-    if articles:
-        return [max(articles, key=lambda x: x.sum)]
+    if body.chars < nodes[0].chars:
+        body = nodes[0]  # there is text outside the body element
     if body.chars == 0:
-        return [nodes[0]] if nodes[0].chars else []
-    inside, best = {id(body)}, body
-    for x in live:  # parents come first
-        if x.parent is not None and id(x.parent) in inside:
-            inside.add(id(x))
-            if x.sum > best.sum and _blocks(x):
-                best = x
+        return []
+    live = [x for x in nodes if not x.gone]
+    rank = lambda x: (x.sum, x.tag in ARTICLE)
+    parts: dict[int, Node] = {}  # of each element, the part with blocks that has the largest sum
+    for x in reversed(live):  # children come after their parents
+        below = [parts[id(c)] for c in x.children if not isinstance(c, str) and id(c) in parts]
+        if found := max([x, *below] if _blocks(x) else below, key=rank, default=None):
+            parts[id(x)] = found
+    largest = lambda x: max(x, parts.get(id(x), x), key=rank)
+    best = largest(body)
     least, x = best.density, best
     while x is not body:
         x = x.parent
         least = min(least, x.density)
-    picked: list[Node] = []
+    picked: dict[int, Node] = {}
     open_ = [body]
     while open_:
         x = open_.pop()
         if x.density < least:
             continue
-        top, below = x, [x]
-        while below:  # the part of x with the largest sum
-            y = below.pop()
-            if y.sum > top.sum and _blocks(y):
-                top = y
-            below += [c for c in y.children if not isinstance(c, str) and not c.gone]
-        picked.append(top)
+        top = largest(x)
         if top is not x:
             open_ += [c for c in x.children if not isinstance(c, str) and not c.gone and c.tag in BLOCK]
-    return picked
+        mark = _mark(top)
+        picked[id(mark)] = mark
+    return list(picked.values())
 
 
 def main_text(page: str) -> str:

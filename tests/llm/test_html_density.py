@@ -73,6 +73,38 @@ def test_cases(page, text):
     assert hd.main_text(page) == text
 
 
+def paragraphs(seed, n):
+    r = random.Random(seed)
+    return [sentence(r, r.randrange(30, 50)) for _ in range(n)]
+
+
+def marked(parts):
+    return "".join(f"<p>{p}</p>" for p in parts)
+
+
+def test_all_articles_of_a_text_are_kept():
+    a, b, c = (paragraphs(k, 6) for k in "abc")
+    page = f"<html><body><nav>x</nav><article>{marked(a)}</article><article>{marked(b)}</article><main><section>{marked(c)}</section></main></body></html>"
+    assert hd.main_text(page) == "\n".join(a + b + c)
+
+
+def test_teaser_articles_do_not_hide_the_text():
+    text = paragraphs("text", 8)
+    teasers = "".join(f"<article><h3><a href='/{k}'>Read more of this</a></h3><p>{sentence(random.Random(k), 6)}</p></article>" for k in range(3))
+    for page in (f"<body><div>{marked(text)}</div>{teasers}</body>", f"<body><main>{teasers}<div>{marked(text)}</div></main></body>"):
+        assert hd.main_text(page) == "\n".join(text)
+
+
+def test_an_article_keeps_its_other_parts():
+    a, b = paragraphs("a", 7), paragraphs("b", 2)
+    page = f"<body><article><h1>Title</h1><section>{marked(a)}</section><section>{marked(b)}</section></article></body>"
+    assert hd.main_text(page) == "\n".join(["Title", *a, *b])
+
+
+def test_text_after_the_body_counts():
+    assert hd.main_text("<html><body><p>x</p></body><article>" + marked(paragraphs("a", 5)) + "</article></html>").endswith("\n".join(paragraphs("a", 5)))
+
+
 def test_frame_edge_cases(spark):
     rows = [(1, "u", None, "t"), (2**60 + 1, None, "<article>x</article>", "t"), (None, "v", "", "t"), (1, "u", None, "t")]
     got = hd.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
