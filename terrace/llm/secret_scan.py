@@ -8,10 +8,13 @@ chi-squared of the symbol counts (too uneven), the runs above and below the midd
 their number, is the candidate's p: even over (0, 1) for random strings, next to 0 for names and words.
 
 False discoveries are words taken as random, and short strings are easily mistaken. So the acceptance
-level is set per encoding and length class from all candidates of all documents: random strings alone
-fill the upper half of p, which gives their number; at a level t, (1 - t) of them lie above, and what
-lies above beyond that is not random. Of the levels whose share of such strings is at most MAX_FALSE,
-the lowest is taken; a class without one accepts nothing.
+level is set per encoding and length class from the distinct candidates of all documents: random strings
+alone fill the upper half of p, which gives their number; at a level t, (1 - t) of them lie above, and
+what lies above beyond that is not random. Of the levels whose share of such strings is at most
+MAX_FALSE, the lowest is taken. A class with fewer than ENOUGH strings above the lowest level tells too
+little: it takes the level of its length class over all encodings, and where that is as thin, the level
+of all candidates. A table that is thin as a whole takes THIN_LEVEL at most. What has ENOUGH strings
+above the lowest level but no level that fits holds no random ones and accepts nothing.
 
 Everything is built from SQL functions. Matches are located by splitting the text at the pattern: the
 lengths of the pieces and of the matches add up to the positions. Only the matches leave the scan,
@@ -56,6 +59,9 @@ LENGTH_CLASSES = (20, 32, 48, 64)
 #: Candidate acceptance levels, and the share of non-random strings that is put up with.
 LEVELS = (0.001, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
 MAX_FALSE = 0.1
+#: Distinct strings that a level of their own takes, and the level of a table with fewer.
+ENOUGH = 50
+THIN_LEVEL = 0.05
 
 
 def _found(text: Column, kind: str) -> Column:
@@ -137,13 +143,23 @@ def _length_class() -> Column:
     return F.expr("CASE " + " ".join(f"WHEN length >= {a} THEN {a}" for a in reversed(LENGTH_CLASSES)) + " END")
 
 
+def _fitting(n: list[Column]) -> Column:
+    """The lowest level that fits, from the numbers of strings above each level; null if there is none."""
+    random = n[-1] / (1 - LEVELS[-1])
+    return F.coalesce(*[F.when((x > 0) & (x - random * (1 - t) <= x * MAX_FALSE), F.lit(t)) for x, t in zip(n, LEVELS, strict=True)])
+
+
 def levels(tested: DataFrame) -> DataFrame:
     """The acceptance level per encoding and length class (at most one row for each pair of them)."""
     above = [F.count_if(F.col("p") > t).alias(f"n{k}") for k, t in enumerate(LEVELS)]
-    counts = tested.where("p IS NOT NULL").groupBy("encoding", _length_class().alias("length_class")).agg(*above)
-    random = F.col(f"n{len(LEVELS) - 1}") / (1 - LEVELS[-1])
-    fits = [F.when((F.col(f"n{k}") > 0) & (F.col(f"n{k}") - random * (1 - t) <= F.col(f"n{k}") * MAX_FALSE), F.lit(t)) for k, t in enumerate(LEVELS)]
-    return counts.select(F.col("encoding").alias("of_encoding"), F.col("length_class").alias("of_class"), F.coalesce(*fits).alias("level"))
+    strings = tested.where("p IS NOT NULL").select("match", "encoding", "length", "p").dropDuplicates(["match"])
+    counts = strings.groupBy("encoding", _length_class().alias("length_class")).agg(*above)
+    # pools of at most a row for each class: the class, its lengths over all encodings, everything
+    own = [F.col(f"n{k}") for k in range(len(LEVELS))]
+    same_length, all_ = ([F.sum(n).over(w) for n in own] for w in (Window.partitionBy("length_class"), Window.partitionBy(F.lit(0))))
+    thin = F.least(_fitting(all_), F.lit(THIN_LEVEL))  # without a null
+    level = F.when(own[0] >= ENOUGH, _fitting(own)).when(same_length[0] >= ENOUGH, _fitting(same_length)).when(all_[0] >= ENOUGH, _fitting(all_)).otherwise(thin)
+    return counts.select(F.col("encoding").alias("of_encoding"), F.col("length_class").alias("of_class"), level.alias("level"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -81,6 +81,39 @@ def test_levels_accept_random_classes_and_refuse_others(spark):
     assert sum(out[1000 + k] for k in range(300)) == 0
 
 
+def keys(seed, alphabet, length, n):
+    r = random.Random(seed)
+    made = ("".join(r.choice(secret_scan.ALPHABETS[alphabet]) for _ in range(length)) for _ in range(10 * n))
+    return [k for k in made if re.search("[0-9]", k) and re.search("[A-Za-z]", k)][:n]
+
+
+def p_of(spark, strings):
+    return {x.match: x.p for x in secret_scan.battery(spark.createDataFrame([(k,) for k in strings], "match string"), "match").collect()}
+
+
+def test_copies_do_not_set_the_level(spark):
+    found = keys(3, "base62", 40, 300)
+    p = p_of(spark, found)
+    near = min((k for k in found if p[k] < 0.5), key=lambda k: 0.5 - p[k])
+    texts = list(enumerate(found + [near] * 3000))
+    out = secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sum(r.n_random for r in out if r.doc_id < 300) > 250
+    assert all(r.n_random == 1 for r in out if r.doc_id >= 300)
+
+
+def test_a_thin_class_takes_the_level_of_its_pool(spark):
+    upper = [k for k, p in p_of(spark, keys(4, "hex_upper", 40, 60)).items() if 0.2 < p < 0.5][0]
+    for others in (keys(5, "base62", 40, 300), keys(6, "base62", 70, 300), []):  # the same length class, another one, none
+        texts = [(1000 + k, f"see {upper} here") for k in range(10)] + list(enumerate(others))
+        out = {r.doc_id: r.n_random for r in secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+        assert all(out[1000 + k] == 1 for k in range(10)), len(others)
+
+
+def test_names_alone_give_nothing(spark):
+    names = [(k, f"user/profile/settings/page/{k:05d}") for k in range(400)]
+    assert sum(r.n_random for r in secret_scan.scan(spark.createDataFrame(names, "doc_id long, text string")).collect()) == 0
+
+
 @pytest.fixture(scope="module")
 def sf001():
     return "/root/testdata/sf0.01"
