@@ -122,14 +122,15 @@ class Words:
 
     def _ids_of(self, words: set[str]) -> dict[str, bytes]:
         """The ids of the words. What is remembered, and encoded where it is not, are their stems: the
-        word in lower case where that is ASCII, and without a full stop or comma after a letter."""
+        word in lower case where that is ASCII, and without a full stop or comma after a letter. A word
+        that may hold a special string keeps its case: those are found before the text is lowered."""
         out, parts = {}, {}
         for w in words:
             ids = self.known.get(w)
             if ids is None:
                 tail = w[-1] if w[-1] in ".," and len(w) > 1 and w[-2] in LATIN else ""
                 stem = w[:-1] if tail else w
-                parts[w] = (stem.lower() if stem.isascii() else stem, tail)
+                parts[w] = (stem.lower() if stem.isascii() and "<|" not in stem else stem, tail)
             else:
                 out[w] = ids
         stems = {x for pair in parts.values() for x in pair if x}

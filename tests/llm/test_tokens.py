@@ -65,6 +65,17 @@ def test_words_give_the_librarys_ids_for_any_text(text):
     assert np.frombuffer(next(it.ids([text])), dtype="<u4").tolist() == library_ids(text)
 
 
+def test_special_strings_count_only_as_written(spark):
+    texts = ["<|EndOfText|>", "<|ENDOFTEXT|>. x<|endoftext|>Y<|STARTOFTEXT|>,", "<|startoftext|> <|StartOfText|> <|endoftext|>"]
+    it = token_counts.words(WORD_FILE)
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in it.ids(texts)] == [library_ids(t) for t in texts]
+    got = token_counts.count_tokens(frame(spark, texts), WORD_FILE).collect()
+    assert all(r.n_tokens == len(library_ids(texts[r.doc_id])) for r in got)
+    for r in simple8b.round_trip(frame(spark, texts), WORD_FILE).collect():
+        ids = [*library_ids(texts[r.doc_id]), 2]
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
 def test_memory_is_bounded(monkeypatch, texts):
     monkeypatch.setattr(token_counts, "MEMORY", 50)
     it = token_counts.Words(WORD_FILE)
