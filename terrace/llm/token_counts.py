@@ -5,7 +5,8 @@ offsets and spliced at a white space inside the overlap where both agree: neithe
 it, and the words next to it carry the same ids at the same offsets. White space is a proven boundary
 for this kind of tokenizer: it is dropped, no token and no special string spans it, and normalisation
 composes nothing across it. If an overlap holds no such place it is widened, in the end to the whole
-of both chunks. So the memory of an encoding is bounded by a chunk however long the document is.
+of both chunks, which then grow by a chunk and by twice as much each further time. So the memory of an
+encoding is bounded by a chunk, or by the longest part of a document without such places.
 
 Shorter documents are one chunk. For them the same boundary is used the other way round: the library
 encodes each distinct word once and the ids are looked up, in a memory of at most MEMORY words.
@@ -56,24 +57,20 @@ _BLANK = re.compile(r"[\x20\x09-\x0D]")
 Encoded = tuple[list[int], list[tuple[int, int]]]
 
 
-def _agreed(text: str, left: Encoded, at_left: int, right: Encoded, at_right: int, end_left: int) -> tuple[int, int] | None:
-    """Numbers of left tokens before and right tokens from a common boundary in the overlap, from its
-    middle outwards; None if there is none."""
-    places = [m.start() for m in _BLANK.finditer(text, at_right + 1, end_left - 1)]
+def _agreed(text: str, left: Encoded, at_left: int, right: Encoded, at_right: int, least: int, end_left: int) -> tuple[int, int, int] | None:
+    """Numbers of left tokens before and right tokens from a common boundary after ``least`` in the
+    overlap, from its middle outwards, and its place; None if there is none."""
+    places = [m.start() for m in _BLANK.finditer(text, max(at_right, least) + 1, end_left - 1)]
     middle = (at_right + end_left) // 2
     l_start, r_start = [a for a, _ in left[1]], [a for a, _ in right[1]]
-    for p in sorted(places, key=lambda p: abs(p - middle)):
+    # the whole word before and the whole word after, within both chunks
+    for before, p, after in sorted(zip(places, places[1:], places[2:], strict=False), key=lambda x: abs(x[1] - middle)):
         i, j = bisect_left(l_start, p - at_left), bisect_left(r_start, p - at_right)
-        # the whole word before and the whole word after, within both chunks
-        before = max((q for q in places if q < p), default=None)
-        after = min((q for q in places if q > p), default=None)
-        if before is None or after is None:
-            continue
         i0, j0 = bisect_left(l_start, before - at_left), bisect_left(r_start, before - at_right)
         i1, j1 = bisect_left(l_start, after - at_left), bisect_left(r_start, after - at_right)
         tokens = lambda e, a, b, at: [(x, s + at, t + at) for x, (s, t) in zip(e[0][a:b], e[1][a:b], strict=True)]
         if i0 < i < i1 and tokens(left, i0, i1, at_left) == tokens(right, j0, j1, at_right) and left[1][i - 1][1] + at_left <= p:
-            return i, j
+            return i, j, p
     return None
 
 
@@ -82,22 +79,25 @@ def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, ove
     if len(text) <= chunk:
         yield encode(text)[0]
         return
-    at, end = 0, chunk
-    now, skip = encode(text[:end]), 0
+    at, end, last = 0, chunk, -1
+    now, skip, grow = encode(text[:end]), 0, chunk
     while end < len(text):
         wide = overlap
         while True:
             start = max(at, end - wide)
-            until = min(len(text), max(end + chunk - wide, end + 1))
+            until = min(len(text), end + (grow if start == at else max(chunk - wide, overlap)))
             following = encode(text[start:until])
-            cut = _agreed(text, now, at, following, start, end) if start > at else None
+            cut = _agreed(text, now, at, following, start, last, end) if start > at else None
             if cut or start == at:
                 break
             wide *= 2
         if cut:
             yield now[0][skip : cut[0]]
-            skip = cut[1]
-        at, end, now = start, until, following  # without a cut both chunks have become one
+            _, skip, last = cut
+            grow = chunk
+        else:
+            grow *= 2  # both chunks have become one; it doubles, so its encodings stay in proportion
+        at, end, now = start, until, following
     yield now[0][skip:]
 
 

@@ -93,6 +93,34 @@ def test_splicing_gives_the_librarys_ids(texts, chunk, overlap):
         assert [i for part in token_counts.spliced(t, it.with_offsets, chunk, overlap) for i in part] == library_ids(t), t[:60]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "日本語の" * 60_000,
+        "".join(random.Random(1).choices("abcXYZ019+/", k=300_000)),
+        "one two " * 4000 + "x1" * 60_000 + " three four" * 4000,
+        " " * 200_000 + "end of it",
+    ],
+    ids=["script", "base64", "within words", "blanks"],
+)
+def test_texts_without_spaces_are_encoded_in_proportion(text):
+    it, done = token_counts.words(WORD_FILE), []
+
+    def encode(t):
+        done.append(len(t))
+        assert sum(done) < 20 * len(text)
+        return it.with_offsets(t)
+
+    assert [i for part in token_counts.spliced(text, encode) for i in part] == library_ids(text)
+
+
+def test_splicing_of_rare_spaces():
+    it, r = token_counts.words(WORD_FILE), random.Random(7)
+    for _ in range(300):
+        t = "".join("ab1.X"[r.randrange(5)] * r.randrange(1, 4) + " " * (r.random() < r.choice((0.01, 0.1, 0.5))) for _ in range(r.randrange(400)))
+        assert [i for part in token_counts.spliced(t, it.with_offsets, 64, 8) for i in part] == library_ids(t)
+
+
 def test_count_query(spark, texts):
     got = token_counts.count_tokens(frame(spark, texts), WORD_FILE, limit=100).collect()
     assert len(got) == len(texts) + 1
