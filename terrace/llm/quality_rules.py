@@ -47,21 +47,20 @@ def _windows(words: Column) -> Column:
     return let(F.transform(words, lambda x: F.xxhash64(x)), hashed)
 
 
-def _sorted_windows(windows: Column, low: Column) -> Column:
-    """One long for each window, sorted: the upper bits are its hash, the lower bits, as many as
-    ``low`` masks, its position."""
-    return F.sort_array(F.transform(windows, lambda x, i: x.bitwiseOR(low).bitwiseXOR(low).bitwiseOR(i.cast("long"))))
+def _sorted_windows(windows: Column) -> Column:
+    """The hash and position of each window, sorted."""
+    return F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("hash"), i.cast("long").alias("at"))))
 
 
-def _covered(keys: Column, low: Column) -> Column:
+def _covered(keys: Column) -> Column:
     """Words covered by the windows whose hash occurs twice or more among the sorted ``keys``."""
     m = F.size(keys) - 1
-    same = F.zip_with(F.slice(keys, 1, m), F.slice(keys, 2, m), lambda a, b: a.bitwiseOR(low) == b.bitwiseOR(low))
+    same = F.zip_with(F.slice(keys, 1, m), F.slice(keys, 2, m), lambda a, b: a["hash"] == b["hash"])
 
     def starts(s: Column) -> Column:
         no = F.array(F.lit(False))
         twice = F.zip_with(F.concat(no, s), F.concat(s, no), lambda a, b: a | b)
-        at = F.zip_with(keys, twice, lambda k, d: F.when(d, k.bitwiseAND(low)))
+        at = F.zip_with(keys, twice, lambda k, d: F.when(d, k["at"]))
         return F.sort_array(F.filter(at, lambda x: x.isNotNull()))
 
     def union(s: Column) -> Column:
@@ -76,10 +75,7 @@ def repeat_words(w: Column) -> Column:
     the words, a column or lambda variable. Only texts in which some window repeats go beyond the
     comparison of the two sizes."""
 
-    def counted(windows: Column) -> Column:
-        low = F.pow(F.lit(2.0), F.ceil(F.log2(F.size(windows) + F.lit(1.0)))).cast("long") - 1
-        return let(low, lambda b: let(_sorted_windows(windows, b), lambda k: _covered(k, b)))
-
+    counted = lambda x: let(_sorted_windows(x), _covered)
     none = F.lit(0).cast("long")
     repeated = lambda x: F.when(F.size(F.array_distinct(x)) < F.size(x), counted(x)).otherwise(none)
     return F.when(F.size(w) > 3, let(_windows(w), repeated)).otherwise(none)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrace.llm import exact_dedup, mixing, quality_rules, sharding
 from terrace.llm.common import running_offsets
@@ -207,3 +208,11 @@ def test_a_host_that_fails_throughout_is_refused(spark):
     got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert got[5000].host_refused and not got[5000].kept and got[5001].kept
     assert all(got[1000 + k].kept for k in range(2700))
+
+
+def test_windows_are_compared_on_whole_hashes(spark, monkeypatch):
+    # hashes that differ in their low bits only: the lengths of the words
+    monkeypatch.setattr(quality_rules, "_windows", lambda w: F.transform(F.slice(w, 1, F.size(w) - 2), lambda x: F.length(x).cast("long")))
+    words = ["x" * n for n in [*range(1, 19), 1, *range(30, 40)]]
+    got = spark.createDataFrame([(words,)], "w array<string>").select(quality_rules.repeat_words(F.col("w")).alias("n")).first()
+    assert got.n == 6
