@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import dart_minhash, exact_dedup, html_density, mixing, piece_codec, quality_rules, secret_scan, sharding, simple8b, token_counts
+from terrace.llm import dart_minhash, exact_dedup, html_density, merkle, mixing, periodic, piece_codec, probe_ann, quality_rules, secret_scan, sharding, simple8b, token_counts
+from terrace.llm.common import whole_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +72,23 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op11_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th, by multiprobe p-stable hashing."""
+    return probe_ann.search(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, and the words left when each is cut to one period."""
+    docs = table(spark, sf_dir, "documents")
+    edited = docs.select("doc_id", periodic.looped(F.col("doc_id"), whole_text()).alias("text"))
+    return periodic.digests(periodic.detect(edited))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, subroots by language, root and proofs of the documents."""
+    return merkle.prove(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_digest_history": op2_digest_history,
@@ -81,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_randomness_battery": op8_randomness_battery,
     "op9_host_quality": op9_host_quality,
     "op10_simple8b": op10_simple8b,
+    "op11_multiprobe": op11_multiprobe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
