@@ -8,11 +8,11 @@ frame of points (ts, metric, value, entity): the stored rows of runs, or ``event
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.contracts import FRESHNESS_LIMIT_MINUTES, REJECTION_RATE_LIMIT, SLO_DAYS, SLO_TARGETS, SLO_WARNINGS, STEP_DURATION_LIMIT_SECONDS
@@ -66,17 +66,19 @@ READINGS: dict[str, tuple[tuple[str, str, str], ...]] = {
 }
 
 
-def event_points(events: DataFrame) -> DataFrame:
+def event_points(events: DataFrame, tags: Mapping[str, Column] | None = None) -> DataFrame:
     """Metric points (ts, metric, kind, value, entity) of an event stream, one pass: every event is a
     run of something, which succeeded unless the event is an error, and has the readings of its type.
-    The user is the entity."""
+    The user is the entity; ``tags`` are further ones, by name."""
     runs = "struct('pipeline.execution' AS metric, 'count' AS kind, 1D AS value), struct('pipeline.success' AS metric, 'count' AS kind, if(event_type = 'error', 0D, 1D) AS value)"
     cases = " ".join(
         f"WHEN '{kind}' THEN array({', '.join(f"struct('{m}' AS metric, '{k}' AS kind, double({v}) AS value)" for m, k, v in rows)})" for kind, rows in READINGS.items()
     )
     none = "CAST(array() AS array<struct<metric:string,kind:string,value:double>>)"
     points = F.expr(f"concat(array({runs}), CASE event_type {cases} ELSE {none} END)")
-    return events.select("ts", F.concat(F.lit("u"), F.col("user_id")).alias("entity"), F.explode(points).alias("p")).select("ts", "p.metric", "p.kind", "p.value", "entity")
+    tagged = [c.alias(name) for name, c in (tags or {}).items()]
+    each = events.select("ts", F.concat(F.lit("u"), F.col("user_id")).alias("entity"), *tagged, F.explode(points).alias("p"))
+    return each.select("ts", "p.metric", "p.kind", "p.value", "entity", *(tags or {}))
 
 
 def slo(metrics: DataFrame, until: str | None = None, by: Sequence[str] = (), days: int = SLO_DAYS) -> DataFrame:
@@ -154,6 +156,30 @@ def metric_series(metrics: DataFrame, bucket: str = "day") -> DataFrame:
     return sums.agg(F.count("value").alias("points"), F.round(F.sum("value"), 6).alias("total"), F.max("value").alias("largest"), F.round(F.avg("value"), 6).alias("mean"))
 
 
+def series_by_tag(metrics: DataFrame, tags: Sequence[str] = ("source", "pipeline", "entity"), bucket: str = "hour") -> DataFrame:
+    """The series of each metric in total and by each tag, per time bucket: (metric, series, tag,
+    bucket_start, points, total, largest, mean).
+
+    One pass and one exchange: grouping sets put a point into its series of every kind, and sums per
+    task go ahead of the exchange. ``series`` names the tag, so points without one (a NULL tag) are a
+    series of their own, apart from the total.
+    """
+    points = metrics.select("metric", F.date_trunc(bucket, "ts").alias("bucket_start"), *tags, "value")
+    base = [points["metric"], points["bucket_start"]]
+    grouped = points.groupingSets([base, *[[*base, points[t]] for t in tags]], *base, *[points[t] for t in tags])
+    sums = grouped.agg(
+        *[F.grouping(t).alias(f"_no_{t}") for t in tags],
+        F.count("value").alias("points"),
+        F.round(F.sum("value"), 6).alias("total"),
+        F.max("value").alias("largest"),
+        F.round(F.avg("value"), 6).alias("mean"),
+    )
+    series, tag = F.lit("total"), F.lit(None).cast("string")
+    for t in tags:
+        series, tag = F.when(F.col(f"_no_{t}") == 0, t).otherwise(series), F.when(F.col(f"_no_{t}") == 0, F.col(t)).otherwise(tag)
+    return sums.select("metric", series.alias("series"), tag.alias("tag"), "bucket_start", "points", "total", "largest", "mean")
+
+
 def metric_tiles(metrics: DataFrame) -> DataFrame:
     """The tiles: runs, successes, failures, and the largest and latest freshness reading."""
     of = lambda name: F.when(F.col("metric") == name, F.col("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +17,13 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule], as_of: str | None = None) -
     """``df`` with ``_dq_failures``, the names of the rules that a row breaks, in the order of the
     rules, and ``_dq_ok``, whether there are none. A rule that comes out NULL is broken.
 
-    One pass over the rows; what is valid and what goes to quarantine are filters on ``_dq_ok``.
+    What is valid and what goes to quarantine are filters on ``_dq_ok``, a conjunction of the rules
+    that the planner can split, push down and compile; the names are worked out for rejected rows only.
     """
-    broken = F.array(*[F.when(F.expr(r.sql(as_of)), None).otherwise(r.name) for r in rules])
-    return df.withColumn(FAILURES, F.array_compact(broken.cast("array<string>"))).withColumn(OK, F.size(FAILURES) == 0)
+    holds = [F.coalesce(F.expr(r.sql(as_of)), F.lit(False)) for r in rules]
+    broken = F.array(*[F.when(~h, F.lit(r.name)) for h, r in zip(holds, rules)])
+    ok = reduce(lambda a, b: a & b, holds, F.lit(True))
+    return df.withColumns({FAILURES: F.array_compact(broken.cast("array<string>")), OK: ok})
 
 
 def valid(flagged: DataFrame) -> DataFrame:

@@ -355,6 +355,32 @@ def surrogate_keys(t: Tables) -> DataFrame:
     return checks.union_all(parts)
 
 
+# XXH64 with seed 42 of some natural keys, from the hash's own library.
+_KNOWN_SURROGATES = (
+    ("PR1", 5119350379854320408),
+    ("PR2", 7625297833211744740),
+    ("PR3", -6753089641974552254),
+    ("PR16", -7483623543445421059),
+    ("PR100", 6530706637109041059),
+    ("AG1", 5900553138051499411),
+    ("AG2", -5455794776747118265),
+    ("AG5", 7433559038554671899),
+)
+
+
+@register(
+    "surrogate_key_values",
+    f"SELECT * FROM (VALUES {', '.join(f"('{k}', {v}::BIGINT)" for k, v in _KNOWN_SURROGATES)}) AS v(natural_key, surrogate) "
+    "WHERE natural_key IN (SELECT property_id FROM dim_property UNION ALL SELECT agent_id FROM dim_agent)",
+)
+def surrogate_key_values(t: Tables) -> DataFrame:
+    """the 64-bit surrogates of some keys, against values known beforehand."""
+    g = pipeline.gold_frames(t)
+    both = g["dim_property"].select(F.col("property_id").alias("natural_key"), F.col("property_sk").alias("surrogate"))
+    both = both.unionByName(g["dim_agent"].select(F.col("agent_id").alias("natural_key"), F.col("agent_sk").alias("surrogate")))
+    return both.where(F.col("natural_key").isin([k for k, _ in _KNOWN_SURROGATES]))
+
+
 for _name in ("fact_sales", "fact_leases", "fact_listings", "dim_date", "agg_market_monthly"):
     register(_name, f"SELECT * FROM {_name}")((lambda n: lambda t: pipeline.gold_frames(t)[n])(_name))
 
@@ -746,6 +772,27 @@ def metric_series_q(t: Tables) -> DataFrame:
     return observe.metric_series(_points(t))
 
 
+_TAGS_SQL = """CASE WHEN (props->>'$.k')::INT % 10 = 0 THEN NULL WHEN (props->>'$.k')::INT % 2 = 0 THEN 'crm' ELSE 'listings_api' END AS source,
+  ['bronze', 'silver', 'gold'][1 + user_id % 3] AS pipeline"""
+_TAGGED_SQL = _POINTS_SQL.replace("AS entity", f"AS entity, {_TAGS_SQL}").replace("'u' || user_id FROM", f"'u' || user_id, {_TAGS_SQL} FROM")
+_SERIES_SQL = "date_trunc('hour', ts)::TIMESTAMP AS bucket_start, count(*) AS points, round(sum(value), 6) AS total, max(value) AS largest, round(avg(value), 6) AS mean"
+
+
+@register(
+    "metric_series_by_tag",
+    " UNION ALL ".join(
+        f"SELECT metric, '{name}' AS series, {tag} AS tag, {_SERIES_SQL} FROM ({_TAGGED_SQL}) GROUP BY ALL"
+        for name, tag in (("total", "NULL"), ("source", "source"), ("pipeline", "pipeline"), ("entity", "entity"))
+    ),
+)
+def metric_series_by_tag_q(t: Tables) -> DataFrame:
+    """Hourly series by source, by pipeline, by entity and in total, in one pass."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    source = F.when(k % 10 == 0, None).when(k % 2 == 0, "crm").otherwise("listings_api")
+    pipeline_ = F.array(*map(F.lit, ("bronze", "silver", "gold")))[(F.col("user_id") % 3).cast("int")]
+    return observe.series_by_tag(observe.event_points(t.events, {"source": source, "pipeline": pipeline_}))
+
+
 @register(
     "metric_tiles",
     f"""SELECT sum(value) FILTER (WHERE metric = 'pipeline.execution') AS total_runs, sum(value) FILTER (WHERE metric = 'pipeline.success') AS successful_runs,

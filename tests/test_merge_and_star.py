@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from terrace.operators import checks, observe, serve
@@ -74,8 +75,9 @@ def test_delete_missing_and_empty_source_refused(spark):
     target = spark.createDataFrame([("a", t0, 1), ("b", t0, 1)], DDL)
     source = spark.createDataFrame([("b", t0, 2), ("c", t0, 3)], DDL)
     assert {r.k: r.v for r in merge_delete_missing(target, source, "k").collect()} == {"b": 2, "c": 3}
-    with pytest.raises(ValueError):
-        merge_delete_missing(target, spark.createDataFrame([], DDL), "k").collect()
+    refused = merge_delete_missing(target, spark.createDataFrame([], DDL), "k")
+    with pytest.raises(SparkRuntimeException, match="empty source extract"):  # when the plan runs, not before
+        refused.collect()
 
 
 SALES = "transaction_id string, property_id string, agent_id string, sale_price decimal(18,2), sale_date date, closing_date date, financing_type string, updated_at timestamp"
