@@ -40,6 +40,15 @@ def orphan_counts(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]])
     return union_all(parts)
 
 
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row that tells whether two tables hold the same rows, in whatever order: rows, and the sum and
+    exclusive or of their 64-bit hashes. Sums are decimals, so they don't overflow."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    return df.select(row.alias("h")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("h").cast("decimal(20,0)")).alias("hash_sum"), F.bit_xor("h").alias("hash_xor")
+    )
+
+
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of copies (partial counts combine map-side)."""
     keys = [key] if isinstance(key, str) else list(key)

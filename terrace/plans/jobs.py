@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import json
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -49,10 +51,18 @@ class Lake:
     def snapshot(self, spark: SparkSession, zone: str, name: str) -> SnapshotTable:
         return SnapshotTable(spark, self.table(zone, name), name)
 
+    def scratch(self, what: str) -> str:
+        """A staging folder of one use, so that runs side by side do not meet."""
+        return f"{self.root.rstrip('/')}/_staged/{what}-{uuid.uuid4().hex}"
+
     @property
     def metrics_path(self) -> str:
         return f"{self.root.rstrip('/')}/_metrics/run_metrics"
 
+    @property
+    def erasures(self) -> str:
+        return f"{self.root.rstrip('/')}/_erasures"
+
     @property
     def audit_path(self) -> str:
         return self.table("serve", "_load_audit")
@@ -106,9 +116,9 @@ def silver_entity(spark: SparkSession, lake: Lake, name: str, run_date: str, as_
     refused = Observation(f"rejected_{name}_{run_date}")
     # the day in quarantine is replaced, and emptied where nothing is rejected any more
     tables.write_day(step.rejected.observe(refused, F.count(F.lit(1)).alias("n")), lake.table("quarantine", name), run_date)
-    staged, kept = f"{lake.root.rstrip('/')}/_staged/silver/{name}", Observation(f"kept_{name}_{run_date}")
+    staged, kept = lake.scratch(f"silver-{name}"), Observation(f"kept_{name}_{run_date}")
     day = step.silver.drop(CORRUPT_COLUMN).withColumn("_silver_updated_at", _ts(processed_at))
-    day.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staged)
+    day.observe(kept, F.count(F.lit(1)).alias("n")).write.parquet(staged)
     fresh = spark.read.schema(day.schema).parquet(staged)
     table = lake.snapshot(spark, "silver", name)
     current = table.read_or_none()
@@ -159,11 +169,15 @@ def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def gold_job(spark: SparkSession, lake: Lake, run_date: str, as_of: str | None = None, workers: int | None = None) -> dict[str, int]:
     """Rebuild the seven gold tables as new versions and export each; rows by table.
 
-    The plans are those of the queries (``gold_plans``). The calendar is made from the committed facts,
-    so no fact is computed twice for it.
+    The plans are those of the queries (``gold_plans``). Sales are joined with their properties once:
+    the joined rows are staged, and the fact and the market aggregate come from those files. The
+    calendar is made from the committed facts, so no fact is computed twice for it.
     """
     check_run_date(run_date)
-    plans = gold_plans(read_silver(spark, lake), as_of or run_date)
+    silver = read_silver(spark, lake)
+    located = lake.scratch("located-sales")
+    star.located_sales(silver["sales_transactions"], silver["properties"]).write.parquet(located)
+    plans = gold_plans(silver, as_of or run_date, spark.read.parquet(located))
 
     def publish(name: str, df: DataFrame) -> int:
         table = lake.snapshot(spark, "gold", name)
@@ -175,7 +189,9 @@ def gold_job(spark: SparkSession, lake: Lake, run_date: str, as_of: str | None =
 
     counts = _in_parallel({n: (lambda n=n: publish(n, plans[n])) for n in star.GOLD_TABLES if n != "dim_date"}, workers)
     facts = {n: lake.snapshot(spark, "gold", n).read() for n in star.FACT_DATES}
-    return counts | {"dim_date": publish("dim_date", star.dim_date(facts))}
+    counts["dim_date"] = publish("dim_date", star.dim_date(facts))
+    tables.remove_path(spark, located)
+    return counts
 
 
 def freshness_readings(spark: SparkSession, lake: Lake, now: str | None) -> list[tuple]:
@@ -248,6 +264,7 @@ def run_day(spark: SparkSession, lake: Lake, run_date: str, env: str = "local",
     """A whole day: bronze, silver, gold and, if asked for, the serving load. Each step's metrics are
     written after it; a failed step ends the day with its own error."""
     check_run_date(run_date)
+    finish_erasures(spark, lake)
     steps = {
         "bronze": lambda: bronze_job(spark, lake, run_date, ingested_at),
         "silver": lambda: silver_job(spark, lake, run_date),
@@ -280,58 +297,112 @@ def _day_folders(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{c}" for c in tables.list_children(spark, path) if "=" in c]
 
 
-def _rewrite(spark: SparkSession, lake: Lake, folder: str, fmt: str, keep) -> bool:
-    """Replace a folder by what ``keep`` leaves of it. The rows are staged first, so a folder is never
-    read and overwritten in one job. False if the folder lacks the key."""
+#: Raw text in which a subject may stand without being parsed, and what counts as a word of it.
+RAW_TEXT = ("value", CORRUPT_COLUMN)
+NAMED = r"[^\s\"'{}\[\]:,]+"
+
+
+def _flagged(df: DataFrame, ids: DataFrame, key: str, gone: str) -> DataFrame | None:
+    """``df`` with ``gone``: the row belongs to a subject, by its key, by the field of a JSON line, or,
+    where there is neither, by a word or quoted string of its raw text. None if it cannot hold one."""
+    raw = next((c for c in RAW_TEXT if c in df.columns), None)
+    if key not in df.columns and raw is None:
+        return None
+    named = F.trim(F.col(key).cast("string")) if key in df.columns else F.trim(F.get_json_object(raw, f"$.{key}"))
+    out = df.withColumn("_named", named)
+    by_key = ids.select(F.col(key).alias("_id"), F.lit(True).alias("_by_key"))
+    out = out.join(by_key, F.col("_named") == F.col("_id"), "left").drop("_id")
+    if raw is None:
+        return out.withColumn(gone, F.coalesce("_by_key", F.lit(False))).drop("_named", "_by_key")
+    words = F.array_union(F.regexp_extract_all(raw, F.lit(NAMED), F.lit(0)), F.regexp_extract_all(raw, F.lit('"([^"]*)"'), F.lit(1)))
+    lines = out.where(F.col("_named").isNull() & F.col(raw).isNotNull()).select(F.col(raw).alias("_line"), F.explode(words).alias("_word"))
+    lines = lines.join(ids, F.trim("_word") == F.col(key), "left_semi").select("_line").distinct().withColumn("_by_text", F.lit(True))
+    out = out.join(lines, F.col(raw) == F.col("_line"), "left")
+    return out.withColumn(gone, F.coalesce("_by_key", "_by_text", F.lit(False))).drop("_named", "_by_key", "_line", "_by_text")
+
+
+def _stage_rewrite(spark: SparkSession, folder: str, fmt: str, ids: DataFrame, key: str, staged: str) -> list[str]:
+    """Write what is to stay of the files of ``folder`` that hold a subject; the names of those files."""
     df = spark.read.format(fmt).load(folder)
-    left = keep(df)
-    if left is None:
-        return False
-    staged = f"{lake.root.rstrip('/')}/_staged/erase"
-    left.write.mode("overwrite").format(fmt).save(staged)
-    spark.read.schema(left.schema).format(fmt).load(staged).write.mode("overwrite").format(fmt).save(folder)
-    tables.remove_path(spark, staged)
-    return True
-
-
-def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str) -> dict[str, object]:
-    """Remove subjects from every zone: landed files, bronze, quarantine, exports, and the silver, gold
-    and serving tables, whose earlier versions go too. Returns what was rewritten."""
-    ids = subjects.select(key).distinct()
-    done: dict[str, object] = {}
-
-    def by_column(df: DataFrame) -> DataFrame | None:
-        return erase_subject(df, ids, key) if key in df.columns else None
-
-    def by_field(lines: DataFrame) -> DataFrame:
-        named = F.get_json_object("value", f"$.{key}")
-        return lines.join(ids.withColumnRenamed(key, "_id"), F.trim(named) == F.col("_id"), "left_anti")
-
+    flagged = _flagged(df.withColumn("_file", F.col("_metadata.file_name")), ids, key, "_gone")
+    if flagged is None:
+        return []
+    held = sorted(r[0] for r in flagged.where("_gone").select("_file").distinct().collect())  # files of one folder
+    if held:
+        flagged.where(F.col("_file").isin(held) & ~F.col("_gone")).select(*df.columns).write.format(fmt).save(staged)
+    return held
+
+
+def finish_erasures(spark: SparkSession, lake: Lake) -> None:
+    """Carry out the erasures whose record stands: bring in the staged files, drop those they replace,
+    drop the record. Each step may have been done before the process was cut off."""
+    for name in tables.list_children(spark, lake.erasures):
+        if not name.endswith(".json"):
+            continue
+        record = json.loads(tables.read_record(spark, f"{lake.erasures}/{name}"))
+        root = lake.root.rstrip("/")
+        for part in record["folders"]:
+            for file in tables.list_children(spark, f"{root}/{part['staged']}"):
+                if file.startswith("part-"):
+                    tables.move_path(spark, f"{root}/{part['staged']}/{file}", f"{root}/{part['folder']}/{file}")
+            for file in part["files"]:
+                tables.remove_path(spark, f"{root}/{part['folder']}/{file}")
+        tables.remove_path(spark, f"{lake.erasures}/{name}")
+        tables.remove_path(spark, f"{root}/{record['work']}")
+
+
+def _day_tables(spark: SparkSession, lake: Lake) -> list[tuple[str, str, str]]:
+    """(name, folder under the lake, format) of every landed, bronze, quarantined and exported day."""
+    found = []
     for name, entity in ENTITIES.items():
-        for folder in _day_folders(spark, f"{lake.zone('landing')}/{entity.source}/{name}"):
-            text = entity.file_format == "json"
-            if _rewrite(spark, lake, folder, "text" if text else entity.file_format, by_field if text else by_column):
-                done[f"landing.{name}.{folder.rsplit('=', 1)[1]}"] = True
-    for zone in ("bronze", "quarantine"):
-        for name in tables.list_children(spark, lake.zone(zone)):
-            for folder in _day_folders(spark, lake.table(zone, name)):
-                if tables.has_data(spark, folder) and _rewrite(spark, lake, folder, "parquet", by_column):
-                    done[f"{zone}.{name}.{folder.rsplit('=', 1)[1]}"] = True
-    exports = f"{lake.zone('gold')}/_exports"
-    for name in tables.list_children(spark, exports):
-        for folder in _day_folders(spark, f"{exports}/{name}"):
-            if _rewrite(spark, lake, folder, "parquet", by_column):
-                done[f"exports.{name}.{folder.rsplit('=', 1)[1]}"] = True
+        found += [(f"landing.{name}", f, "text" if entity.file_format == "json" else entity.file_format) for f in _day_folders(spark, f"{lake.zone('landing')}/{entity.source}/{name}")]
+    for zone, path in (("bronze", lake.zone("bronze")), ("quarantine", lake.zone("quarantine")), ("exports", f"{lake.zone('gold')}/_exports")):
+        found += [(f"{zone}.{name}", f, "parquet") for name in tables.list_children(spark, path) for f in _day_folders(spark, f"{path}/{name}") if tables.has_data(spark, f)]
+    return [(n, f[len(lake.root.rstrip("/")) + 1 :], fmt) for n, f, fmt in found]
+
+
+def erase(spark: SparkSession, lake: Lake, subjects: DataFrame, key: str, grace_hours: float = tables.GRACE_HOURS) -> dict[str, object]:
+    """Remove subjects from every zone. Returns what was rewritten.
+
+    Days: only the files that hold a subject are written anew, to a staging folder; one record then
+    lists all of them, and the swap follows (``finish_erasures``). A process cut off before the record
+    has changed nothing, one cut off after it is finished by the next erasure or daily run. Silver,
+    gold and serving tables get a new version; their earlier versions and what dead writers left (no
+    write for ``grace_hours``) go, as do idle staging folders."""
+    finish_erasures(spark, lake)
+    ids = subjects.select(F.trim(F.col(key).cast("string")).alias(key)).distinct()
+    work = lake.scratch("erase")
+    done: dict[str, object] = {}
+    folders = []
+    for k, (name, folder, fmt) in enumerate(_day_tables(spark, lake)):
+        held = _stage_rewrite(spark, f"{lake.root.rstrip('/')}/{folder}", fmt, ids, key, f"{work}/{k}")
+        if held:
+            folders.append({"folder": folder, "files": held, "staged": f"{work[len(lake.root.rstrip('/')) + 1 :]}/{k}"})
+            done[f"{name}.{folder.rsplit('=', 1)[1]}"] = len(held)
+    if folders:
+        tables.write_record(spark, f"{lake.erasures}/{uuid.uuid4().hex}.json", {"work": work[len(lake.root.rstrip("/")) + 1 :], "folders": folders})
+        finish_erasures(spark, lake)
     for zone in ("silver", "gold", "serve"):
         for name in (n for n in tables.list_children(spark, lake.zone(zone)) if not n.startswith("_")):
             table = lake.snapshot(spark, zone, name)
-            left = by_column(table.read()) if table.exists() else None
-            if left is not None:
-                done[f"{zone}.{name}"] = table.commit(left, f"DELETE {key}")
-                table.vacuum(-1)  # an earlier version still has the subject
+            if table.exists() and key in table.read().columns:
+                done[f"{zone}.{name}"] = table.commit(erase_subject(table.read(), ids, key), f"DELETE {key}")
+                table.vacuum(-1, grace_hours=grace_hours)  # an earlier version still has the subject
+    sweep_staging(spark, lake, grace_hours)
     return done
 
 
+def sweep_staging(spark: SparkSession, lake: Lake, grace_hours: float = tables.GRACE_HOURS) -> list[str]:
+    """Drop staging folders that no record names and in which nothing was written for ``grace_hours``."""
+    root = f"{lake.root.rstrip('/')}/_staged"
+    named = {json.loads(tables.read_record(spark, f"{lake.erasures}/{n}"))["work"].rsplit("/", 1)[1] for n in tables.list_children(spark, lake.erasures) if n.endswith(".json")}
+    idle = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=grace_hours)
+    gone = [n for n in tables.list_children(spark, root) if n not in named and tables.last_change(spark, f"{root}/{n}") < idle]
+    for name in gone:
+        tables.remove_path(spark, f"{root}/{name}")
+    return sorted(gone)
+
+
 def drop_expired_days(spark: SparkSession, path: str, keep_days: int, today: str, day_col: str = "_run_date") -> list[str]:
     """Retention for day tables: delete day folders older than ``keep_days`` before ``today``."""
     cutoff = dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)
@@ -359,6 +430,8 @@ def retention_job(spark: SparkSession, lake: Lake, today: str, policy: dict[str,
             gone = lake.snapshot(spark, zone, name).vacuum(policy["versions"], now=now)
             if gone:
                 removed[f"{zone}.{name}"] = gone
+    if gone := sweep_staging(spark, lake):
+        removed["_staged"] = gone
     for source in tables.list_children(spark, lake.zone("landing")):
         for entity in tables.list_children(spark, f"{lake.zone('landing')}/{source}"):
             path = f"{lake.zone('landing')}/{source}/{entity}"

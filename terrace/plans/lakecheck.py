@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.contracts import ENTITIES, LOAD_CONFIG
-from terrace.operators.checks import union_all
+from terrace.operators import serve, star
+from terrace.operators.checks import fingerprint, union_all
 from terrace.operators.quality import failure_histogram
 from terrace.plans import jobs
 from terrace.plans.analog import FRESHNESS_AS_OF, INGESTED_AT, RUN_DATE, Tables, land_analog
-from terrace.plans.oracle import SHORT
+from terrace.plans.oracle import SHORT, conform_select, failures_expr, silver_from
 from terrace.session import ensure_checkpoint_dir
 from terrace.sources import tables
+from terrace.sources.bucketed import KeyLayout, lay_out
+from terrace.streaming.incremental import MONTH, MonthStore, changed_facts
 
 FIRST_DATE = "2024-01-31"
 FIRST_PART = {"sales_transactions": "line_status = 'F'", "agents": "true"}
@@ -123,6 +126,207 @@ def _audit_sql() -> str:
     return " UNION ALL ".join(f"SELECT {k} AS load_order, '{n}' AS table_name, count(*) AS row_count FROM {n}" for n, _, k, _ in LOAD_CONFIG)
 
 
+# --- layouts and incremental work over the stored lake ---------------------------------------------
+def _folder(t: Tables, what: str) -> str:
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def property_layout(t: Tables) -> KeyLayout:
+    """The serving facts and the property dimension by property."""
+
+    def build() -> KeyLayout:
+        lake = stored_lake(t)
+        frames = {n: lake.snapshot(t.spark, "serve", n).read() for n in ("dim_property", "fact_sales", "fact_leases")}
+        return lay_out(t.spark, _folder(t, "layout"), frames, "property_id", 16, ("dim_property",))
+
+    return t.remember("property layout", build)
+
+
+def property_activity(t: Tables) -> DataFrame:
+    """Sales beside leases for each property, both facts grouped and joined within their buckets."""
+
+    def work(read) -> DataFrame:
+        sales = read("fact_sales").groupBy("property_id").agg(F.count(F.lit(1)).alias("sales"), F.sum("sale_price").cast("decimal(18,2)").alias("volume"))
+        leases = read("fact_leases").groupBy("property_id").agg(F.count(F.lit(1)).alias("leases"), F.sum("monthly_rent").cast("decimal(18,2)").alias("rent"))
+        return sales.join(leases, "property_id", "left").join(read("dim_property").select("property_id", "city"), "property_id", "left")
+
+    return property_layout(t).per_key(work)
+
+
+def located_by_bucket(t: Tables) -> DataFrame:
+    """Every sale with the place of its property, joined within the buckets."""
+    return property_layout(t).with_dimension("fact_sales", "dim_property").select("transaction_id", "property_id", "sale_price", "city", "state")
+
+
+def _sales_store(t: Tables, fact: DataFrame) -> MonthStore:
+    store = MonthStore(t.spark, _folder(t, "months"), "transaction_id", "sale_date")
+    store.load(fact)
+    return store
+
+
+def merged_fact(t: Tables) -> DataFrame:
+    """The sales fact of the first day, brought up to the second by a merge of what changed: sales of
+    the day's batch, and those whose property came with it."""
+    lake = stored_lake(t)
+    silver = jobs.read_silver(t.spark, lake)
+    first = lake.snapshot(t.spark, "silver", "sales_transactions").read(0)
+    store = _sales_store(t, star.fact_sales(first, silver["properties"].limit(0)))
+    of_day = {n: silver[n].where(F.col("_run_date") == F.lit(RUN_DATE).cast("date")) for n in ("sales_transactions", "properties")}
+    fact = star.fact_sales(silver["sales_transactions"], silver["properties"])
+    store.merge(changed_facts(fact, "transaction_id", of_day["sales_transactions"], "property_id", of_day["properties"]))
+    return store.read().drop(MONTH)
+
+
+MOVED_FROM, MOVED_DAYS = "1997-06-01", 31
+
+
+def merged_months(t: Tables) -> DataFrame:
+    """Late sales move on by a month; per month its rows, and whether its files were written anew."""
+    fact = stored_lake(t).snapshot(t.spark, "gold", "fact_sales").read()
+    store = _sales_store(t, fact)
+    files = lambda: store.read().select(MONTH, F.col("_metadata.file_name").alias("file")).distinct()
+    before = t.spark.createDataFrame(files().collect(), f"{MONTH} string, file string")  # the files of a store, not its rows
+    moved = fact.where(F.col("sale_date") >= F.lit(MOVED_FROM).cast("date"))
+    store.merge(moved.withColumn("sale_date", F.date_add("sale_date", MOVED_DAYS)))
+    same = files().join(before, [MONTH, "file"], "left_semi").select(MONTH).distinct().withColumn("same", F.lit(True))
+    rows = store.read().groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(same, MONTH, "left").select(F.substring(MONTH, 2, 7).alias("month"), "rows", F.col("same").isNull().alias("rewritten"))
+
+
+# --- maintenance, each on a copy of the stored lake -------------------------------------------------
+def _copied(t: Tables, what: str) -> jobs.Lake:
+    lake = jobs.Lake(_folder(t, f"lake-{what}"))
+    tables.copy_path(t.spark, stored_lake(t).root, lake.root)
+    return lake
+
+
+ERASED_OFFICE = "NATION_3"
+WITH_AGENT = {"agents": "dim_agent", "sales_transactions": "fact_sales", "leases": "fact_leases", "listings": "fact_listings"}
+
+
+def _zone_rows(t: Tables, lake: jobs.Lake) -> list[tuple]:
+    """(zone, table, rows) wherever a row names an agent; one counter a table."""
+    found = []
+    for name, gold in WITH_AGENT.items():
+        found.append(("bronze", name, tables.read_days(t.spark, lake.table("bronze", name))))
+        found.append(("quarantine", name, tables.read_days(t.spark, lake.table("quarantine", name), RUN_DATE)))
+        found.append(("silver", name, lake.snapshot(t.spark, "silver", name).read()))
+        found += [(zone, gold, lake.snapshot(t.spark, zone, gold).read()) for zone in ("gold", "serve")]
+        found.append(("export", gold, t.spark.read.parquet(tables.export_path(lake.zone("gold"), gold, RUN_DATE))))
+    return [(zone, name, df.count()) for zone, name, df in found]
+
+
+def _erased(t: Tables) -> tuple[jobs.Lake, list[tuple]]:
+    def build():
+        lake = _copied(t, "erased")
+        # what a writer left that died before its record
+        lake.snapshot(t.spark, "silver", "agents").read().write.parquet(f"{lake.table('silver', 'agents')}/data-9-dead")
+        before = _zone_rows(t, lake)
+        subjects = lake.snapshot(t.spark, "gold", "dim_agent").read().where(F.col("office") == ERASED_OFFICE)
+        subjects = t.spark.createDataFrame(subjects.select("agent_id").collect(), "agent_id string")  # the request
+        jobs.erase(t.spark, lake, subjects, "agent_id", grace_hours=-1.0)
+        after = _zone_rows(t, lake)
+        return lake, [(*b, a[2]) for b, a in zip(before, after)]
+
+    return t.remember("erased lake", build)
+
+
+def erased(t: Tables) -> DataFrame:
+    """Rows of every zone before and after the agents of an office were erased."""
+    return t.spark.createDataFrame(_erased(t)[1], "zone string, table_name string, rows_before bigint, rows_after bigint")
+
+
+def swept(t: Tables) -> DataFrame:
+    """Versions and data folders that are left of the tables that named the erased agents."""
+    lake, rows = _erased(t)[0], []
+    for name, gold in WITH_AGENT.items():
+        for zone, table in (("silver", name), ("gold", gold), ("serve", gold)):
+            folders = [c for c in tables.list_children(t.spark, lake.table(zone, table)) if c.startswith("data-")]
+            rows.append((zone, table, lake.snapshot(t.spark, zone, table).history().count(), len(folders)))
+    return t.spark.createDataFrame(rows, "zone string, table_name string, versions bigint, folders bigint")
+
+
+SALES_PAYLOAD = [c for c in ENTITIES["sales_transactions"].column_names if c != "transaction_id"]
+
+
+def version_changes(t: Tables) -> DataFrame:
+    """What the second day did to each sale."""
+    return stored_lake(t).snapshot(t.spark, "silver", "sales_transactions").changes("transaction_id", 0, 1, SALES_PAYLOAD)
+
+
+def restored(t: Tables) -> DataFrame:
+    """Silver sales after the first version was made current again."""
+    table = _copied(t, "restored").snapshot(t.spark, "silver", "sales_transactions")
+    table.restore(0)
+    return table.read().select(*ENTITIES["sales_transactions"].column_names)
+
+
+def rerun(t: Tables) -> DataFrame:
+    """The second day run again: rows of all tables, and whether they are the same rows."""
+    lake = _copied(t, "rerun")
+    names = [("silver", n) for n in ENTITIES] + [(z, n) for z in ("gold", "serve") for n, *_ in LOAD_CONFIG]
+
+    def prints() -> list:
+        held = [fingerprint(lake.snapshot(t.spark, z, n).read().drop("_silver_updated_at", "_source_file")).select(F.lit(z).alias("zone"), F.lit(n).alias("table_name"), "*") for z, n in names]
+        return sorted(union_all(held).collect())  # a row for each table
+
+    before = prints()
+    jobs.run_day(t.spark, lake, RUN_DATE, "check", True, INGESTED_AT, FRESHNESS_AS_OF)
+    rows = [(b["zone"], b["table_name"], a["rows"], a == b) for b, a in zip(before, prints())]
+    return t.spark.createDataFrame(rows, "zone string, table_name string, rows bigint, same boolean")
+
+
+def last_loads(t: Tables) -> DataFrame:
+    """The last loads into the serving tables, as many as a day has; the first day's are all older."""
+    seen = serve.last_loads(tables.read_audit(t.spark, stored_lake(t).audit_path), len(LOAD_CONFIG))
+    return seen.select("run_date", "table_name", "row_count")
+
+
+def _erased_sql() -> str:
+    subjects = f"(SELECT agent_id FROM dim_agent WHERE office = '{ERASED_OFFICE}')"
+    count = lambda source, where="true": f"(SELECT count(*) FROM {source} WHERE {where})"
+    kept = f"(agent_id IS NULL OR agent_id NOT IN {subjects})"
+    rows = []
+    for n, gold in WITH_AGENT.items():
+        s = SHORT[n]
+        days = [f"l_{s}"] + ([f"(SELECT * FROM l_{s} WHERE {FIRST_PART[n]})"] if n in FIRST_PART else [])
+        rows.append(("bronze", n, " + ".join(count(d) for d in days), " + ".join(count(d, kept) for d in days)))
+        rows.append(("quarantine", n, count(f"r_{s}"), count(f"r_{s}", kept)))
+        rows.append(("silver", n, count(f"s_{s}"), count(f"s_{s}", kept)))
+        rows += [(zone, gold, count(gold), count(gold, kept)) for zone in ("gold", "serve", "export")]
+    return " UNION ALL ".join(f"SELECT '{z}' AS zone, '{n}' AS table_name, {b} AS rows_before, {a} AS rows_after" for z, n, b, a in rows)
+
+
+def _first_day_sql() -> str:
+    return silver_from("sales_transactions", "SELECT * FROM b_sales WHERE line_status = 'F'")
+
+
+def _step_metrics_sql() -> str:
+    """The metric rows of two days: the steps, the counters of bronze and silver, and the freshness."""
+    parts = [
+        f"SELECT '{step}' AS pipeline, '{metric}' AS metric, NULL::VARCHAR AS entity, 2::BIGINT AS points, {value}::DOUBLE AS largest"
+        for step in ("bronze", "silver", "gold", "serve")
+        for metric, value in (("pipeline.execution", "1"), ("pipeline.success", "1"), ("pipeline.duration_seconds", "NULL"))
+    ]
+    for n, s in SHORT.items():
+        # a day without a delivery has counters of 0
+        days = [f"SELECT * FROM b_{s}"] + ([f"SELECT * FROM b_{s} WHERE {FIRST_PART[n]}"] if n in FIRST_PART else [])
+        counts = [
+            f"SELECT (SELECT count(*) FROM ({d}))::DOUBLE AS n, (SELECT count(*) FROM (SELECT {failures_expr(n)} AS failures FROM ({conform_select(n, f'({d})')})) WHERE failures <> '')::DOUBLE AS bad, "
+            f"(SELECT count(*) FROM ({silver_from(n, d)}))::DOUBLE AS kept"
+            for d in days
+        ]
+        both = f"FROM ({' UNION ALL '.join(counts)})"
+        parts.append(f"SELECT 'bronze', 'records_processed', '{n}', 2, max(n) {both}")
+        for metric, value in (("records_processed", "n"), ("records_rejected", "bad"), ("duplicates", "n - bad - kept"), ("rejection_rate", "round(bad / n, 9)")):
+            parts.append(f"SELECT 'silver', 'quality.{metric}', '{n}', 2, max({value}) {both}")
+    times = [f"epoch(TIMESTAMP '{b}' - TIMESTAMP '{a}') / 60" for a, b in ((f"{FIRST_DATE} 02:00:00", f"{FIRST_DATE} 02:20:00"), (INGESTED_AT, FRESHNESS_AS_OF))]
+    parts.append(f"SELECT 'gold', 'freshness.minutes', NULL, 2, greatest({', '.join(times)})")
+    parts.append("SELECT 'gold', 'freshness.check', NULL, 2, 1")
+    parts.append(f"SELECT 'gold', 'freshness.satisfied', NULL, 2, (least({', '.join(times)}) <= 30)::INT")
+    return " UNION ALL ".join(parts)
+
+
 def lake_queries() -> dict[str, tuple]:
     """name: (function of the tables, SQL or None)."""
     out = {}
@@ -137,5 +341,44 @@ def lake_queries() -> dict[str, tuple]:
     out["lake_quarantine"] = (quarantined, _quarantine_sql())
     out["lake_audit"] = (audit, _audit_sql())
     out["lake_history"] = (history, _history_sql())
-    out["lake_step_metrics"] = (step_metrics, None)
+    out["lake_step_metrics"] = (step_metrics, _step_metrics_sql())
+    out["lake_property_activity"] = (
+        property_activity,
+        """SELECT s.property_id, sales, volume, leases, rent, city
+FROM (SELECT property_id, count(*) AS sales, CAST(sum(sale_price) AS DECIMAL(18,2)) AS volume FROM fact_sales GROUP BY 1) s
+LEFT JOIN (SELECT property_id, count(*) AS leases, CAST(sum(monthly_rent) AS DECIMAL(18,2)) AS rent FROM fact_leases GROUP BY 1) l ON l.property_id = s.property_id
+LEFT JOIN dim_property p ON p.property_id = s.property_id""",
+    )
+    out["lake_located_sales"] = (
+        located_by_bucket,
+        "SELECT transaction_id, f.property_id, sale_price, city, state FROM fact_sales f LEFT JOIN dim_property p ON p.property_id = f.property_id",
+    )
+    out["lake_fact_merge"] = (merged_fact, "SELECT * FROM fact_sales")
+    moved = f"SELECT transaction_id, sale_date, sale_date >= DATE '{MOVED_FROM}' AS moves, CASE WHEN sale_date >= DATE '{MOVED_FROM}' THEN sale_date + {MOVED_DAYS} ELSE sale_date END AS now FROM fact_sales"
+    out["lake_fact_months"] = (
+        merged_months,
+        f"""SELECT strftime(now, '%Y-%m') AS month, count(*) AS rows,
+  strftime(now, '%Y-%m') IN (SELECT strftime(sale_date, '%Y-%m') FROM ({moved}) WHERE moves UNION SELECT strftime(now, '%Y-%m') FROM ({moved}) WHERE moves) AS rewritten
+FROM ({moved}) GROUP BY 1""",
+    )
+    out["lake_erase"] = (erased, _erased_sql())
+    out["lake_vacuum"] = (
+        swept,
+        " UNION ALL ".join(
+            f"SELECT '{z}' AS zone, '{n}' AS table_name, 1::BIGINT AS versions, 1::BIGINT AS folders" for e, g in WITH_AGENT.items() for z, n in (("silver", e), ("gold", g), ("serve", g))
+        ),
+    )
+    differs = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in SALES_PAYLOAD)
+    out["lake_version_changes"] = (
+        version_changes,
+        f"""SELECT coalesce(a.transaction_id, b.transaction_id) AS transaction_id,
+  CASE WHEN b.transaction_id IS NULL THEN 'inserted' WHEN a.transaction_id IS NULL THEN 'deleted' ELSE 'changed' END AS change
+FROM s_sales a FULL JOIN ({_first_day_sql()}) b ON a.transaction_id = b.transaction_id
+WHERE a.transaction_id IS NULL OR b.transaction_id IS NULL OR {differs}""",
+    )
+    out["lake_restored"] = (restored, f"SELECT {', '.join(ENTITIES['sales_transactions'].column_names)} FROM ({_first_day_sql()})")
+    counted = [("silver", n, f"s_{s}") for n, s in SHORT.items()] + [(z, n, n) for z in ("gold", "serve") for n, *_ in LOAD_CONFIG]
+    out["lake_rerun"] = (rerun, " UNION ALL ".join(f"SELECT '{z}' AS zone, '{n}' AS table_name, count(*) AS rows, true AS same FROM {source}" for z, n, source in counted))
+    loads = [f"SELECT DATE '{RUN_DATE}' AS run_date, '{n}' AS table_name, count(*) AS row_count FROM {n}" for n, *_ in LOAD_CONFIG]
+    out["lake_last_loads"] = (last_loads, " UNION ALL ".join(loads))
     return out

@@ -76,10 +76,10 @@ def gold_frames(t: Tables, as_of: str = RUN_DATE) -> Mapping[str, DataFrame]:
     return t.remember(("gold", as_of), lambda: gold_plans(silver_frames(t, as_of), as_of))
 
 
-def gold_plans(silver: Mapping[str, DataFrame], as_of: str | None) -> Mapping[str, DataFrame]:
+def gold_plans(silver: Mapping[str, DataFrame], as_of: str | None, located_sales: DataFrame | None = None) -> Mapping[str, DataFrame]:
     """Plans of the seven gold tables over five silver frames, each made when asked for. Both the
-    queries and the lake's gold job take them from here."""
-    sales: list[DataFrame] = []
+    queries and the lake's gold job take them from here; the job gives the located sales, stored."""
+    sales = [] if located_sales is None else [located_sales]
 
     def located() -> DataFrame:
         if not sales:

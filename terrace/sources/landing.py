@@ -19,8 +19,7 @@ def landing_path(root: str, source: str, entity: str, run_date: str) -> str:
 
 
 def _missing_path(exc: AnalysisException) -> bool:
-    cond = exc.getCondition() if hasattr(exc, "getCondition") else None
-    return cond == "PATH_NOT_FOUND" or "Path does not exist" in str(exc)
+    return exc.getCondition() == "PATH_NOT_FOUND"
 
 
 EXTRA_FIELDS = "_extra_fields"

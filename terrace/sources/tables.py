@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+#: A folder without a record in which nothing was written for so long belongs to no running writer.
+GRACE_HOURS = 24.0
 HISTORY_DDL = "table_name string, version bigint, committed_at timestamp, operation string, rows bigint"
 AUDIT_DDL = "run_date date, table_name string, row_count bigint, started_at timestamp, finished_at timestamp"
 
@@ -56,6 +58,43 @@ def write_record(spark: SparkSession, path: str, record: dict) -> None:
         out.close()
 
 
+def read_record(spark: SparkSession, path: str) -> str:
+    """The text of one small record file, without a Spark job."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder on its file system."""
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def copy_path(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder with all below it."""
+    fs, p = _fs(spark, source)
+    to, q = _fs(spark, target)
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, to, q, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def last_change(spark: SparkSession, path: str) -> dt.datetime:
+    """The newest modification time of anything below ``path`` (UTC): a writer at work keeps adding."""
+    fs, p = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    newest, todo = status.getModificationTime(), [status]
+    while todo:
+        at = todo.pop()
+        newest = max(newest, at.getModificationTime())
+        if at.isDirectory():
+            todo += list(fs.listStatus(at.getPath()))
+    return dt.datetime.fromtimestamp(newest / 1000, dt.timezone.utc).replace(tzinfo=None)
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -92,7 +131,7 @@ def read_days(spark: SparkSession, path: str, run_date: str | None = None, day_c
         else:
             df = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "Path does not exist" in str(exc):
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
     if run_date is not None:
@@ -135,8 +174,8 @@ class SnapshotTable:
 
     def folder(self, version: int) -> str:
         """The data folder that a committed version names."""
-        row = self.spark.read.schema("folder string").json(f"{self.history_path}/v{version:020d}.json").first()
-        return f"{self.path}/{row['folder']}"
+        record = json.loads(read_record(self.spark, f"{self.history_path}/v{version:020d}.json"))
+        return f"{self.path}/{record['folder']}"
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
@@ -184,10 +223,32 @@ class SnapshotTable:
         self._record(now, f"RESTORE {version}", old["rows"], self.folder(version).rsplit("/", 1)[-1])
         return now
 
-    def vacuum(self, keep_days: float, now: dt.datetime | None = None) -> list[int]:
+    def as_of(self, when: dt.datetime) -> DataFrame:
+        """The table as it stood at a time (UTC): the newest version committed by then."""
+        found = self.history().where(F.col("committed_at") <= F.lit(when)).agg(F.max("version")).first()[0]
+        if found is None:
+            raise FileNotFoundError(f"table {self.name} had no committed version at {when}")
+        return self.read(found)
+
+    def changes(self, key: str, before: int, after: int, columns: list[str] | None = None) -> DataFrame:
+        """What became of each row between two versions: (key, change), ``inserted``, ``deleted`` or
+        ``changed`` in one of ``columns`` (without: in any that both have); NULLs equal each other, unchanged
+        rows are left out. Keys are unique in a version.
+
+        One exchange, on the key."""
+        columns = columns or sorted(set(self.read(before).columns) & set(self.read(after).columns) - {key})
+        sides = [self.read(v).select(key, F.struct(*columns).alias("row"), F.lit(v == after).alias("new")) for v in (before, after)]
+        of = lambda new: F.max(F.when(F.col("new") == new, F.struct("row")))
+        both = sides[0].unionByName(sides[1]).groupBy(key).agg(of(False).alias("b"), of(True).alias("a"))
+        change = F.when(F.col("b").isNull(), "inserted").when(F.col("a").isNull(), "deleted").when(~F.col("a.row").eqNullSafe(F.col("b.row")), "changed")
+        return both.select(key, change.alias("change")).where(F.col("change").isNotNull())
+
+    def vacuum(self, keep_days: float, now: dt.datetime | None = None, grace_hours: float = GRACE_HOURS) -> list[int]:
         """Remove the versions that were superseded more than ``keep_days`` ago, with their records, and
-        every folder that no remaining version names. A version counts from when the next one was
-        committed, so what was current within the time can be restored. Returns the removed versions."""
+        every folder that no remaining version names and in which nothing was written for
+        ``grace_hours``: what writers left that died before their record. A version counts from when the
+        next one was committed, so what was current within the time can be restored. Returns the removed
+        versions."""
         hist = [(r["version"], r["committed_at"]) for r in self.history().orderBy("version").collect()]
         cutoff = (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) - dt.timedelta(days=keep_days)
         gone = [v for (v, _), (_, until) in zip(hist, hist[1:]) if until < cutoff]
@@ -197,6 +258,10 @@ class SnapshotTable:
             if named[v] not in kept:
                 remove_path(self.spark, f"{self.path}/{named[v]}")
             remove_path(self.spark, f"{self.history_path}/v{v:020d}.json")
+        idle = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=grace_hours)
+        for name in list_children(self.spark, self.path):
+            if name.startswith("data-") and name not in kept and last_change(self.spark, f"{self.path}/{name}") < idle:
+                remove_path(self.spark, f"{self.path}/{name}")
         return gone
 
 
