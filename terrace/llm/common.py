@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,30 @@ from terrace.session import ensure_checkpoint_dir
 BLANKS = " \t\n\x0b\x0c\r"
 #: A word: a maximal run without white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Rows of a list that is broadcast (some 60 MB); a longer one is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+_watching: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{what}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{what}-{uuid.uuid4().hex}"
+    for made in _watching:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def working_folders() -> Iterator[list[str]]:
+    """The folders that operators make meanwhile, in order. Their results read from them, so they can go
+    (``tables.remove_path``) when the results have been written elsewhere."""
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching[:] = [x for x in _watching if x is not made]
 
 
 def settle(df: DataFrame, what: str) -> DataFrame:
@@ -29,6 +50,24 @@ def settle(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``name``, which tells its rows apart and stays the same however often they are read:
+    the file (as a 64-bit hash of its path) and the number of the row in it. Where ``docs`` is more than
+    a read of Parquet files its rows are written first, each with a number."""
+    stored = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    if stored and "_metadata" not in map(str.lower, docs.columns):
+        try:
+            return docs.withColumn(name, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
+        except AnalysisException:
+            pass  # another format, without row numbers
+    return settle(docs.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at"))), "numbered-docs")
+
+
+def if_small(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table, for a join: broadcast if there are at most BROADCAST_ROWS."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often ``body`` uses it, also inside
     lambdas (which would otherwise recompute it for each array element)."""

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import fresh, settle, whole_text
+from terrace.llm.common import fresh, if_small, placed, settle, whole_text
 from terrace.llm.quality_rules import words_of
 
 WORDS, SIMILARITY = 5, 0.8
@@ -123,7 +123,7 @@ def _word_hashes(text: str):
     return F.transform(words_of(F.col(text)), lambda x: F.xxhash64(x))
 
 
-SIGNED = "row long, doc_id string, weight long, c1 long, c2 long, bands array<long>"
+SIGNED = "row long, file long, at long, doc_id string, weight long, c1 long, c2 long, bands array<long>"
 
 
 def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,7 +138,7 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with np.errstate(over="ignore"):
                 sums = [[int(mixed(x, salt).sum(dtype=np.uint64).astype(np.int64)) for x in sets] for salt in (11, 12)]
             part = frame.iloc[start : k + 1]
-            yield pd.DataFrame({"row": part["row"], "doc_id": part["doc_id"], "weight": [len(x) for x in sets], "c1": sums[0], "c2": sums[1], "bands": [next(keys) if len(x) else [] for x in sets]})
+            yield pd.DataFrame({"row": part["row"], "file": part["file"], "at": part["at"], "doc_id": part["doc_id"], "weight": [len(x) for x in sets], "c1": sums[0], "c2": sums[1], "bands": [next(keys) if len(x) else [] for x in sets]})
             sets, start, n = [], k + 1, 0
 
 
@@ -260,18 +260,19 @@ def _labelled(entries: DataFrame, links: DataFrame) -> DataFrame:
     return entries.join(of, F.col("node") == F.col("n"), "left").withColumn("label", F.coalesce("label", "node")).drop("n")
 
 
-def _unit_lists_of(numbered: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, units) of some of the numbered documents."""
-    words = numbered.join(settle(wanted, "wanted"), "row", "left_semi").select("row", _word_hashes("text").alias("words"))
+def _unit_lists_of(texts: DataFrame, signed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, units) of some of the documents."""
+    wanted = settle(signed.join(nodes.withColumnRenamed("node", "row"), "row").select("row", F.struct("file", "at").alias("place")), "wanted")
+    words = texts.join(if_small(wanted), "place").select("row", _word_hashes("text").alias("words"))
     return words.mapInPandas(_unit_lists, "node long, units array<long>")
 
 
-def _classes(signed: DataFrame, numbered: DataFrame) -> DataFrame:
-    """(row, doc_id, node, label): of each row its copies' node and its class's label."""
+def _classes(signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(row, place, doc_id, label): of each row its copies' node and its class's label."""
     copies = signed.where("weight > 0").groupBy("c1", "c2").agg(F.min("row").alias("node"), F.first("weight").alias("w"))
     copies = settle(copies.withColumnsRenamed({"c1": "k1", "c2": "k2"}), "copies")
     member = signed.join(copies, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")), "left")
-    member = settle(member.select("row", "doc_id", F.coalesce("node", "row").alias("node")), "members")
+    member = settle(member.select("row", F.struct("file", "at").alias("place"), "doc_id", F.coalesce("node", "row").alias("node")), "members")
     nodes = signed.join(copies, (F.col("row") == F.col("node")), "left_semi")
     entries = settle(nodes.select(F.explode("bands").alias("key"), F.col("row").alias("node"), "weight"), "entries")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -281,38 +282,42 @@ def _classes(signed: DataFrame, numbered: DataFrame) -> DataFrame:
     ranked = entries.join(met, "node")
     first = ranked.groupBy("key").agg(F.max_by(F.struct("node", "weight"), F.struct("met", -F.col("node"))).alias("h"))
     first = settle(first.select("key", "h.node", "h.weight"), "hubs")
-    lists = settle(_unit_lists_of(numbered, met.select(F.col("node").alias("row"))), "unit-lists")
+    lists = settle(_unit_lists_of(texts, signed, met.select("node")), "unit-lists")
     links = _linked(_hub_pairs(entries, first), lists)
 
     others = entries.join(first.select("key", F.col("node").alias("hub")), "key").where("node <> hub").select("key", "node", "weight")
     others = settle(_labelled(others, links), "bucket-members")
     links = settle(links.unionByName(_remaining_links(others, lists)), "links")
     of = components(links).withColumnRenamed("node", "of_node")
-    return member.join(of, F.col("node") == F.col("of_node"), "left").select("row", "doc_id", F.coalesce("label", "node").alias("label"))
+    return member.join(of, F.col("node") == F.col("of_node"), "left").select("row", "place", "doc_id", F.coalesce("label", "node").alias("label"))
 
 
-def _verdicts(numbered: DataFrame) -> DataFrame:
-    """(row, doc_id, class_id, class_size, kept) of numbered documents (row, doc_id, text)."""
+def _verdicts(texts: DataFrame) -> DataFrame:
+    """(place, doc_id, class_id, class_size, kept) of documents (place, doc_id, text)."""
     # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
-    words = numbered.select("row", F.col("doc_id").cast("string"), _word_hashes("text").alias("words"))
+    words = texts.select(F.monotonically_increasing_id().alias("row"), "place.file", "place.at", F.col("doc_id").cast("string"), _word_hashes("text").alias("words"))
     signed = words.mapInPandas(_signed, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long"))
-    classes = settle(_classes(settle(signed, "signatures"), numbered), "classes")
+    signed = settle(signed, "signatures")
+    classes = settle(_classes(signed, texts), "classes")
     by = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
     best = classes.groupBy("label").agg(F.min(by).alias("w"), F.count(F.lit(1)).alias("class_size"))
     best = settle(best.select(F.col("label").alias("of_label"), F.col("w.doc_id").alias("class_id"), F.col("w.row").alias("keep_row"), "class_size"), "class-heads")
-    return classes.join(best, F.col("label") == F.col("of_label")).select("row", "doc_id", "class_id", "class_size", (F.col("row") == F.col("keep_row")).alias("kept"))
+    return classes.join(best, F.col("label") == F.col("of_label")).select("place", "doc_id", "class_id", "class_size", (F.col("row") == F.col("keep_row")).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), class_size, kept."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    return _verdicts(settle(rows, "numbered-texts")).drop("row")
+    place = fresh(docs, "__place")
+    return _verdicts(_texts(placed(docs, place), place, doc_id, text)).drop("place")
+
+
+def _texts(whole: DataFrame, place: str, doc_id: str, text: str) -> DataFrame:
+    return whole.select(F.col(place).alias("place"), F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
 
 
 def keep_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, with the columns of ``docs``."""
-    row = fresh(docs, "__row")
-    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-docs")
-    verdicts = _verdicts(numbered.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")))
-    dropped = settle(verdicts.where("NOT kept").select(F.col("row").alias(row)), "dropped-rows")
-    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
+    place = fresh(docs, "__place")
+    whole = placed(docs, place)
+    dropped = settle(_verdicts(_texts(whole, place, doc_id, text)).where("NOT kept").select(F.col("place").alias(place)), "dropped-rows")
+    return whole.join(if_small(dropped), place, "left_anti").select(*docs.columns)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import BLANKS, fresh, settle, whole_text, without
+from terrace.llm.common import BLANKS, fresh, if_small, placed, settle, whole_text, without
 
 #: Distinct digests in a bucket, about.
 BUCKET_KEYS = 2048
@@ -189,13 +189,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def keep_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with the columns of ``docs``. The rows are written with their number,
-    so that the list of dropped rows means the same rows whatever is lost meanwhile."""
-    row = fresh(docs, "__row")
-    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-docs")
+    """The documents that stay, with the columns of ``docs``. Dropped rows are named by their place, so
+    that the list means the same rows whatever is lost meanwhile, and no text is copied."""
+    place = fresh(docs, "__place")
+    whole = placed(docs, place)
     t = whole_text(text)
-    rows = numbered.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.length(t).cast("long").alias("length"), digest_of(t).alias("digest"))
+    rows = whole.select(F.monotonically_increasing_id().alias("row"), F.col(place).alias("place"), F.col(doc_id).cast("long").alias("doc_id"), F.length(t).cast("long").alias("length"), digest_of(t).alias("digest"))
     rows = settle(rows, "digests")
     found = _two_arrivals(rows).withColumnRenamed("digest", "found")
-    dropped = settle(rows.join(found, (F.col("digest") == F.col("found")) & (F.col("row") != F.col("keep_row"))).select(F.col("row").alias(row)), "dropped-rows")
-    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
+    dropped = settle(rows.join(found, (F.col("digest") == F.col("found")) & (F.col("row") != F.col("keep_row"))).select(F.col("place").alias(place)), "dropped-rows")
+    return whole.join(if_small(dropped), place, "left_anti").select(*docs.columns)

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import fresh, n_words, running_offsets, settle, whole_text
+from terrace.llm.common import fresh, if_small, n_words, placed, running_offsets, settle, whole_text
 
 #: Tokens of a cell, about, and of a block.
 CELL_TOKENS = 65_536
@@ -118,10 +118,14 @@ def mix(docs: DataFrame, budget: int | None = None, target_entropy: float | None
 
 
 def mix_documents(docs: DataFrame, max_passes: float = MAX_PASSES, text: str = "text", source: str = "source") -> DataFrame:
-    """The documents as often as the mixture has them, with the columns of ``docs``, in no order."""
-    row, again = fresh(docs, "__row"), fresh(docs, "__again")
-    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-docs")
-    rows = settle(numbered.select(F.col(row).alias("id"), F.col(source).alias("source"), n_words(whole_text(text)).alias("tokens")), "mix-rows")
+    """The documents as often as the mixture has them, at least once, with the columns of ``docs``, in no
+    order. Only the places of rows that come again are written, no texts."""
+    place, again = fresh(docs, "__place"), fresh(docs, "__again")
+    whole = placed(docs, place)
+    rows = whole.select(F.monotonically_increasing_id().alias("id"), F.col(place).alias("place"), F.col(source).alias("source"), n_words(whole_text(text)).alias("tokens"))
+    rows = settle(rows, "mix-rows")
     table, n_blocks = budgets(rows, None, None, max_passes)
-    times = schedule(rows, table, n_blocks).groupBy(F.col("id").alias(row)).agg(F.count(F.lit(1)).cast("int").alias(again))
-    return numbered.join(times, row).withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).select(*docs.columns)
+    times = schedule(rows.drop("place"), table, n_blocks).groupBy("id").agg(F.count(F.lit(1)).cast("int").alias(again)).where(F.col(again) > 1)
+    more = settle(times.join(rows.select("id", F.col("place").alias(place)), "id").select(place, again), "repeated-rows")
+    each = F.explode(F.sequence(F.lit(1), F.coalesce(again, F.lit(1))))
+    return whole.join(if_small(more), place, "left").withColumn(again, each).select(*docs.columns)

@@ -6,17 +6,20 @@ so texts are never shuffled; only (host, counts) rows are. A host may hold a thi
 counts are summed on the map side first. The refused hosts are written as a small table, and Spark
 broadcasts it only if the size of its files is under the session's limit.
 
-Edge cases: a null or empty text has no words and fails the base rules. A null host is a host of its
+Edge cases: a null or empty text has no words and fails the base rules. A very long text is measured
+whole, in arrays of its words. A null host is a host of its
 own. Repeated rows each get their own verdict. An empty table gives an empty result. Columns other
 than those named by the arguments are carried along or ignored, and helper columns take free names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import BLANKS, fresh, let, settle, whole_text, without
+from terrace.llm.common import BLANKS, fresh, if_small, let, placed, settle, whole_text, without
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -25,8 +28,10 @@ MAX_REPEAT_PERCENT = 50
 MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUP_LINES = 0.3
 WORD_LENGTH = (2.0, 14.0)
-#: A host whose shrunken failure rate reaches this is refused, whatever the document.
-HOST_RATE = 0.9
+#: A host is refused, whatever the document, when its shrunken failure rate lies so many standard
+#: deviations of the fitted prior above the prior's mean; the limit is held within HOST_RATE.
+TAIL = 3.0
+HOST_RATE = (0.5, 0.9)
 #: The prior weighs between so many and so many documents.
 PRIOR_WEIGHT = (10.0, 10_000.0)
 
@@ -111,7 +116,9 @@ def host_failed(m: dict[str, Column]) -> Column:
 
 
 def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
-    """Per host: documents, failures, and the failure rate shrunken to the prior.
+    """Per host: documents, failures, the failure rate shrunken to the prior, and whether it reaches the
+    prior's upper tail (``refused``); a rate of HOST_RATE[1] always does, one below HOST_RATE[0]
+    never, and one right at the limit does.
 
     The prior is a beta distribution whose mean and weight fit the hosts' rates by their moments: with
     m the overall rate and v the variance of the rates (weighted by documents), its weight is
@@ -123,7 +130,9 @@ def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
     m = f / n if n else 0.0
     v = max(0.0, sq / n - m * m) if n else 0.0
     weight = min(max(m * (1 - m) / v - 1 if v > 0 else PRIOR_WEIGHT[1], PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1])
-    return hosts.withColumn("rate", (F.col("n_failed") + F.lit(weight * m)) / (F.col("n_docs") + F.lit(weight)))
+    limit = min(max(m + TAIL * math.sqrt(m * (1 - m) / (weight + 1)), HOST_RATE[0]), HOST_RATE[1])
+    rated = hosts.withColumn("rate", (F.col("n_failed") + F.lit(weight * m)) / (F.col("n_docs") + F.lit(weight)))
+    return rated.withColumn("refused", F.col("rate") >= F.lit(limit))
 
 
 def _judged(docs: DataFrame, text: str, host: str, carry: list[str], names: dict[str, str]) -> DataFrame:
@@ -134,7 +143,7 @@ def _judged(docs: DataFrame, text: str, host: str, carry: list[str], names: dict
     m = {k: F.col(names[k]) for k in MEASURES}
     measured = settle(measured.withColumns({names["base_failed"]: base_failed(m), names["host_failed"]: host_failed(m)}), "quality-measures")
     rates = host_rates(measured, names["host"], names["host_failed"])
-    refused = settle(rates.where(F.col("rate") >= HOST_RATE).select(F.col(names["host"]).alias(names["refused"]), F.lit(True).alias(names["host_refused"])), "refused-hosts")
+    refused = settle(rates.where("refused").select(F.col(names["host"]).alias(names["refused"]), F.lit(True).alias(names["host_refused"])), "refused-hosts")
     judged = measured.join(refused, F.col(names["host"]).eqNullSafe(F.col(names["refused"])), "left")
     refusal = F.col(names["host_refused"]).isNotNull()
     return judged.withColumns({names["host_refused"]: refusal, names["kept"]: ~F.col(names["base_failed"]) & ~refusal})
@@ -150,7 +159,11 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
 
 
 def keep_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that pass, with the columns of ``docs``. Their texts are written next to the
-    measures rather than measured a second time."""
+    """The documents that pass, with the columns of ``docs``. What is written are the measures and the
+    places of the rows that go, no texts."""
     names = {k: fresh(docs, f"__{k}") for k in _HELPERS}
-    return _judged(docs, text, host, docs.columns, names).where(F.col(names["kept"])).select(*docs.columns)
+    place = fresh(docs, "__place")
+    whole = placed(docs, place)
+    judged = _judged(whole, text, host, [place], names)
+    dropped = settle(judged.where(~F.col(names["kept"])).select(place), "dropped-rows")
+    return whole.join(if_small(dropped), place, "left_anti").select(*docs.columns)

@@ -95,3 +95,31 @@ def test_stages_with_nulls_clashing_columns_and_no_rows(spark, keep):
     else:
         assert set(got) == {1, None, 2, 3} and got[1] >= 2
     assert keep(spark.createDataFrame([], schema)).count() == 0
+
+
+def folders(spark):
+    from terrace.session import ensure_checkpoint_dir
+    from terrace.sources.tables import list_children
+
+    return set(list_children(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm"))
+
+
+def test_run_is_the_chain_and_leaves_its_last_table_only(spark, stages):
+    before = folders(spark)
+    got = corpus_pipeline.run(spark, SF)
+    assert len(folders(spark) - before) == 1
+    rows = {r.doc_id: (r.ids, r.decoded_sha256) for r in got.collect()}
+    assert rows == {r.doc_id: (r.ids, r.decoded_sha256) for r in stages[5]}
+    assert 0 <= got.count() - len(rows) <= len(rows)
+
+
+def test_run_with_nulls_and_without_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __place string, ids int"
+    good, huge = " ".join(f"word{k}" for k in range(60)), " ".join(f"w{k}x" for k in range(120_000))
+    rows = [(1, good, "en", "a", 1, "p", 1), (1, good, "en", "a", 1, "p", 1), (None, good.upper(), None, None, None, None, None), (2, None, "en", "a", 0, None, None), (3, huge, None, "b", 3, None, 2)]
+    for name, some in (("some", rows), ("none", [])):
+        spark.createDataFrame(some, schema).write.parquet(str(tmp_path / name / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert {r.doc_id for r in got.collect()} == ({1, None, 3} if some else set())
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, spark.read.parquet(str(tmp_path / name / "documents.parquet")), "").columns == [c.split()[0] for c in schema.split(", ")]
