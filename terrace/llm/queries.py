@@ -167,7 +167,8 @@ f AS (
 h AS (SELECT source, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS k FROM f GROUP BY source),
 p AS (SELECT sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ^ 2 AS v FROM h),
 q AS (SELECT mean, CASE WHEN v > 0 THEN least(greatest(mean * (1 - mean) / v - 1, 10), 10000) ELSE 10000 END AS weight FROM p),
-refused AS (SELECT source FROM h, q WHERE (k + weight * mean) / (n + weight) >= 0.9)
+refused AS (SELECT source FROM h, q
+  WHERE (k + weight * mean) / (n + weight) >= least(greatest(mean + 3 * sqrt(mean * (1 - mean) / (weight + 1)), 0.5), 0.9))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   EXISTS (SELECT 1 FROM refused WHERE refused.source IS NOT DISTINCT FROM f.source) AS host_refused,
   NOT base_failed AND NOT EXISTS (SELECT 1 FROM refused WHERE refused.source IS NOT DISTINCT FROM f.source) AS kept

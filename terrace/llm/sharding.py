@@ -12,8 +12,9 @@ Scale: the map has SLOTS rows, a fixed bound, so it is broadcast. Positions with
 counts per cell (a slot and one of SPREAD parts of its rows), two-level running sums over the cells,
 and a row number within each cell, so no task holds a shard, or a doc_id shared by a third of the rows.
 
-Edge cases: a null text has no bytes, its record counts 1; null doc_ids share a slot; repeated rows
-share a slot and take positions of their own; an empty table gives an empty result; other columns are
+Edge cases: a null or empty text has no bytes, its record counts 1; a very long text is a record like
+any other, whose bytes no edit can divide; null doc_ids share a slot; records of one slot take their
+positions by doc_id, then text; repeated rows share a slot and take positions of their own; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -87,6 +88,23 @@ def map_table(spark: SparkSession, versions: list[list[int]]) -> DataFrame:
     return settle(spark.createDataFrame(rows, "version int, n_shards int, vslot int, shard int").coalesce(1), "slot-map")
 
 
+def stored_version(slot_map: DataFrame, version: int) -> list[int]:
+    """The shard of each virtual slot under a version: as many numbers as there are slots."""
+    return [r.shard for r in slot_map.where(F.col("version") == version).orderBy("vslot").collect()]
+
+
+def rebalance(rows: DataFrame, slot_map: DataFrame, version: int, tolerance: float = TOLERANCE) -> DataFrame:
+    """The stored map with a further version: that of ``version`` after slots were moved so that the
+    bytes of ``rows`` (see ``records``) are spread evenly. Only the totals per slot reach the driver.
+    Without records, or with all bytes in one slot, the new version is a copy."""
+    totals = {r.vslot: r.bytes for r in slot_totals(rows).collect()}  # a number for each slot at most
+    now = rebalanced(stored_version(slot_map, version), totals, tolerance)
+    last = slot_map.agg(F.max("version")).first()[0]
+    edited = [(last + 1, max(now) + 1, s, k) for s, k in enumerate(now)]
+    added = slot_map.sparkSession.createDataFrame(edited, slot_map.schema)
+    return settle(slot_map.unionByName(added).coalesce(1), "slot-map")
+
+
 # --- records ---------------------------------------------------------------------------------------
 
 

@@ -216,3 +216,38 @@ def test_windows_are_compared_on_whole_hashes(spark, monkeypatch):
     words = ["x" * n for n in [*range(1, 19), 1, *range(30, 40)]]
     got = spark.createDataFrame([(words,)], "w array<string>").select(quality_rules.repeat_words(F.col("w")).alias("n")).first()
     assert got.n == 6
+
+
+def test_a_failing_host_takes_its_good_documents_along(spark):
+    good, bad = " ".join(f"word{k}" for k in range(60)), "too few"
+    rows = [(100 * h + k, f"{good} {h} {k}" if k % 20 or h == 0 else bad, f"h{h}") for h in range(1, 30) for k in range(40)]
+    rows += [(k, bad if k % 10 else good + f" {k}", "h0") for k in range(40)] + [(5000, good, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    for d, t, h in rows:
+        assert got[d].base_failed == (t == bad) and got[d].host_refused == (h == "h0"), (d, h)
+        assert got[d].kept == (t != bad and h != "h0")
+    assert {r.doc_id for r in quality_rules.keep_documents(docs).collect()} == {d for d, t, h in rows if t != bad and h != "h0"}
+    alike = docs.where("source <> 'h0'")
+    assert quality_rules.judge(alike).where("host_refused").count() == 0
+
+
+def test_rebalancing_adds_a_stored_version(spark):
+    # the records of a few slots are much longer than the others
+    rows = [(k, "x" * (4000 if k % 97 == 0 else 20)) for k in range(4000)]
+    docs = sharding.records(spark.createDataFrame(rows, "doc_id long, text string"))
+    before = sharding.map_table(spark, [sharding.initial(4), sharding.initial(5)])
+    after = sharding.rebalance(docs, before, 0)
+    versions = {v: sharding.stored_version(after, v) for v in (0, 1, 2)}
+    assert versions[0] == sharding.initial(4) and versions[1] == sharding.initial(5) and len(versions[2]) == sharding.SLOTS
+
+    def loads(version):
+        placed = sharding.place(docs, after, version)
+        return [r.b for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).orderBy("shard").collect()], {r.doc_id: r.shard for r in placed.collect()}
+
+    (old, was), (new, now) = loads(0), loads(2)
+    assert sum(old) == sum(new) and max(new) - min(new) <= sharding.TOLERANCE * sum(new) / 4 < max(old) - min(old)
+    moved = {s for s in range(sharding.SLOTS) if versions[0][s] != versions[2][s]}
+    slots = {r.doc_id: r.vslot for r in docs.collect()}
+    assert 0 < len(moved) < sharding.SLOTS / 8 and all((was[d] != now[d]) == (slots[d] in moved) for d in was)
+    assert sharding.stored_version(sharding.rebalance(docs.limit(0), before, 1), 2) == sharding.initial(5)
