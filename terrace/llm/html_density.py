@@ -67,17 +67,18 @@ LABELS = frozenset(
 WEAK_LABELS = frozenset("header banner notice notices alert modal overlay widget toolbar topbar login search disclaimer side".split())
 CONTENT = frozenset("article content post entry body story main text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME, _NAME_END, _SPECIAL = re.compile(r"</?[a-zA-Z]"), re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _LABEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "gone", "in_article", "holds_article", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "gone", "in_article", "holds_article", "mark", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None) -> None:
         self.tag, self.parent, self.children = tag, parent, []  # children: nodes and texts
         self.gone = self.in_article = self.holds_article = False
+        self.mark = self
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -94,53 +95,138 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     return bool(words & LABELS or (words & WEAK_LABELS and not words & CONTENT)) and not (tag in ARTICLE and not words & {"comment", "comments", "ad", "sponsored", "related"})
 
 
+class _Tags:
+    """The tags of a page from left to right, in time proportional to its length: places looked up once
+    are remembered, and so are quotes and angle brackets that are known not to end a tag."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at = page, 0
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.seen: dict[re.Pattern, tuple[int, int]] = {}
+        self.unended: set[int] = set()
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        """The first place of the pattern from ``at`` on, or the end of the page."""
+        low, found = self.seen.get(pattern, (1, 0))
+        if not low <= at <= found:
+            m = pattern.search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self.seen[pattern] = (at, found)
+        return found
+
+    def _end(self, at: int) -> int:
+        """The place of the bracket that ends the tag, quoted parts passed over; -1 if there is none."""
+        passed = []
+        while True:
+            at = self._next(_SPECIAL, at)
+            if at >= len(self.page) or at in self.unended or at > self.last[">"]:
+                break
+            if self.page[at] == ">":
+                return at
+            passed.append(at)
+            if at >= self.last[self.page[at]]:
+                break  # the quote is never closed
+            at = self.page.index(self.page[at], at + 1) + 1
+        self.unended.update(passed)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[str, bool, str, str]]:
+        """(text before, whether it is an end tag, its name, its attributes) of each tag; the name is empty
+        after a comment or declaration. ``at`` may be moved on meanwhile."""
+        page, start = self.page, 0
+        while (start := page.find("<", start)) >= 0:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                found = ("", "", len(page) if stop < 0 else stop + 3)
+            elif page.startswith(("<!", "<?"), start):
+                stop = page.find(">", start + 2)
+                found = ("", "", len(page) if stop < 0 else stop + 1)
+            elif start < self.last[">"] and (m := _NAME.match(page, start)):
+                first = m.end() - 1
+                stop = self._next(_NAME_END, first)
+                end = self._end(stop)
+                found = (page[first:stop], page[stop:end], end + 1) if end >= 0 else None
+            else:
+                found = None
+            if found is None:
+                start += 1
+                continue
+            before, self.at = page[self.at : start], found[2]
+            yield before, bool(found[0]) and page[start + 1] == "/", found[0].lower(), found[1]
+            start = self.at
+
+
+class _Open:
+    """The open elements, with the depths of each tag."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.depths, self.blocks = [root], {}, []  # blocks: depths of blocks other than p
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK and node.tag != "p":
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def _innermost(self, tags) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def close(self, names: set[str], barrier: int) -> None:
+        """End the innermost open element of these names, unless it is outside the barrier."""
+        depth = self._innermost(names)
+        if depth and depth >= barrier:
+            for node in self.stack[depth:]:
+                self.depths[node.tag].pop()
+                if node.tag in BLOCK and node.tag != "p":
+                    self.blocks.pop()
+            del self.stack[depth:]
+
+    def end(self, tag: str) -> None:
+        """An end tag: of a block, whatever is open within; of another element, up to the next block."""
+        self.close({tag}, 0 if tag in BLOCK else max(self.block(), self._innermost(("p",))))
+
+    def block(self) -> int:
+        return self.blocks[-1] if self.blocks else 0
+
+    def start(self, tag: str) -> None:
+        """What a start tag ends by itself."""
+        if tag in BLOCK and tag not in ("html", "body"):
+            self.close({"p"}, self.block())
+        if tag in ENDS:
+            names, until = ENDS[tag]
+            self.close(names, self._innermost(until))
+
+
 def parse(page: str) -> list[Node]:
     """The elements of a page in order, the root first; texts stand among the children."""
     root = Node("#root", None)
-    nodes, now, at = [root], root, 0
-
-    def close(names: set[str], until: set[str] | frozenset[str]) -> None:
-        """End the innermost open element of these names, unless one of ``until`` is in between."""
-        nonlocal now
-        x = now
-        while x.parent is not None and x.tag not in names:
-            if x.tag in until:
-                return
-            x = x.parent
-        if x.parent is not None:
-            now = x.parent
-
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            now.children.append(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    nodes, open_, tags = [root], _Open(root), _Tags(page)
+    for before, ends, tag, attributes in tags:
+        now = open_.stack[-1]
+        if before:
+            now.children.append(before)
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            close({tag}, frozenset() if tag in BLOCK else BLOCK)
+        if ends:
+            open_.end(tag)
             continue
-        if tag in BLOCK and tag not in ("html", "body"):
-            close({"p"}, BLOCK - {"p"})
-        if tag in ENDS:
-            close(*ENDS[tag])
+        open_.start(tag)
+        now = open_.stack[-1]
         node = Node(tag, now)
         node.in_article = now.in_article or tag in ARTICLE
-        node.gone = now.gone or _unwanted(tag, m[3], now.in_article)
+        node.gone = now.gone or _unwanted(tag, attributes, now.in_article)
         now.children.append(node)
         nodes.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, tags.at)
             if not node.gone:
-                node.children.append(page[at : end.start() if end else len(page)])
+                node.children.append(page[tags.at : end.start() if end else len(page)])
             stop = page.find(">", end.start()) if end else -1
-            at = stop + 1 if stop >= 0 else len(page)
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            now = node
-        elif tag not in VOID and tag in BLOCK:
-            now = node  # a slash does not end such an element
-    if at < len(page):
-        now.children.append(page[at:])
+            tags.at = stop + 1 if stop >= 0 else len(page)
+        elif tag not in VOID and (tag in BLOCK or not attributes.rstrip().endswith("/")):
+            open_.push(node)  # a slash does not end a block
+    if tags.at < len(page):
+        open_.stack[-1].children.append(page[tags.at :])
     return nodes
 
 
@@ -167,22 +253,16 @@ def _densities(nodes: list[Node], body: Node) -> None:
     for x in nodes:
         if x.parent is not None and not x.gone:
             x.parent.sum += x.density
+        # the article around an element, or a main that holds no article; else the element
+        if x.parent is not None and not (x.tag == "article" or (x.tag == "main" and not x.holds_article)):
+            above = x.parent.mark
+            x.mark = above if above.tag in ARTICLE and (above.tag == "article" or not above.holds_article) else x
 
 
 def _blocks(x: Node) -> bool:
     return any(not isinstance(c, str) and not c.gone and c.tag in BLOCK for c in x.children)
 
 
-def _mark(x: Node) -> Node:
-    """The article around an element, or a main that holds no article; else the element."""
-    y: Node | None = x
-    while y is not None:
-        if y.tag == "article" or (y.tag == "main" and not y.holds_article):
-            return y
-        y = y.parent
-    return x
-
-
 def select(nodes: list[Node]) -> list[Node]:
     """The elements that hold the main text."""
     _densities(nodes, nodes[0])
@@ -213,8 +293,7 @@ def select(nodes: list[Node]) -> list[Node]:
         top = largest(x)
         if top is not x:
             open_ += [c for c in x.children if not isinstance(c, str) and not c.gone and c.tag in BLOCK]
-        mark = _mark(top)
-        picked[id(mark)] = mark
+        picked[id(top.mark)] = top.mark
     return list(picked.values())
 
 
