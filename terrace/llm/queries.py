@@ -173,4 +173,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   EXISTS (SELECT 1 FROM refused WHERE refused.source IS NOT DISTINCT FROM f.source) AS host_refused,
   NOT base_failed AND NOT EXISTS (SELECT 1 FROM refused WHERE refused.source IS NOT DISTINCT FROM f.source) AS kept
 FROM f""",
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+      || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+      || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+    CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail
+  FROM documents),
+bits AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS t FROM (SELECT unnest(range(0, 256))::BIGINT AS i)),
+crc AS (SELECT list(t ORDER BY i) AS t FROM bits),
+x AS (
+  SELECT d.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)])), 4294967295) AS c
+  FROM d, crc),
+leaf AS (
+  SELECT r, doc_id, coalesce('v' || lang, '') AS g, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END || tail) AS h,
+    sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen((n_chars + (CASE WHEN c % 7 = 0 THEN 1 ELSE 0 END))::VARCHAR) || ':' || (n_chars + (CASE WHEN c % 7 = 0 THEN 1 ELSE 0 END)) END || tail) AS changed
+  FROM x),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h, r) - 1 AS pos FROM leaf),
+up AS (
+  SELECT 0 AS level, g, pos, h FROM placed
+  UNION ALL
+  SELECT level + 1, g, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM up
+  WHERE (level, g) IN (SELECT (level, g) FROM up GROUP BY level, g HAVING count(*) > 1) GROUP BY level, g, pos // 2),
+sub AS (SELECT g, arg_max(h, level) AS h, row_number() OVER (ORDER BY g) - 1 AS pos FROM up GROUP BY g),
+whole AS (
+  SELECT 0 AS level, pos, h FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM whole WHERE (SELECT count(*) FROM whole) > 1 GROUP BY level, pos // 2),
+beside AS (
+  SELECT p.r, 0 AS part, u.level, u.h FROM placed p JOIN up u ON u.g = p.g AND u.pos = xor(p.pos >> u.level, 1)
+  UNION ALL
+  SELECT p.r, 1, w.level, w.h FROM placed p JOIN sub s ON s.g = p.g JOIN whole w ON w.pos = xor(s.pos >> w.level, 1)),
+proof AS (SELECT r, string_agg(h, '' ORDER BY part, level) AS siblings FROM beside GROUP BY r),
+fold AS (
+  SELECT r, g, pos, 0 AS level, changed AS node FROM placed
+  UNION ALL
+  SELECT f.r, f.g, f.pos, f.level + 1, sha256(CASE WHEN u.h IS NULL THEN node WHEN (f.pos >> f.level) % 2 = 1 THEN u.h || node ELSE node || u.h END)
+  FROM fold f JOIN (SELECT g, max(level) AS top FROM up GROUP BY g) t ON t.g = f.g AND f.level < t.top
+  LEFT JOIN up u ON u.g = f.g AND u.level = f.level AND u.pos = xor(f.pos >> f.level, 1)),
+fold2 AS (
+  SELECT r, s.pos, 0 AS level, node FROM (SELECT r, any_value(g) AS g, arg_max(node, level) AS node FROM fold GROUP BY r) f JOIN sub s ON s.g = f.g
+  UNION ALL
+  SELECT f.r, f.pos, f.level + 1, sha256(CASE WHEN w.h IS NULL THEN node WHEN (f.pos >> f.level) % 2 = 1 THEN w.h || node ELSE node || w.h END)
+  FROM fold2 f JOIN (SELECT max(level) AS top FROM whole) t ON f.level < t.top LEFT JOIN whole w ON w.level = f.level AND w.pos = xor(f.pos >> f.level, 1)),
+ends AS (SELECT r, arg_max(node, level) AS folded_root FROM fold2 GROUP BY r),
+root AS (SELECT arg_max(h, level) AS root FROM whole)
+SELECT doc_id, placed.h AS leaf, sub.h AS subroot, root.root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root.root AS verified
+FROM placed JOIN sub ON sub.g = placed.g JOIN ends ON ends.r = placed.r LEFT JOIN proof ON proof.r = placed.r, root""",
 }
