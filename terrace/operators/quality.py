@@ -62,6 +62,18 @@ def quality_counts(flagged: DataFrame, key: str, by: Sequence[str] = ()) -> Data
     )
 
 
+def rule_change(conformed: DataFrame, before: Sequence[Rule], after: Sequence[Rule], as_of: str | None = None) -> DataFrame:
+    """What a change of rules does to a day's rows, in one pass: the rows that change sides, with the
+    names of the rules they broke before and break now and ``change``: ``released`` rows leave
+    quarantine and go to silver when the day is run again, ``caught`` ones go the other way."""
+    names = {k: f"_{k}" for k in ("failed_before", "ok_before", "failed_after", "ok_after")}
+    both = flag_rules(conformed, before, as_of).withColumnsRenamed({FAILURES: names["failed_before"], OK: names["ok_before"]})
+    both = flag_rules(both, after, as_of).withColumnsRenamed({FAILURES: names["failed_after"], OK: names["ok_after"]})
+    moved = both.where(F.col(names["ok_before"]) != F.col(names["ok_after"]))
+    change = F.when(F.col(names["ok_after"]), "released").otherwise("caught")
+    return moved.select(*conformed.columns, F.col(names["failed_before"]).alias("failed_before"), F.col(names["failed_after"]).alias("failed_after"), change.alias("change"))
+
+
 def failure_histogram(refused: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows failing each rule (a row failing two rules counts once for each)."""
     return (

@@ -17,7 +17,7 @@ from terrace.contracts import ENTITIES, LOAD_CONFIG, RULES, STAGING_CONTRACTS, R
 from terrace.operators import checks, observe, serve
 from terrace.operators.conform import conform, contract_cast
 from terrace.operators.maintain import erase_subject, pseudonymise
-from terrace.operators.quality import FAILURES, OK, breaches, failure_histogram, flag_rules, quality_counts, rejected
+from terrace.operators.quality import FAILURES, OK, breaches, failure_histogram, flag_rules, quality_counts, rejected, rule_change, valid
 from terrace.operators.upsert import merge_delete_missing, merge_upsert
 from terrace.plans import analog, pipeline
 from terrace.plans.analog import FRESHNESS_AS_OF, Tables
@@ -535,6 +535,54 @@ def volume_day_over_day(t: Tables) -> DataFrame:
     return checks.day_over_day(analog.bronze(t, "listings"))
 
 
+@register(
+    "volume_sales_day_over_day",
+    """SELECT day, rows, prev_rows, CAST(rows AS DOUBLE) / prev_rows AS ratio,
+  CASE WHEN prev_rows IS NULL THEN 'first' WHEN CAST(rows AS DOUBLE) / prev_rows < 0.5 THEN 'drop'
+       WHEN CAST(rows AS DOUBLE) / prev_rows > 2.0 THEN 'spike' ELSE 'ok' END AS flag
+FROM (SELECT day, rows, lag(rows) OVER (ORDER BY day) AS prev_rows
+      FROM (SELECT closing_date AS day, count(*) AS rows FROM c_sales GROUP BY closing_date))""",
+)
+def volume_sales_day_over_day(t: Tables) -> DataFrame:
+    """A10: sales by closing day, whose volumes drop and spike."""
+    return checks.day_over_day(pipeline.conformed(t, "sales_transactions"), "closing_date")
+
+
+#: Closings up to a month before the sale are let through, prices below 2000 no longer are.
+_NEW_SALES_RULES = tuple(
+    Rule("closing_after_sale", "closing_date IS NULL OR closing_date >= date_sub(sale_date, 30)") if r.name == "closing_after_sale" else r for r in RULES["sales_transactions"]
+) + (Rule("sale_price_plausible", "sale_price >= 2000"),)
+_CHANGED_SALES_SQL = """SELECT *, concat_ws(',', CASE WHEN failures LIKE '%transaction_id_present%' THEN 'transaction_id_present' END,
+    CASE WHEN failures LIKE '%property_id_present%' THEN 'property_id_present' END, CASE WHEN failures LIKE '%sale_price_positive%' THEN 'sale_price_positive' END,
+    CASE WHEN closing_date IS NULL OR closing_date >= sale_date - 30 THEN NULL ELSE 'closing_after_sale' END,
+    CASE WHEN sale_price >= 2000 THEN NULL ELSE 'sale_price_plausible' END) AS now FROM f_sales"""
+
+
+@register(
+    "dq_rule_change",
+    f"""SELECT {_cols('sales_transactions')}, failures AS failed_before, now AS failed_after, CASE WHEN now = '' THEN 'released' ELSE 'caught' END AS change
+FROM ({_CHANGED_SALES_SQL}) WHERE (failures = '') <> (now = '')""",
+)
+def dq_rule_change(t: Tables) -> DataFrame:
+    """The sales that change sides when the rules change, seen before the day is run again."""
+    moved = rule_change(_entity(pipeline.conformed(t, "sales_transactions"), "sales_transactions"), RULES["sales_transactions"], _NEW_SALES_RULES)
+    return moved.withColumns({c: F.concat_ws(",", c) for c in ("failed_before", "failed_after")})
+
+
+@register(
+    "dq_replay",
+    "SELECT " + _cols("sales_transactions") + " FROM ("
+    + "SELECT * FROM (" + _CHANGED_SALES_SQL + ") WHERE now = '') QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY updated_at DESC NULLS LAST, _ingested_at DESC NULLS LAST, "
+    + ", ".join(f"{c} DESC NULLS LAST" for c in ENTITIES["sales_transactions"].column_names if c not in ("transaction_id", "updated_at")) + ") = 1",
+)
+def dq_replay(t: Tables) -> DataFrame:
+    """Silver sales of the day run again under the changed rules; released rows are among them."""
+    from terrace.operators.dedupe import latest_per_key
+
+    flagged = flag_rules(pipeline.conformed(t, "sales_transactions"), _NEW_SALES_RULES)
+    return _entity(latest_per_key(valid(flagged), "transaction_id"), "sales_transactions")
+
+
 _SALES_PAYLOAD = [c for c in ENTITIES["sales_transactions"].column_names if c not in ("transaction_id", "updated_at")]
 
 

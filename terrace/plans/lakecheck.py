@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from terrace.contracts import ENTITIES, LOAD_CONFIG
 from terrace.operators import serve, star
 from terrace.operators.checks import fingerprint, union_all
+from terrace.operators.maintain import clustered_layout, file_spans, files_touched, interleaved_layout
 from terrace.operators.quality import failure_histogram
 from terrace.plans import jobs
 from terrace.plans.analog import FRESHNESS_AS_OF, INGESTED_AT, RUN_DATE, Tables, land_analog
@@ -276,6 +277,41 @@ def rerun(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "zone string, table_name string, rows bigint, same boolean")
 
 
+CLUSTER_FILES = 16
+
+
+def clustering(t: Tables) -> DataFrame:
+    """The sales fact in 16 files, by date and along both date and property: for the median value of
+    either column, the rows that a filter on it finds, and whether it has to open more than half of the
+    files."""
+    fact = stored_lake(t).snapshot(t.spark, "gold", "fact_sales").read().select("transaction_id", "property_id", "sale_date")
+    columns, out = ("sale_date", "property_id"), []
+    for name, df in (("by_date", clustered_layout(fact, "sale_date", CLUSTER_FILES, ["property_id", "transaction_id"])), ("interleaved", interleaved_layout(fact, columns, CLUSTER_FILES))):
+        folder = _folder(t, f"clustered-{name}")
+        df.write.parquet(folder)
+        stored = t.spark.read.parquet(folder)
+        spans = t.spark.createDataFrame(file_spans(stored, columns).collect(), file_spans(stored, columns).schema)  # a row for each file
+        for c in columns:
+            values = stored.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+            middle = values.orderBy("value").offset(CLUSTER_OFFSET[c]).limit(1)
+            seen = files_touched(spans, middle.select("value"), c).join(middle, "value")
+            out.append(seen.select(F.lit(name).alias("layout"), F.lit(c).alias("column"), "rows", (F.col("touched") * 2 > F.col("files")).alias("opens_most")))
+    return union_all(out)
+
+
+CLUSTER_OFFSET = {"sale_date": 1000, "property_id": 100}
+
+
+def widened(t: Tables) -> DataFrame:
+    """K2: bronze days of the event feed whose user became a long and whose properties came later."""
+    folder = _folder(t, "widened")
+    early = t.events.where("ts < TIMESTAMP '2024-01-15'").select("event_id", F.col("user_id").cast("int").alias("user_id"), F.col("value").cast("float").alias("value"))
+    late = t.events.where("ts >= TIMESTAMP '2024-01-15'").select("event_id", "user_id", F.col("value").cast("float").cast("double").alias("value"), "props")
+    for day, rows in (("2024-01-14", early), ("2024-01-15", late), ("2024-01-16", late.limit(0))):
+        tables.write_day(rows, folder, day)
+    return tables.read_widened(t.spark, folder).select("event_id", "user_id", "value", "props", F.col("_run_date").cast("date").alias("_run_date"))
+
+
 def last_loads(t: Tables) -> DataFrame:
     """The last loads into the serving tables, as many as a day has; the first day's are all older."""
     seen = serve.last_loads(tables.read_audit(t.spark, stored_lake(t).audit_path), len(LOAD_CONFIG))
@@ -379,6 +415,19 @@ WHERE a.transaction_id IS NULL OR b.transaction_id IS NULL OR {differs}""",
     out["lake_restored"] = (restored, f"SELECT {', '.join(ENTITIES['sales_transactions'].column_names)} FROM ({_first_day_sql()})")
     counted = [("silver", n, f"s_{s}") for n, s in SHORT.items()] + [(z, n, n) for z in ("gold", "serve") for n, *_ in LOAD_CONFIG]
     out["lake_rerun"] = (rerun, " UNION ALL ".join(f"SELECT '{z}' AS zone, '{n}' AS table_name, count(*) AS rows, true AS same FROM {source}" for z, n, source in counted))
+    rows = lambda c: f"(SELECT count(*) FROM fact_sales WHERE {c} = (SELECT DISTINCT {c} FROM fact_sales ORDER BY {c} LIMIT 1 OFFSET {CLUSTER_OFFSET[c]}))"
+    out["lake_clustering"] = (
+        clustering,
+        " UNION ALL ".join(
+            f"SELECT '{layout}' AS layout, '{c}' AS \"column\", {rows(c)} AS rows, {opens} AS opens_most"
+            for layout, c, opens in (("by_date", "sale_date", False), ("by_date", "property_id", True), ("interleaved", "sale_date", False), ("interleaved", "property_id", False))
+        ),
+    )
+    out["bronze_widened"] = (
+        widened,
+        "SELECT event_id, user_id, value::FLOAT::DOUBLE AS value, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN props END AS props, "
+        "CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN DATE '2024-01-15' ELSE DATE '2024-01-14' END AS _run_date FROM events",
+    )
     loads = [f"SELECT DATE '{RUN_DATE}' AS run_date, '{n}' AS table_name, count(*) AS row_count FROM {n}" for n, *_ in LOAD_CONFIG]
     out["lake_last_loads"] = (last_loads, " UNION ALL ".join(loads))
     return out

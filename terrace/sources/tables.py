@@ -139,6 +139,39 @@ def read_days(spark: SparkSession, path: str, run_date: str | None = None, day_c
     return df
 
 
+#: Types that a later day may widen, narrower first.
+WIDER = ("tinyint", "smallint", "int", "bigint")
+
+
+def read_widened(spark: SparkSession, path: str, day_col: str = "_run_date") -> DataFrame:
+    """All days of a day table whose columns were added or widened (an integer to a larger one, a float
+    to a double) over time, as the widest schema; columns that a day lacks are NULL.
+
+    The days are read by schema, one scan for each different one, so their number does not matter; only
+    footers are looked at before. Types that are no widening of each other are an error."""
+    days: dict[str, list[str]] = {}
+    for child in list_children(spark, path):
+        if child.startswith(f"{day_col}=") and has_data(spark, f"{path}/{child}"):
+            days.setdefault(spark.read.parquet(f"{path}/{child}").schema.json(), []).append(f"{path}/{child}")
+    parts = [spark.read.option("basePath", path).parquet(*folders) for folders in days.values()]
+    if not parts:
+        raise FileNotFoundError(f"{path} has no day")
+    wide: dict[str, str] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            held = wide.setdefault(name, kind)
+            if held != kind:
+                ladder = next((x for x in (WIDER, ("float", "double")) if held in x and kind in x), None)
+                if ladder is None:
+                    raise ValueError(f"column {name} is {held} on some days and {kind} on others")
+                wide[name] = max(held, kind, key=ladder.index)
+    out = None
+    for part in parts:
+        same = part.select(*[F.col(f"`{n}`").cast(wide[n]).alias(n) for n in part.columns])
+        out = same if out is None else out.unionByName(same, allowMissingColumns=True)
+    return out
+
+
 # --------------------------------------------------------------------------- snapshot tables
 class SnapshotTable:
     """Versioned Parquet table committed through an append-only history."""
