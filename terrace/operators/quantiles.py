@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -129,3 +129,30 @@ def exact_median(df: DataFrame, column: str, count: int | None = None, **kw):
     if isinstance(lower, Decimal):
         return (lower + upper) / 2
     return (float(lower) + float(upper)) / 2.0
+
+
+#: Values that differ only in so many trailing bits share a range of ``middle_values``.
+RANGE_BITS = 16
+
+
+def middle_values(values: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """The lower and upper middle of ``values`` = frame of (``u`` long, ``c`` = multiplicity), as one row
+    (lower, upper); NULLs without values. A plan only: nothing runs before it does.
+
+    Ranges are runs of 2^``bits`` values. Rows per range combine ahead of their exchange, their running
+    sums show in which range either middle lies, and the values of those one or two ranges are ranked.
+    The first window holds a row for each range with values (prices in cents: one for each 655 units of
+    money), the second at most 2^``bits`` values a middle; no task sees all values. Both read the same
+    grouped values, which Spark computes once.
+    """
+    ranges = values.groupBy(F.shiftright("u", bits).alias("p")).agg(F.sum("c").alias("m"))
+    upto, n = F.sum("m").over(Window.orderBy("p")), F.sum("m").over(Window.partitionBy())
+    ranges = ranges.select("p", "m", upto.alias("upto"), n.alias("n"))
+    ranks = F.array(F.struct(F.lit(1).alias("r"), F.expr("(n + 1) div 2").alias("k")), F.struct(F.lit(2).alias("r"), F.expr("n div 2 + 1").alias("k")))
+    found = ranges.select("p", (F.col("upto") - F.col("m")).alias("before"), "upto", F.explode(ranks).alias("t"))
+    found = found.where("before < t.k AND t.k <= upto").select("t.r", F.expr("t.k - before").alias("k"), "p")
+    # two rows; <=> adds no filter on ``values``, so that both readings of it stay the same
+    inside = values.join(F.broadcast(found), F.shiftright("u", bits).eqNullSafe(F.col("p")))
+    placed = inside.select("r", "k", "u", "c", F.sum("c").over(Window.partitionBy("r").orderBy("u")).alias("upto"))
+    placed = placed.where("upto - c < k AND k <= upto")
+    return placed.agg(F.max(F.expr("if(r = 1, u, NULL)")).alias("lower"), F.max(F.expr("if(r = 2, u, NULL)")).alias("upper"))

@@ -51,39 +51,25 @@ def star_sales(fact_sales: DataFrame, dim_property: DataFrame, dim_agent: DataFr
 
 
 def measures(fact_sales: DataFrame, fact_listings: DataFrame, fact_leases: DataFrame) -> DataFrame:
-    """The BI measures as (measure, value) rows, exact median included.
+    """The BI measures as (measure, value) rows, exact median included; a plan only, no job runs here.
 
-    The three sales columns the measures need are persisted once; the sums/averages and the exact
-    median (distributed range narrowing, ``quantiles.exact_median``: no task ever holds all sale
-    prices) both read that copy. The sales measures are scalars computed eagerly; the listing and
-    lease measures stay lazy aggregations.
+    Sales are read twice: for the sums and averages, and grouped by their price for the exact median
+    (``quantiles.middle_values``: no task ever holds all prices).
     """
-    from pyspark import StorageLevel
-
-    from terrace.operators.quantiles import exact_median
+    from terrace.operators.quantiles import middle_values
 
     v = "decimal(38,6)"
-    narrow = fact_sales.select("sale_price", "price_per_sqft", "days_to_close").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        row = narrow.agg(
-            F.sum("sale_price").cast(v).alias("sales_volume"),
-            F.avg("price_per_sqft").cast(v).alias("avg_price_per_sqft"),
-            F.avg("days_to_close").cast(v).alias("avg_days_to_close"),
-            F.count("sale_price").alias("_n"),
-        ).first()
-        median = exact_median(narrow, "sale_price", count=row["_n"])
-    finally:
-        narrow.unpersist()
-    spark = fact_sales.sparkSession
-    sales = spark.createDataFrame(
-        [
-            ("sales_volume", row["sales_volume"]),
-            ("median_sale_price", None),
-            ("avg_price_per_sqft", row["avg_price_per_sqft"]),
-            ("avg_days_to_close", row["avg_days_to_close"]),
-        ],
-        f"measure string, value {v}",
-    ).withColumn("value", F.when(F.col("measure") == "median_sale_price", F.lit(median).cast(v)).otherwise(F.col("value")))
+    sums = fact_sales.agg(
+        F.sum("sale_price").cast(v).alias("sales_volume"),
+        F.avg("price_per_sqft").cast(v).alias("avg_price_per_sqft"),
+        F.avg("days_to_close").cast(v).alias("avg_days_to_close"),
+    )
+    rows = [F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in sums.columns]
+    sales = sums.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+    prices = fact_sales.groupBy("sale_price").agg(F.count("sale_price").alias("c"))  # NULL has none
+    cents = prices.select(F.coalesce((F.col("sale_price") * 100).cast("long"), F.lit(0)).alias("u"), "c")
+    both = (F.col("lower").cast("decimal(20,0)") + F.col("upper")) / F.lit(200)
+    sales = sales.unionByName(middle_values(cents).select(F.lit("median_sale_price").alias("measure"), both.cast(v).alias("value")))
     listings = fact_listings.agg(F.count_if(F.col("status") == "ACTIVE").cast(v).alias("value")).select(
         F.lit("active_listings").alias("measure"), "value"
     )

@@ -281,7 +281,7 @@ CLUSTER_FILES = 16
 
 
 def clustering(t: Tables) -> DataFrame:
-    """The sales fact in 16 files, by date and along both date and property: for the median value of
+    """The sales fact in 16 files, by date and along both date and property: for one value of
     either column, the rows that a filter on it finds, and whether it has to open more than half of the
     files."""
     fact = stored_lake(t).snapshot(t.spark, "gold", "fact_sales").read().select("transaction_id", "property_id", "sale_date")
@@ -299,7 +299,7 @@ def clustering(t: Tables) -> DataFrame:
     return union_all(out)
 
 
-CLUSTER_OFFSET = {"sale_date": 1000, "property_id": 100}
+CLUSTER_OFFSET = {"sale_date": 300, "property_id": 60}
 
 
 def widened(t: Tables) -> DataFrame:
@@ -312,6 +312,27 @@ def widened(t: Tables) -> DataFrame:
     return tables.read_widened(t.spark, folder).select("event_id", "user_id", "value", "props", F.col("_run_date").cast("date").alias("_run_date"))
 
 
+def load_plan(t: Tables) -> DataFrame:
+    """The enabled tables in load order with their rows, which the commit records hold: no table is
+    read for it."""
+    lake = stored_lake(t)
+    counts = [(n, lake.snapshot(t.spark, "gold", n).committed_rows()) for n, *_ in LOAD_CONFIG]
+    rows = t.spark.createDataFrame(counts, "table_name string, row_count bigint")
+    return jobs.load_order(t.spark).join(rows, "table_name").select("seq", "table_name", "distribution", "row_count")
+
+
+def run_report(t: Tables) -> DataFrame:
+    """What the two days left: rows of the stored tables by their commit records, the second day's
+    rejections by rule, and the top markets."""
+    lake = stored_lake(t)
+    held = [("silver_rows", "silver", n) for n in ENTITIES] + [("gold_rows", "gold", n) for n, *_ in LOAD_CONFIG]
+    counts = [(section, n, float(lake.snapshot(t.spark, zone, n).committed_rows())) for section, zone, n in held]
+    parts = [t.spark.createDataFrame(counts, "section string, item string, value double")]
+    bad = quarantined(t).select(F.lit("rejections").alias("section"), F.concat_ws(".", "entity", "rule").alias("item"), F.col("failures").cast("double").alias("value"))
+    top = serve.top_markets(lake.snapshot(t.spark, "gold", "agg_market_monthly").read())
+    return union_all([*parts, bad, top.select(F.lit("top_markets").alias("section"), F.concat_ws("/", "city", "state").alias("item"), F.col("volume").cast("double").alias("value"))])
+
+
 def last_loads(t: Tables) -> DataFrame:
     """The last loads into the serving tables, as many as a day has; the first day's are all older."""
     seen = serve.last_loads(tables.read_audit(t.spark, stored_lake(t).audit_path), len(LOAD_CONFIG))
@@ -389,6 +410,18 @@ LEFT JOIN dim_property p ON p.property_id = s.property_id""",
         located_by_bucket,
         "SELECT transaction_id, f.property_id, sale_price, city, state FROM fact_sales f LEFT JOIN dim_property p ON p.property_id = f.property_id",
     )
+    values = ", ".join(f"('{n}', '{d}', {k})" for n, d, k, enabled in LOAD_CONFIG if enabled)
+    sizes = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n, *_ in LOAD_CONFIG)
+    out["lake_load_plan"] = (
+        load_plan,
+        f"""SELECT CAST(row_number() OVER (ORDER BY c.load_order) AS INTEGER) AS seq, c.table_name, c.distribution, r.row_count
+FROM (VALUES {values}) AS c(table_name, distribution, load_order) JOIN ({sizes}) r ON r.table_name = c.table_name""",
+    )
+    report = [f"SELECT 'silver_rows' AS section, '{n}' AS item, count(*)::DOUBLE AS value FROM s_{s}" for n, s in SHORT.items()]
+    report += [f"SELECT 'gold_rows', '{n}', count(*)::DOUBLE FROM {n}" for n, *_ in LOAD_CONFIG]
+    report.append(f"SELECT 'rejections', entity || '.' || rule, failures::DOUBLE FROM ({_quarantine_sql()})")
+    report.append("SELECT 'top_markets', city || '/' || state, volume::DOUBLE FROM (SELECT city, state, sum(total_volume) AS volume FROM agg_market_monthly GROUP BY ALL ORDER BY volume DESC, city, state LIMIT 10)")
+    out["lake_run_report"] = (run_report, " UNION ALL ".join(report))
     out["lake_fact_merge"] = (merged_fact, "SELECT * FROM fact_sales")
     moved = f"SELECT transaction_id, sale_date, sale_date >= DATE '{MOVED_FROM}' AS moves, CASE WHEN sale_date >= DATE '{MOVED_FROM}' THEN sale_date + {MOVED_DAYS} ELSE sale_date END AS now FROM fact_sales"
     out["lake_fact_months"] = (

@@ -205,10 +205,18 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
+    def record(self, version: int) -> dict:
+        """The commit record of a version."""
+        return json.loads(read_record(self.spark, f"{self.history_path}/v{version:020d}.json"))
+
     def folder(self, version: int) -> str:
         """The data folder that a committed version names."""
-        record = json.loads(read_record(self.spark, f"{self.history_path}/v{version:020d}.json"))
-        return f"{self.path}/{record['folder']}"
+        return f"{self.path}/{self.record(version)['folder']}"
+
+    def committed_rows(self) -> int:
+        """The rows of the current version, as its commit counted them; 0 for a table without one."""
+        v = self.current_version()
+        return 0 if v is None else int(self.record(v)["rows"])
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version

@@ -5,12 +5,14 @@ import json
 
 from pyspark.sql import functions as F
 
-from terrace.contracts import AGENTS, LISTINGS
+from terrace.contracts import ENTITIES
 from terrace.operators.conform import conform
 from terrace.operators.quality import contract_report
 from terrace.sources import tables
 from terrace.sources.landing import read_envelope_files, read_landing
 
+AGENTS, LISTINGS = ENTITIES["agents"], ENTITIES["listings"]
+
 
 def test_additive_schema_evolution_across_days(spark, tmp_path):
     path = str(tmp_path / "bronze" / "agents")
