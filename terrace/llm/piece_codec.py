@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import batches, whole_text
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 500_000
 SPACE = "▁"  # what a space is written as in pieces
 
 
@@ -197,7 +197,7 @@ def encode_documents(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
                     "span_ends_crc32": [zlib.crc32(b"" if e is None else e.astype("<i8").tobytes()) for e in ends],
                 }
                 if keep_ids:
-                    out |= {"ids": ids, "span_ends": [None if e is None else e.tolist() for e in ends]}
+                    out |= {"ids": [np.array(x, dtype=np.int32) for x in ids], "span_ends": ends}
                 yield pd.DataFrame(out)
 
     # a doc_id goes through pandas as text, which keeps nulls and large numbers whole
