@@ -8,8 +8,10 @@ composes nothing across it. If an overlap holds no such place it is widened, in
 of both chunks, which then grow by a chunk and by twice as much each further time. So the memory of an
 encoding is bounded by a chunk, or by the longest part of a document without such places.
 
-Shorter documents are one chunk. For them the same boundary is used the other way round: the library
-encodes each distinct word once and the ids are looked up, in a memory of at most MEMORY words.
+Shorter documents are one chunk. For them the same boundary is used the other way round: the words of
+PART characters are numbered in arrays, the library encodes each distinct one once, and the ids are put
+together by the numbers. Nothing is remembered beyond that, so the memory is bounded by PART or by the
+longest word.
 
 Rows are independent, so nothing is shuffled. Edge cases: a null text counts as empty (no tokens); a
 text without white space is encoded as one piece; repeated rows are counted each; an empty table gives
@@ -18,39 +20,34 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import string
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import batches, whole_text
 
 CHUNK, OVERLAP = 16_384, 512
-#: Words remembered, and characters whose words are looked up together.
-MEMORY = 500_000
-PART = 2_000_000
-#: Longer words are encoded anew each time.
-LONG_WORD = 100
+#: Characters whose words are numbered together.
+PART = 8_000_000
 LIMIT = 2048
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: White space for Python's split() that the tokenizer takes for text.
-_NO_BLANKS = re.compile("[\x1c-\x1f]")
-#: Letters after which a full stop or comma at a word's end is a token of its own. The lower case of İ
-#: ends in a mark, which is no letter.
-LATIN = frozenset(string.ascii_letters) | {chr(c) for c in range(0xC0, 0x250)} - {"×", "÷", "İ"}
-#: A word of letters is one run of the tokenizer, so exactly one of its tokens ends a word, the last;
-#: such words are encoded many in one text and told apart by that.
-_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
-TOGETHER = 2_000
+#: A word of letters is one run of the tokenizer, of which exactly one token ends a word, its last; so many
+#: such words are encoded in one text and told apart by that. Signs after letters, if they begin no run of
+#: their own and no special string, are a second run, encoded apart from the first. Normalising such
+#: letters, which are composed and carry no marks, is lowering them; the lower case of İ has a mark.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_RUNS = f"^(?P<letters>[{_LETTERS}]+)(?P<signs>[-!#$%&()*+,./:;=?@^_~]*)$"
+TOGETHER = 1_000
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
 
 #: ids, and for each the first and the end character
@@ -102,7 +99,7 @@ def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, ove
 
 
 class Words:
-    """The library's tokenizer of one file, with a bounded memory of the ids of words."""
+    """The library's tokenizer of one file, for texts whose words are encoded once for many."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,7 +108,7 @@ class Words:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.plain = Tokenizer.from_str(json.dumps(json.loads(self.library.to_str()) | {"normalizer": None}))
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -120,50 +117,63 @@ class Words:
         e = self.library.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
-    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of the words. What is remembered, and encoded where it is not, are their stems: the
-        word in lower case where that is ASCII, and without a full stop or comma after a letter. A word
-        that may hold a special string keeps its case: those are found before the text is lowered."""
-        out, parts = {}, {}
-        for w in words:
-            ids = self.known.get(w)
-            if ids is None:
-                tail = w[-1] if w[-1] in ".," and len(w) > 1 and w[-2] in LATIN else ""
-                stem = w[:-1] if tail else w
-                parts[w] = (stem.lower() if stem.isascii() and "<|" not in stem else stem, tail)
-            else:
-                out[w] = ids
-        stems = {x for pair in parts.values() for x in pair if x}
-        ids = {x: self.known[x] for x in stems if x in self.known} | {"": b""}
-        new = self._encoded([x for x in stems if x not in ids])
-        if len(self.known) + len(new) > MEMORY:
-            self.known = {}
-        self.known.update((w, x) for w, x in new.items() if len(w) <= LONG_WORD)
-        ids |= new
-        out.update((w, ids[stem] + ids[tail]) for w, (stem, tail) in parts.items())
-        return out
-
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        others = [w for w in words if not _LETTERS.fullmatch(w)]
-        plain, out = [w for w in words if _LETTERS.fullmatch(w)], {}
-        for k in range(0, len(plain), TOGETHER):
-            some = plain[k : k + TOGETHER]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(stops) != len(some):  # not as expected: one by one
-                others += some
-                continue
-            data, stops = ids.tobytes(), stops.tolist()
-            out.update(zip(some, [data[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
-        got = self.library.encode_batch_fast(others, add_special_tokens=False)
-        out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(others, got, strict=True))
-        return out
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct pieces of text (those of letters lowered), one after the other, and where
+        those of each piece start and how many they are."""
+        letters = pc.match_substring_regex(pieces, f"^[{_LETTERS}]+$").to_numpy(zero_copy_only=False)
+        first, sizes = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        held, n = [np.zeros(0, dtype="<u4")], 0
+
+        def keep(at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+            nonlocal n
+            first[at], sizes[at] = n + np.cumsum(size) - size, size
+            held.append(ids)
+            n += len(ids)
+
+        alone, plain = [np.flatnonzero(~letters)], np.flatnonzero(letters)
+        words = pieces.take(pa.array(plain)).to_pylist()
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(some):
+                keep(plain[k : k + TOGETHER], ids, np.diff(stops, prepend=0))
+            else:  # not as expected: one by one
+                alone.append(plain[k : k + TOGETHER])
+        rest = np.concatenate(alone)
+        got = [e.ids for e in self.library.encode_batch_fast(pieces.take(pa.array(rest)).to_pylist(), add_special_tokens=False)]
+        keep(rest, np.array([i for ids in got for i in ids], dtype="<u4"), np.array([len(ids) for ids in got], dtype=np.int64))
+        return np.concatenate(held), first, sizes
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of some texts. ASCII text is lowered first, as the tokenizer would, so that words are
+        found in any case; special strings are found before that, so a text that may hold one stays."""
+        whole = pa.array(texts, pa.large_string())
+        lower = pc.and_(pc.string_is_ascii(whole), pc.invert(pc.match_substring(whole, "<|")))
+        split = pc.ascii_split_whitespace(pc.if_else(lower, pc.ascii_lower(whole), whole))
+        coded = split.flatten().dictionary_encode()
+        number, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        runs = pc.extract_regex(words, _RUNS)
+        one = pc.if_else(runs.is_valid(), pc.utf8_lower(pc.struct_field(runs, "letters")), words)
+        two = pc.if_else(runs.is_valid(), pc.struct_field(runs, "signs"), "")
+        both = pa.concat_arrays([one, two]).dictionary_encode()
+        ids, first, sizes = self._pieces(both.dictionary)
+        piece = both.indices.to_numpy(zero_copy_only=False).reshape(2, -1)
+        ends = np.concatenate([[0], np.cumsum(sizes[piece].sum(axis=0)[number])])
+        at = ends[split.offsets.to_numpy()].tolist()
+        piece = piece.T[number].ravel()  # the two pieces of each word, in order
+        n = sizes[piece]
+        flat = ids[np.repeat(first[piece] - (np.cumsum(n) - n), n) + np.arange(ends[-1])]
+        yield from [flat[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
 
     def _huge(self, text: str) -> bytes:
-        """The ids of a text whose words are taken in parts."""
-        found, out = (m[0] for m in _WORD.finditer(text)), []
-        while part := list(islice(found, PART // 5)):
-            out.append(b"".join(map(self._ids_of(set(part)).__getitem__, part)))
+        """The ids of a text that is cut at white space."""
+        out, a = [], 0
+        while a < len(text):
+            cut = _BLANK.search(text, min(a + PART, len(text)))
+            b = cut.start() if cut else len(text)
+            out += self._together([text[a:b]])
+            a = b
         return b"".join(out)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -172,10 +182,8 @@ class Words:
         for a, b in batches(texts, PART):
             if b == a + 1 and len(texts[a]) > PART:
                 yield self._huge(texts[a])
-                continue
-            found = [_WORD.findall(t) if _NO_BLANKS.search(t) else t.split() for t in texts[a:b]]
-            ids = self._ids_of(set().union(*found))
-            yield from [b"".join(map(ids.__getitem__, x)) for x in found]
+            else:
+                yield from self._together(texts[a:b])
 
 
 @lru_cache(maxsize=2)

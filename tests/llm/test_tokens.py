@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -76,13 +77,30 @@ def test_special_strings_count_only_as_written(spark):
         assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
 
 
-def test_memory_is_bounded(monkeypatch, texts):
-    monkeypatch.setattr(token_counts, "MEMORY", 50)
+def test_texts_taken_in_parts_give_the_librarys_ids(monkeypatch, texts):
     it = token_counts.Words(WORD_FILE)
-    monkeypatch.setattr(token_counts, "PART", 400)
-    for t, got in zip(texts, it.ids([t or "" for t in texts]), strict=True):
-        assert np.frombuffer(got, dtype="<u4").tolist() == library_ids(t)
-    assert len(it.known) < 500
+    for part in (400, 20_000):
+        monkeypatch.setattr(token_counts, "PART", part)
+        for t, got in zip(texts, it.ids([t or "" for t in texts]), strict=True):
+            assert np.frombuffer(got, dtype="<u4").tolist() == library_ids(t)
+
+
+def test_letters_are_normalised_by_lowering_them():
+    it = token_counts.words(WORD_FILE)
+    letters = [chr(c) for c in range(0x41, 0x250) if re.fullmatch(f"[{token_counts._LETTERS}]", chr(c))]
+    assert len(letters) > 400
+    for a, b in zip(letters, letters[7:] + letters[:7]):
+        for word in (a, f"x{a}{b}y", a + b):
+            assert np.frombuffer(next(it.ids([word])), dtype="<u4").tolist() == library_ids(word), word
+
+
+def test_words_of_all_kinds_give_the_librarys_ids():
+    bits = ["Hello", "it's", "IT'S", "$$$", "...", ",", "İx", "é", "E\u0301", "H\u0331", "e\u0301", "<|endoftext|>", "<|EndOfText|>", "\x1c", "\xa0", "\x85", "\u2003"]
+    bits += [" ", "\n", "\t", "\x0b", "a-b", "x_", "123", "4.5", "Straße", "ΣΑΣ", "日本", "😀", "ab<|", "|>", "'", "don't.", "Word.", "WORD,", "word", "(x)", "^~", "\u212a"]
+    rng, it = random.Random(4), token_counts.words(WORD_FILE)
+    for _ in range(800):
+        some = ["".join(rng.choice(bits) + rng.choice(["", " ", "  "]) for _ in range(rng.randrange(12))) for _ in range(5)]
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in it.ids(some)] == [library_ids(t) for t in some], some
 
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(64, 8), (200, 40), (1024, 64)])
