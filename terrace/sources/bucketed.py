@@ -16,6 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a table that a bucket has at most, on average: a task sorts and joins one bucket.
+BUCKET_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class KeyLayout:
@@ -58,18 +61,21 @@ class KeyLayout:
 
 def lay_out(spark: SparkSession, root: str, frames: Mapping[str, DataFrame], key: str, buckets: int, dimensions: tuple[str, ...] = ()) -> KeyLayout:
     """Write ``frames`` by ``key``. ``dimensions``: those with one row a key. A NULL key is never hot: it
-    joins with nothing, and its bucket takes part in no join."""
+    joins with nothing, and its bucket takes part in no join. ``buckets`` is the least number: a table of
+    more than ``BUCKET_ROWS`` rows a bucket gets more, so that a task's share does not grow with it."""
+    rows = {name: df.count() for name, df in frames.items()}
+    buckets = max(buckets, *(-(-n // BUCKET_ROWS) for n in rows.values()))
     layout = KeyLayout(spark, f"{root.rstrip('/')}/{uuid.uuid4().hex[:12]}", key, buckets, f"by_{key}_{uuid.uuid4().hex[:12]}")
     found = []
     for name, df in frames.items():
         if name not in dimensions:
             sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            most = sizes.agg(F.sum("n") / F.lit(float(buckets))).scalar()
-            found.append(sizes.where(F.col(key).isNotNull() & (F.col("n") > most)).select(key))
+            found.append(sizes.where(F.col(key).isNotNull() & (F.col("n") > F.lit(rows[name] / buckets))).select(key))
     keys = found[0]
     for more in found[1:]:
         keys = keys.unionByName(more)
-    keys.distinct().coalesce(1).write.parquet(layout._path("keys", "hot"))
+    # an exchange to one file, of the few hot keys alone: coalesce(1) would count all keys in one task
+    keys.distinct().repartition(1).write.parquet(layout._path("keys", "hot"))
     hot = F.broadcast(layout.hot_keys())  # at most ``buckets`` rows for each fact
     for name, df in frames.items():
         df.join(hot, key, "left_semi").select(*df.columns).write.parquet(layout._path("hot", name))

@@ -351,3 +351,20 @@ def test_measures_run_nothing_while_planned(spark):
     before = jobs_seen(spark)
     measures = catalog.QUERIES["measures"](spark, "/root/testdata/sf0.001")
     assert jobs_seen(spark) == before and measures.count() == 6
+
+
+# --- work that stays spread out as tables grow ------------------------------------------------------
+
+
+def test_a_layout_counts_its_keys_in_many_tasks(spark, tmp_path, monkeypatch):
+    frames = {"sales": spark.createDataFrame([(f"t{k}", f"P{k % 97}") for k in range(3000)], "id string, property_id string")}
+    seen = []
+    for name in ("coalesce", "repartition"):
+        real = getattr(type(frames["sales"]), name)
+        monkeypatch.setattr(type(frames["sales"]), name, lambda self, n, *by, name=name, real=real: seen.append((name, n)) or real(self, n, *by))
+    monkeypatch.setattr("terrace.sources.bucketed.BUCKET_ROWS", 300, raising=False)
+    laid = lay_out(spark, str(tmp_path / "wide"), frames, "property_id", 4)
+    assert ("coalesce", 1) not in seen and laid.buckets == 10  # no bucket has more than 300 rows on average
+    assert sorted(map(str, laid.whole("sales").collect())) == sorted(map(str, frames["sales"].collect()))
+    ends = {r[0] for r in laid.cold("sales").select(F.col("_metadata.file_name")).distinct().collect()}
+    assert len(ends) == 10
