@@ -368,3 +368,28 @@ def test_a_layout_counts_its_keys_in_many_tasks(spark, tmp_path, monkeypatch):
     assert sorted(map(str, laid.whole("sales").collect())) == sorted(map(str, frames["sales"].collect()))
     ends = {r[0] for r in laid.cold("sales").select(F.col("_metadata.file_name")).distinct().collect()}
     assert len(ends) == 10
+
+
+def test_a_merge_takes_the_rows_of_a_day_as_they_are(spark):
+    from pyspark.sql import Observation
+
+    from terrace.operators.dedupe import latest_per_key
+    from terrace.operators.upsert import merge_upsert
+
+    ddl = "k string, a string, updated_at int, _ingested_at int, b string"
+    target = spark.createDataFrame([("x", "t", 5, 1, "t"), ("y", "t", 9, 1, "t"), ("z", "t", None, 1, "t"), ("o", "t", 1, 1, None)], ddl)
+    source = [("x", "z", 5, 1, "s"), ("x", "a", 5, 2, "s"), ("y", "s", 8, 9, "s"), ("y", "s", 7, 1, "s"), ("z", "b", None, 1, None), ("z", "b", None, 1, "q"), ("n", None, 3, None, "s"), ("n", "a", 3, None, "s")]
+    source = spark.createDataFrame(source, ddl)
+    seen = Observation("seen")
+    got = merge_upsert(target, source, "k", seen=seen)
+    assert len(re.findall(r"Exchange hashpartitioning", plan(got))) == 1
+    rows = sorted(map(str, got.collect()))
+    assert rows == sorted(map(str, merge_upsert(target, latest_per_key(source, "k"), "k").collect()))
+    assert seen.get["n"] == 4
+
+
+def test_a_days_merge_stages_no_rows(spark, lake, monkeypatch):
+    monkeypatch.setattr(jobs.Lake, "scratch", lambda *a: pytest.fail("a copy of the day was staged"))
+    counts = jobs.silver_entity(spark, lake, "agents", "2024-02-02")
+    assert counts == {"processed": 1, "rejected": 0, "duplicates": 0, "rejection_rate": 0.0}
+    assert lake.snapshot(spark, "silver", "agents").read().count() == 3
