@@ -49,7 +49,7 @@ class MonthStore:
     def load(self, fact: DataFrame) -> None:
         """The whole fact, replacing what is stored. A month is written by as many tasks as it has rows
         for, whatever its share of them."""
-        fact.withColumn(MONTH, self._month()).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(self.path)
+        fact.withColumn(MONTH, self._month()).hint("rebalance", MONTH).write.mode("overwrite").option("compression", tables.CODEC).partitionBy(MONTH).parquet(self.path)
 
     def read(self) -> DataFrame:
         """The fact with its month."""
@@ -61,14 +61,14 @@ class MonthStore:
         were written anew (as many as the calendar has, at most)."""
         stored = self.read()
         work = f"{self.path}/_staged-{uuid.uuid4().hex}"
-        changed.withColumn(MONTH, self._month()).write.parquet(f"{work}/changed")
+        changed.withColumn(MONTH, self._month()).write.option("compression", tables.CODEC).parquet(f"{work}/changed")
         new = self.spark.read.parquet(f"{work}/changed")
         keys = new.select(self.key).distinct()
         left = stored.select(self.key, MONTH).join(keys, self.key, "left_semi").select(MONTH)
         months = sorted(r[0] for r in left.unionByName(new.select(MONTH)).distinct().collect())
         kept = stored.where(F.col(MONTH).isin(months)).join(keys, self.key, "left_anti")
         merged = kept.unionByName(new.select(*stored.columns))
-        merged.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{work}/months")
+        merged.hint("rebalance", MONTH).write.option("compression", tables.CODEC).partitionBy(MONTH).parquet(f"{work}/months")
         written = {c.split("=", 1)[1] for c in tables.list_children(self.spark, f"{work}/months") if "=" in c}
         tables.write_record(self.spark, self._pending, {"work": work, "swap": sorted(written), "drop": sorted(set(months) - written)})
         self.finish()
