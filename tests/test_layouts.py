@@ -370,6 +370,40 @@ def test_a_layout_counts_its_keys_in_many_tasks(spark, tmp_path, monkeypatch):
     assert len(ends) == 10
 
 
+def test_an_erasure_moves_no_table(spark, lake, monkeypatch):
+    seen = []
+    real = jobs._flagged
+    monkeypatch.setattr(jobs, "_flagged", lambda *a: (lambda out: seen.append(out) or out)(real(*a)))
+    erased, anti = jobs.erase_subject, []
+    monkeypatch.setattr(jobs, "erase_subject", lambda *a: (lambda out: anti.append(plan(out)) or out)(erased(*a)))
+    planned = []
+    stage = jobs._stage_rewrite
+
+    def staged(*args):
+        held = stage(*args)
+        planned.extend(plan(x) for x in seen if x is not None)
+        seen.clear()
+        return held
+
+    monkeypatch.setattr(jobs, "_stage_rewrite", staged)
+    # a request whose size no plan knows
+    jobs.erase(spark, lake, spark.createDataFrame(spark.sparkContext.parallelize([("W2",)]), "agent_id string"), "agent_id", grace_hours=-1)
+    assert named(spark, lake) == []
+    assert planned and anti and not [p for p in anti if "SortMergeJoin" in p]
+    assert not [p for p in planned if "_word" not in p and "SortMergeJoin" in p]
+
+
+def test_rewritten_files_keep_their_codec(spark, lake):
+    folder = lake.landing("listings_api", "listings", RUN_DATE)
+    lines = spark.read.text(folder)
+    lines.write.mode("overwrite").option("compression", "gzip").text(f"{folder}-packed")
+    ids = spark.createDataFrame(SUBJECT, "agent_id string")
+    assert jobs._stage_rewrite(spark, f"{folder}-packed", "text", ids, "agent_id", f"{folder}-kept")
+    assert {n[-3:] for n in os.listdir(f"{folder}-kept") if n.startswith("part-")} == {".gz"}
+    left = [r.value for r in spark.read.text(f"{folder}-kept").collect()]
+    assert left and not [x for x in left if re.search(r"\bW2\b", x)] and any("W22" in x for x in left)
+
+
 def test_a_merge_takes_the_rows_of_a_day_as_they_are(spark):
     from pyspark.sql import Observation
 
