@@ -64,12 +64,19 @@ def test_an_erased_lake_is_on_disk_once_and_goes(spark, data, no_copy):
     assert lakes(spark) == before
 
 
+def test_a_rerun_lake_is_on_disk_once_and_goes(spark, data, no_copy):
+    before = lakes(spark)
+    got = lakecheck.rerun(Tables(spark, data)).collect()
+    assert len(got) == 19 and all(r.same for r in got) and {(r.zone, r.table_name): r.rows for r in got}["serve", "fact_sales"] == 60
+    assert lakes(spark) == before
+
+
 def test_the_stored_lake_stays_as_it_is(spark, data):
     t = Tables(spark, data)
     stored = lakecheck.stored_lake(t)
     held, folders = files(stored.root), lakes(spark)
     got = {(r.zone, r.table_name): (r.rows_before, r.rows_after) for r in lakecheck.erased(t).collect()}
-    assert got["silver", "sales_transactions"] == (60, 48)
+    assert got["silver", "sales_transactions"] == (60, 48) and all(r.same for r in lakecheck.rerun(t).collect())
     assert files(stored.root) == held and lakes(spark) == folders
 
 
